@@ -206,7 +206,8 @@ FROM {lineitem}
 SELECT 'E' || CAST(event_id AS STRING) AS id_parte, 'O' || CAST(first_order AS STRING) AS id_poliza,
        'P' || CAST(item AS STRING) AS id_objeto_asegurado,
        CASE WHEN event_id % 3 <> 0 THEN 'S' || CAST(event_id % 12 AS STRING) END AS id_perito,
-       CASE WHEN event_id % 25 <> 0 THEN 'C' || CAST(user_id AS STRING) END AS id_receptor_pago,
+       CASE WHEN event_id % 60 = 1 THEN 'X' || CAST(user_id AS STRING)
+            WHEN event_id % 25 <> 0 THEN 'C' || CAST(user_id AS STRING) END AS id_receptor_pago,
        CAST(ts AS DATE) AS fecha_apertura,
        CASE WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 30 AS INT) END AS fecha_cierre,
        CAST(value AS DECIMAL(20,2)) AS monto_reclamado, upper(event_type) AS tipo_siniestro
