@@ -1,15 +1,16 @@
 """Dense surrogate keys without a global sort in one task.
 
-Both functions number the rows 1, 2, 3, ... after ``start``. Each cuts the rows into ordered buckets,
-numbers the rows inside a bucket in parallel and adds the count of all earlier buckets. Only the bucket
-counts (one row per bucket, a bounded number) pass through a single task and are broadcast.
+Both functions number the rows 1, 2, 3, ... after ``start``. Each cuts the rows into ordered buckets, numbers the
+rows inside a bucket in parallel and adds the count of all earlier buckets. Only bucket counts, whose number is
+bounded, ever meet in one place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surestar.session import ensure_checkpoint_dir
@@ -17,55 +18,53 @@ from surestar.session import ensure_checkpoint_dir
 HASH_DIGITS = 4  # 16**4 = 65,536 buckets: 1.5 million rows in each at 100 billion rows
 
 
-def max_key(existing: DataFrame, sk: str) -> Column:
-    """Highest key given out so far, 0 if there is none, as a scalar subquery. Key -1 is ignored."""
-    return existing.where(F.col(sk) > 0).agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar()
+def max_key(existing: DataFrame, sk: str) -> int:
+    """Highest key given out so far, 0 if there is none. Key -1 is ignored."""
+    return existing.where(F.col(sk) > 0).agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
 
 
-def keys_in_order(df: DataFrame, order: Sequence[str], sk: str, start: Column | None = None) -> DataFrame:
+def keys_in_order(df: DataFrame, order: Sequence[str], sk: str, start: int = 0) -> DataFrame:
     """Number the rows in the order of their natural key, which has to be unique.
 
     The rows are range partitioned and sorted in their partitions. The range bounds come from a sample,
     so the result is checkpointed before the partitions are counted: a lost executor cannot
-    make the counts and the rows disagree. For new dimension members, not for facts.
+    make the counts and the rows disagree. The counts (one number per partition) go through the driver, as in
+    ``zipWithIndex``. For new dimension members, not for facts.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    ascending = [F.asc_nulls_first(name) for name in order]
     placed = (
-        df.repartitionByRange(*[F.asc_nulls_first(name) for name in order])
-        .sortWithinPartitions(*[F.asc_nulls_first(name) for name in order])
+        df.repartitionByRange(*ascending)
+        .sortWithinPartitions(*ascending)
         .withColumns({
             "_bucket": F.spark_partition_id(),
             "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) + 1,
         })
         .checkpoint()
     )
-    return _number(placed, placed.groupBy("_bucket").count(), "_place", sk, start, df.columns)
+    counts = dict(placed.groupBy("_bucket").count().collect())
+    sizes = [counts.get(i, 0) for i in range(max(counts, default=0) + 1)]
+    offsets = F.array(*[F.lit(before) for before in accumulate(sizes[:-1], initial=start)])
+    value = F.get(offsets, F.col("_bucket")) + F.col("_place")
+    return placed.select(value.cast("bigint").alias(sk), *[c for c in df.columns if c != sk])
 
 
-def keys_by_hash(df: DataFrame, key: str, sk: str, start: Column | None = None) -> DataFrame:
+def keys_by_hash(df: DataFrame, key: str, sk: str, start: int = 0, ids: DataFrame | None = None) -> DataFrame:
     """Number the rows in the order of (MD5 of the key, key). The key has to be unique.
 
     A hash prefix cuts the rows into even buckets that need no sample, so nothing is written in between:
-    the counting pass reads the key column only and a recomputed task gives the same keys. For facts.
+    the counting pass reads the key column only and a recomputed task gives the same keys. ``ids`` is a frame with
+    the same keys that is cheaper to scan, for rows that have been through joins. For facts.
     """
     digest = F.md5(F.col(key).cast("string"))
     bucket = F.substring(digest, 1, HASH_DIGITS)
-    counts = df.select(bucket.alias("_bucket")).groupBy("_bucket").count()
-    in_bucket = Window.partitionBy("_bucket").orderBy("_digest", key)
-    placed = df.withColumns({"_bucket": bucket, "_digest": digest})
-    placed = placed.withColumn("_place", F.row_number().over(in_bucket))
-    return _number(placed, counts, "_place", sk, start, df.columns)
-
-
-def _number(
-    placed: DataFrame, counts: DataFrame, place: str, sk: str, start: Column | None, columns: Sequence[str]
-) -> DataFrame:
+    counted = df if ids is None else ids
+    counts = counted.select(bucket.alias("_bucket")).groupBy("_bucket").count()
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per bucket: this window and the broadcast below are bounded by the number of buckets.
     offsets = counts.select("_bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
-    # At most one row per bucket, so the broadcast is bounded.
-    numbered = placed.join(F.broadcast(offsets), "_bucket")
-    value = F.col("_offset") + F.col(place)
-    if start is not None:
-        value = value + start
-    value = value.cast("bigint")
-    return numbered.select(value.alias(sk), *[c for c in columns if c != sk])
+    placed = df.withColumns({"_bucket": bucket, "_digest": digest})
+    in_bucket = Window.partitionBy("_bucket").orderBy("_digest", key)
+    numbered = placed.withColumn("_place", F.row_number().over(in_bucket)).join(F.broadcast(offsets), "_bucket")
+    value = F.col("_offset") + F.col("_place") + F.lit(start)
+    return numbered.select(value.cast("bigint").alias(sk), *[c for c in df.columns if c != sk])

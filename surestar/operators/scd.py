@@ -108,11 +108,10 @@ def scd2_merge(
 
 def ensure_unknown_member(dimension: DataFrame, sk: str, values: Mapping[str, object]) -> DataFrame:
     """Add the member with key -1 unless it is there already."""
-    spark = dimension.sparkSession
-    fields = {field.name: field.dataType for field in dimension.schema.fields}
-    member = spark.range(1).select(*[
-        F.lit(UNKNOWN_SK if name == sk else values.get(name)).cast(kind).alias(name) for name, kind in fields.items()
+    if not dimension.where(F.col(sk) == UNKNOWN_SK).isEmpty():
+        return dimension
+    member = dimension.sparkSession.range(1).select(*[
+        F.lit(UNKNOWN_SK if field.name == sk else values.get(field.name)).cast(field.dataType).alias(field.name)
+        for field in dimension.schema.fields
     ])
-    present = dimension.where(F.col(sk) == UNKNOWN_SK).select(F.col(sk).alias("_present"))
-    missing = member.join(present, F.col(sk) == F.col("_present"), "left_anti")
-    return dimension.unionByName(missing)
+    return dimension.unionByName(member)

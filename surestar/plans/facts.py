@@ -2,7 +2,9 @@
 
 New rows are found first (anti-join on the id column alone), so the lookups see only what will be loaded. Details
 are summed per parent before they are joined. Item key and item location come from one joined item table, and the
-policy key and its insured sum from one policy table, so each costs one join.
+policy key and its insured sum from one policy table, so each costs one join. All dimensions but the person
+dimension hold a natural key once (the merges never make a second row for a key), so they are joined as they are;
+a person has several versions and is cut down to one first.
 """
 
 from __future__ import annotations
@@ -42,8 +44,7 @@ def item_keys(items: DataFrame, dim_item: DataFrame, dim_location: DataFrame) ->
         {SK: "location_sk"},
         default=None,
     ).select(F.col("id_objeto").alias("_placed_id"), "location_sk")
-    keyed = first_by_key(dim_item, ["item_id"], SK)
-    joined = keyed.join(placed, F.col("item_id") == F.col("_placed_id"), "full_outer")
+    joined = dim_item.join(placed, F.col("item_id") == F.col("_placed_id"), "full_outer")
     return joined.select(
         F.coalesce("item_id", "_placed_id").alias("item_id"), F.col(SK).alias("item_sk"), "location_sk"
     )
@@ -84,10 +85,10 @@ def fact_policy(
         df = anti(df, ["policy_id"], existing)
     sums = sum_by_key(coverages, "id_poliza", "suma_garantizada", "insured_sum")
     df = left_details(df, "policy_id", sums, "id_poliza", "insured_sum")
-    df = lookup(df, [F.col("_plan")], first_by_key(dim_plan, ["plan_category"], SK), ["plan_category"], {SK: "plan_sk"})
-    df = lookup(df, [date_key(F.col("fecha_alta"))], first_by_key(dim_date, ["date_id"], SK), ["date_id"],
+    df = lookup(df, [F.col("_plan")], dim_plan, ["plan_category"], {SK: "plan_sk"})
+    df = lookup(df, [date_key(F.col("fecha_alta"))], dim_date, ["date_id"],
                 {SK: "sale_date_sk"})
-    df = lookup(df, [F.col("id_agente")], first_by_key(dim_agent, ["agent_id"], SK), ["agent_id"], {SK: "agent_sk"},
+    df = lookup(df, [F.col("id_agente")], dim_agent, ["agent_id"], {SK: "agent_sk"},
                 spread="policy_id")
     df = lookup(df, [F.col("id_objeto_asegurado")], item_keys(items, dim_item, dim_location), ["item_id"],
                 {"item_sk": "item_sk", "location_sk": "location_sk"}, spread="policy_id")
@@ -135,12 +136,11 @@ def fact_claim(
     if existing is not None:
         df = anti(df, ["claim_id"], existing)
     df = claim_details(df, assessments, payments, flags)
-    dates = first_by_key(dim_date, ["date_id"], SK)
-    df = lookup(df, [date_key(F.col("fecha_apertura"))], dates, ["date_id"], {SK: "open_date_sk"})
-    df = lookup(df, [date_key(F.col("fecha_cierre"))], dates, ["date_id"], {SK: "close_date_sk"}, default=None)
-    df = lookup(df, [F.col("tipo_siniestro")], first_by_key(dim_claim_type, ["claim_type"], SK), ["claim_type"],
+    df = lookup(df, [date_key(F.col("fecha_apertura"))], dim_date, ["date_id"], {SK: "open_date_sk"})
+    df = lookup(df, [date_key(F.col("fecha_cierre"))], dim_date, ["date_id"], {SK: "close_date_sk"}, default=None)
+    df = lookup(df, [F.col("tipo_siniestro")], dim_claim_type, ["claim_type"],
                 {SK: "claim_type_sk"})
-    df = lookup(df, [F.col("id_perito")], first_by_key(dim_adjuster, ["adjuster_id"], SK), ["adjuster_id"],
+    df = lookup(df, [F.col("id_perito")], dim_adjuster, ["adjuster_id"],
                 {SK: "adjuster_sk"}, spread="claim_id")
     df = lookup(df, [F.col("id_objeto_asegurado")], item_keys(items, dim_item, dim_location), ["item_id"],
                 {"location_sk": "location_sk"}, spread="claim_id")
@@ -164,6 +164,11 @@ def overpaid(df: DataFrame) -> DataFrame:
     return df.withColumn("is_overpaid", F.coalesce(F.col("paid") > F.col("_insured_sum"), F.lit(False)))
 
 
-def number_new(df: DataFrame, natural_key: str, existing: DataFrame | None = None) -> DataFrame:
-    """Give new fact rows their surrogate keys, after those already given out."""
-    return keys_by_hash(df, natural_key, SK, None if existing is None else max_key(existing, SK))
+def number_new(
+    df: DataFrame, natural_key: str, existing: DataFrame | None = None, ids: DataFrame | None = None
+) -> DataFrame:
+    """Give new fact rows their surrogate keys, after those already given out.
+
+    ``ids`` holds the same natural keys and is cheaper to scan than ``df``.
+    """
+    return keys_by_hash(df, natural_key, SK, 0 if existing is None else max_key(existing, SK), ids)

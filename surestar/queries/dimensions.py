@@ -11,6 +11,7 @@ from surestar.queries import base as b
 from surestar.queries.base import AS_OF, Query, plain, run_sql, table
 from surestar.queries.standins import CLEAN, clean
 from surestar.schemas import DIMENSIONS, UNKNOWN_MEMBERS
+from surestar.sources.store import empty_table
 
 # An item dimension loaded before, and the items of today: some are new, some changed, some gone.
 OLD_ITEMS = """
@@ -60,7 +61,7 @@ NEW_KINDS = "SELECT DISTINCT p_brand, CASE WHEN p_type <> 'SMALL' THEN p_type EN
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], DIMENSIONS[name])
+    return empty_table(spark, DIMENSIONS[name])
 
 
 def date_dim(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from surestar.operators import scd
 from surestar.operators.keys import keys_in_order
+from surestar.operators.refint import anti
 from surestar.plans import dims, facts
 from surestar.queries import base as b
 from surestar.queries.base import AS_OF, Query, plain, with_parts
@@ -70,7 +71,8 @@ class Star:
         )
 
     def policies(self) -> DataFrame:
-        return facts.number_new(self.new_policies(), "policy_id")
+        ids = self.curated["policies"].select(F.col("id_poliza").alias("policy_id"))
+        return facts.number_new(self.new_policies(), "policy_id", ids=ids)
 
     def new_claims(self, fact_policy: DataFrame, existing: DataFrame | None = None) -> DataFrame:
         wanted = ("dim_item", "dim_location", "dim_date", "dim_person", "dim_adjuster", "dim_claim_type")
@@ -88,7 +90,8 @@ def fact_policy(spark: SparkSession, d: str) -> DataFrame:
 def fact_claim(spark: SparkSession, d: str) -> DataFrame:
     star = Star(spark, d)
     claims = star.new_claims(star.policies()).select(*facts.CLAIM_COLUMNS)
-    return facts.number_new(claims, "claim_id")
+    ids = star.curated["claims"].select(F.col("id_parte").alias("claim_id"))
+    return facts.number_new(claims, "claim_id", ids=ids)
 
 
 def incremental_fact(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +99,8 @@ def incremental_fact(spark: SparkSession, d: str) -> DataFrame:
     star = Star(spark, d)
     loaded = star.curated["policies"].where("prima_mensual < 250000").select(F.col("id_poliza").alias("policy_id"))
     loaded = keys_in_order(loaded, ["policy_id"], "sk")
-    return facts.number_new(star.new_policies(loaded), "policy_id", loaded)
+    ids = star.curated["policies"].select(F.col("id_poliza").alias("policy_id"))
+    return facts.number_new(star.new_policies(loaded), "policy_id", loaded, anti(ids, ["policy_id"], loaded))
 
 
 def overpayment(spark: SparkSession, d: str) -> DataFrame:

@@ -8,12 +8,18 @@ then holds ``_SUCCESS``). A version is never overwritten while it may be read. A
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surestar.sources.files import child_folders, exists, join_path
 
 _DONE = "_SUCCESS"
 
 
+def empty_table(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, and known to the optimizer to have none, so joins with it vanish from the plan."""
+    return spark.createDataFrame([], schema).where(F.lit(False))
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -61,4 +67,4 @@ class Store:
     def _empty(self, table: str, schema: str | None) -> DataFrame:
         if schema is None:
             raise FileNotFoundError(f"table {table} does not exist in {self.root}")
-        return self.spark.createDataFrame([], schema)
+        return empty_table(self.spark, schema)
