@@ -18,13 +18,14 @@ def mark_last(df: DataFrame, key: Sequence[str], ordinal: str, eligible: str, ma
     The rows are joined back on key *and* ordinal. The ordinal is unique, so this join spreads evenly
     whatever the key distribution is, and rows without a key spread by their ordinal.
     """
-    last = df.where(F.col(eligible)).groupBy(*key).agg(F.max(ordinal).alias("_last"))
-    last = last.select(*[F.col(name).alias(f"_l_{name}") for name in key], "_last", F.lit(True).alias("_hit"))
+    # A condition in the aggregate and no filter before it: a filter would be evaluated on the raw columns again.
+    last = df.groupBy(*key).agg(F.max(F.when(F.col(eligible), F.col(ordinal))).alias("_last"))
+    last = last.select(*[F.col(name).alias(f"_l_{name}") for name in key], "_last")
     same_row = F.col(ordinal) == F.col("_last")
     for name in key:
         same_row = same_row & (F.col(name) == F.col(f"_l_{name}"))
     joined = df.join(last, same_row, "left")
-    flag = F.col(eligible) & F.coalesce(F.col("_hit"), F.lit(False))
+    flag = F.col(eligible) & F.col("_last").isNotNull()
     return joined.select(*df.columns, flag.alias(marker))
 
 

@@ -13,7 +13,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surestar.session import ensure_checkpoint_dir
+from surestar.session import materialise
 
 HASH_DIGITS = 4  # 16**4 = 65,536 buckets: 1.5 million rows in each at 100 billion rows
 
@@ -31,16 +31,14 @@ def keys_in_order(df: DataFrame, order: Sequence[str], sk: str, start: int = 0)
     make the counts and the rows disagree. The counts (one number per partition) go through the driver, as in
     ``zipWithIndex``. For new dimension members, not for facts.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     ascending = [F.asc_nulls_first(name) for name in order]
-    placed = (
+    placed = materialise(
         df.repartitionByRange(*ascending)
         .sortWithinPartitions(*ascending)
         .withColumns({
             "_bucket": F.spark_partition_id(),
             "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) + 1,
         })
-        .checkpoint()
     )
     counts = dict(placed.groupBy("_bucket").count().collect())
     sizes = [counts.get(i, 0) for i in range(max(counts, default=0) + 1)]

@@ -23,11 +23,10 @@ def mark_parent(
     df: DataFrame, key: str, parents: DataFrame, parent_key: str, marker: str, spread: str | None = None
 ) -> DataFrame:
     """Add a boolean column that says whether the reference exists among the parents."""
-    known = parents.select(F.col(parent_key).alias("_parent")).where("_parent is not null").distinct()
-    known = known.withColumn("_known", F.lit(True))
-    child_key = spread_nulls(F.col(key), F.col(spread)) if spread else F.col(key)
-    joined = df.withColumn("_child", child_key).join(known, F.col("_child") == F.col("_parent"), "left")
-    return joined.select(*df.columns, F.coalesce(F.col("_known"), F.lit(False)).alias(marker))
+    known = parents.select(F.col(parent_key).alias("_parent")).distinct()
+    child = spread_nulls(F.col(key), F.col(spread)) if spread else F.col(key)
+    joined = df.join(known, child == F.col("_parent"), "left")
+    return joined.select(*df.columns, F.col("_parent").isNotNull().alias(marker))
 
 
 def semi(df: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:

@@ -5,8 +5,8 @@ Each function takes a raw feed (text columns plus a unique ordinal) and the pare
 :func:`surestar.operators.rules.kept` and ``rejected`` split it.
 
 Order of the rules: rows without a key go first, then the last row per key wins, and only then are the business
-rules applied, so an invalid last row still displaces an earlier valid one. Typed columns are built in the last
-projection; the joins move the raw columns only.
+rules applied, so an invalid last row still displaces an earlier valid one. Typed columns are built once, after the
+joins, which move the raw columns only; the rules read the typed columns.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ def _feed_columns(raw: DataFrame) -> list[str]:
 
 def _keyed(raw: DataFrame, ids: Sequence[str], required: Sequence[str], key: str | None) -> tuple[DataFrame, list[Rule]]:
     """Add cleaned ids as ``_id_<name>`` and the first two rules: key present, last row of its key."""
-    df = raw.withColumns({f"_id_{name}": p.clean_reference(F.col(name)) for name in ids})
+    # Two projections, so that each id is trimmed once and not once per use.
+    df = raw.withColumns({f"_id_{name}": t.trim_all(F.col(name)) for name in ids})
+    df = df.withColumns({f"_id_{name}": p.not_placeholder(F.col(f"_id_{name}")) for name in ids})
     complete = F.lit(True)
     for name in required:
         complete = complete & F.col(f"_id_{name}" if name in ids else name).isNotNull()
@@ -55,6 +57,11 @@ def _references(df: DataFrame, references: Sequence[tuple[str, DataFrame, str, s
     return df
 
 
+def _typed(name: str) -> Column:
+    """Typed value of a column, for rules."""
+    return F.col(f"_t_{name}")
+
+
 def _finish(
     df: DataFrame,
     raw: DataFrame,
@@ -63,12 +70,13 @@ def _finish(
     only: Sequence[str] | None = None,
     drop: Sequence[str] = (),
 ) -> DataFrame:
-    """Final projection: feed columns with their typed values, added columns, reasons and rejected row."""
+    """Feed columns with their typed values, added columns, reasons and the rejected row."""
     feed = _feed_columns(raw)
     names = list(only) if only else [name for name in feed if name not in drop]
     names += [name for name in typed if name not in names]
-    columns = [typed.get(name, F.col(f"`{name}`")).alias(name) for name in names]
-    marked = with_reasons(df, rules)
+    valued = df.withColumns({f"_t_{name}": value for name, value in typed.items()})
+    marked = with_reasons(valued, rules)
+    columns = [_typed(name).alias(name) if name in typed else F.col(f"`{name}`") for name in names]
     return marked.select(*columns, REASONS, json_if_rejected(feed).alias(ROW_JSON))
 
 
@@ -102,7 +110,7 @@ def clients(
         typed |= {"provincia": F.col("_province"), "localidad": F.col("_city")}
     birth = p.lenient_date(F.col("fecha_nacimiento"))
     age = cl.age_in_year(birth, as_of)
-    rules.append(Rule("age_out_of_range", age.between(cl.MIN_AGE, cl.MAX_AGE)))
+    rules.append(Rule("age_out_of_range", _typed("edad").between(cl.MIN_AGE, cl.MAX_AGE)))
     typed |= {
         "fecha_nacimiento": birth,
         "edad": age.cast("int"),
@@ -230,20 +238,18 @@ def items(raw: DataFrame, policies: DataFrame | None = None) -> DataFrame:
 def agents(raw: DataFrame) -> DataFrame:
     df, rules = _keyed(raw, ["id_agente"], ["id_agente"], "id_agente")
     first, last = t.canonical(F.col("nombre")), t.canonical(F.col("apellido"))
-    hired = p.lenient_date(F.col("fecha_ingreso"))
-    channel = t.canonical(F.col("canal"))
     rules += [
         Rule("inactive", cl.active_agent(F.col("activo"))),
-        Rule("missing_hire_date", hired.isNotNull()),
-        Rule("unknown_channel", channel.isin(*cl.CHANNELS)),
+        Rule("missing_hire_date", _typed("fecha_ingreso").isNotNull()),
+        Rule("unknown_channel", _typed("canal").isin(*cl.CHANNELS)),
     ]
     typed = {
         "id_agente": F.col("_id_id_agente"),
         "nombre": first,
         "apellido": last,
-        "canal": channel,
+        "canal": t.canonical(F.col("canal")),
         **_present(raw, ["sucursal", "zona", "email"], t.canonical),
-        "fecha_ingreso": hired,
+        "fecha_ingreso": p.lenient_date(F.col("fecha_ingreso")),
         "activo": F.upper(F.trim("activo")),
         "nombre_completo": t.full_name(first, last),
     }
@@ -256,14 +262,12 @@ def claims(
     """Claims. The five references may be absent; one that is given has to exist."""
     ids = ["id_parte", "id_poliza", "id_objeto_asegurado", "id_perito", "id_denunciante", "id_receptor_pago"]
     df, rules = _keyed(raw, ids, ["id_parte", "id_poliza"], "id_parte")
-    opened, closed = p.lenient_date(F.col("fecha_apertura")), p.lenient_date(F.col("fecha_cierre"))
-    claimed = p.lenient_number(F.col("monto_reclamado"))
-    days = p.lenient_number(F.col("dias_resolucion"), p.MEASURE)
+    opened, closed = _typed("fecha_apertura"), _typed("fecha_cierre")
     rules += [
         Rule("missing_open_date", opened.isNotNull()),
         Rule("closed_before_open", closed.isNull() | opened.isNull() | (closed >= opened)),
-        Rule("negative_amount", claimed >= 0),
-        Rule("negative_days", days >= 0),
+        Rule("negative_amount", _typed("monto_reclamado") >= 0),
+        Rule("negative_days", p.lenient_number(F.col("dias_resolucion"), p.MEASURE) >= 0),
     ]
     references = [
         ("id_poliza", policies, "id_poliza", "unknown_policy"),
@@ -276,9 +280,9 @@ def claims(
     rules += [Rule(rule, F.col(f"_id_{name}").isNull() | F.col(f"_has_{name}")) for name, _, _, rule in references]
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
-        "fecha_apertura": opened,
-        "fecha_cierre": closed,
-        "monto_reclamado": claimed,
+        "fecha_apertura": p.lenient_date(F.col("fecha_apertura")),
+        "fecha_cierre": p.lenient_date(F.col("fecha_cierre")),
+        "monto_reclamado": p.lenient_number(F.col("monto_reclamado")),
         "dias_resolucion": p.lenient_integer(F.col("dias_resolucion")),
         **_present(raw, ["tipo_siniestro", "estado", "tipo_seguro"], t.canonical),
     }
@@ -290,7 +294,6 @@ def coverages(raw: DataFrame, policies: DataFrame, dedupe_exact: bool = False) -
     feed = _feed_columns(raw)
     df, rules = _keyed(raw, ["id_poliza"], ["id_poliza", "tipo_garantia", "suma_garantizada"], None)
     rules = [Rule("inactive", p.has_token(F.col("activa"))), *rules]
-    amount = p.lenient_number(F.col("suma_garantizada"))
     if dedupe_exact:
         compared = [f"_same_{name}" for name in feed if name != "activa"]
         # A null in a compared column must equal another null, so the comparison is done on texts.
@@ -301,12 +304,12 @@ def coverages(raw: DataFrame, policies: DataFrame, dedupe_exact: bool = False) -
     df = _references(df, [("_id_id_poliza", policies, "id_poliza", "_policy")])
     rules += [
         Rule("unknown_policy", F.col("_id_id_poliza").isNull() | F.col("_policy")),
-        Rule("sum_not_positive", amount > 0),
+        Rule("sum_not_positive", _typed("suma_garantizada") > 0),
     ]
     typed = {
         "id_poliza": F.col("_id_id_poliza"),
         "tipo_garantia": t.capitalise(F.col("tipo_garantia")),
-        "suma_garantizada": amount,
+        "suma_garantizada": p.lenient_number(F.col("suma_garantizada")),
     }
     return _finish(df, raw, rules, typed, drop=["activa"])
 

@@ -11,6 +11,7 @@ from surestar.plans import facts
 from surestar.queries.base import Query
 from surestar.queries.star import Star, sql_on_star
 from surestar.schemas import CLAIM_KEYS, DIMENSIONS, FOREIGN_KEYS, POLICY_KEYS, constraints
+from surestar.session import materialise
 
 _NATURAL_KEYS = {
     "dim_agent": "agent_id", "dim_adjuster": "adjuster_id", "dim_item": "item_id", "dim_date": "date_id",
@@ -19,10 +20,10 @@ _NATURAL_KEYS = {
 
 
 def star_tables(star: Star) -> dict[str, DataFrame]:
-    policies = star.policies()
-    claims = facts.number_new(star.new_claims(policies), "claim_id", ids=star.curated["claims"].select(
-        F.col("id_parte").alias("claim_id")
-    ))
+    """All tables of the star; the facts, which every rule reads again, are written once."""
+    policies = materialise(star.policies())
+    ids = star.curated["claims"].select(F.col("id_parte").alias("claim_id"))
+    claims = materialise(facts.number_new(star.new_claims(policies), "claim_id", ids=ids))
     return {**{name: star.dim(name) for name in DIMENSIONS}, "fact_policy": policies, "fact_claim": claims}
 
 

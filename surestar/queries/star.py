@@ -17,6 +17,7 @@ from surestar.queries.base import AS_OF, Query, plain, with_parts
 from surestar.queries.dimensions import LOCATION_SQL, PERSON_LOCATION_SQL, empty
 from surestar.queries.standins import CLEAN, clean
 from surestar.schemas import UNKNOWN_MEMBERS
+from surestar.session import materialise
 
 # The driver tables start earlier than the calendar of the insurer.
 CALENDAR = (dt.date(1995, 1, 1), dt.date(2026, 12, 31))
@@ -143,7 +144,7 @@ def loss_ratio(policies: DataFrame, claims: DataFrame, dim_plan: DataFrame, dim_
 
 def loss_ratio_by_plan_year(spark: SparkSession, d: str) -> DataFrame:
     star = Star(spark, d)
-    policies = star.policies()
+    policies = materialise(star.policies())
     return loss_ratio(policies, star.new_claims(policies), star.dim("dim_plan"), star.dim("dim_date"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,3 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="surestar-checkpoint-")
     context.setCheckpointDir(configured)
     return configured
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a frame to the checkpoint folder once, for plans that read it several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
