@@ -21,8 +21,8 @@ from surestar.session import get_session  # noqa: E402
 HEADLINES = (
     "canonical_text", "title_junk_clean", "lenient_number", "dedupe_keep_last", "dedupe_mark_last", "ri_null_tolerant",
     "agg_sum_left", "any_flag", "dense_keys", "dense_keys_by_hash", "sk_lookup_default", "sk_lookup_composite",
-    "scd1_state", "scd2_state", "curate_clients", "curate_policies", "curate_claims", "curate_coverages", "quarantine",
-    "fact_policy", "fact_claim", "dq_foreign_keys", "loss_ratio_by_plan_year",
+    "scd1_state", "scd2_state", "curate_clients", "curate_policies", "curate_claims", "curate_coverages", "fact_policy",
+    "fact_claim", "loss_ratio_by_plan_year",
 )
 
 

@@ -11,7 +11,7 @@ from surestar.functions import classify as cl
 from surestar.functions import text as t
 from surestar.functions.parse import MONEY, clean_reference, date_key
 from surestar.operators import scd
-from surestar.operators.lookup import last_by_key
+from surestar.operators.lookup import last_by_key, lookup
 from surestar.operators.refint import anti
 from surestar.schemas import CALENDAR_END, CALENDAR_START, ITEM_COUNTRY
 
@@ -116,10 +116,18 @@ def clean_location(country: Column, province: Column, city: Column) -> list[Colu
 
 
 def location_input(clients: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct locations of clients and items; province and city have to be known."""
-    of_clients = clients.select(*clean_location(F.col("pais"), F.col("provincia"), F.col("localidad")))
-    of_items = items.select(*clean_location(F.lit(ITEM_COUNTRY), F.col("provincia"), F.col("localidad")))
-    both = of_clients.unionByName(of_items).where("province is not null and city is not null")
+    """Distinct locations of clients and items; province and city have to be known.
+
+    Raw texts are made distinct first, so that a text is cleaned once and not once per client.
+    """
+    of_clients = clients.select(
+        F.col("pais").alias("country"), F.col("provincia").alias("province"), F.col("localidad").alias("city")
+    )
+    of_items = items.select(
+        F.lit(ITEM_COUNTRY).alias("country"), F.col("provincia").alias("province"), F.col("localidad").alias("city")
+    )
+    raw = of_clients.unionByName(of_items).distinct()
+    both = raw.select(*clean_location(*map(F.col, LOCATION))).where("province is not null and city is not null")
     # Texts that differ in case only are one member.
     keys = [t.location_key(F.col(name)).alias(f"_{name}") for name in LOCATION]
     return both.groupBy(*keys).agg(*[F.min(name).alias(name) for name in LOCATION]).select(*LOCATION)
@@ -142,26 +150,58 @@ def place_keys(province: Column, city: Column) -> list[Column]:
     return [t.location_key(t.clean_junk(province)), t.location_key(t.clean_junk(city))]
 
 
+def _join_raw(df: DataFrame, raw: list[Column], resolved: DataFrame) -> DataFrame:
+    """Left join to a table of distinct raw texts ``_r0, _r1, ...`` and their ``location_sk``; null equals null."""
+    same = F.lit(True)
+    for i, c in enumerate(raw):
+        same = same & c.eqNullSafe(F.col(f"_r{i}"))
+    return df.join(resolved, same, "left").select(*df.columns, "location_sk")
+
+
+def _distinct_raw(df: DataFrame, raw: list[Column]) -> DataFrame:
+    return df.select(*[c.alias(f"_r{i}") for i, c in enumerate(raw)]).distinct()
+
+
+def resolve_place(df: DataFrame, raw: list[Column], locations: DataFrame) -> DataFrame:
+    """Add ``location_sk`` by raw (province, city); null for an unknown place."""
+    texts = _distinct_raw(df, raw)
+    found = lookup(
+        texts,
+        place_keys(F.col("_r0"), F.col("_r1")),
+        location_by_place(locations),
+        ["province_key", "city_key"],
+        {SK: "location_sk"},
+        default=None,
+    )
+    return _join_raw(df, raw, found)
+
+
 # Persons
 
 
-def resolve_location(df: DataFrame, places: list[Column], locations: DataFrame) -> DataFrame:
-    """Add ``location_sk`` by (country, province, city); null equals null, so nothing fans out."""
+def resolve_location(df: DataFrame, raw: list[Column], locations: DataFrame) -> DataFrame:
+    """Add ``location_sk`` by raw (country, province, city); null equals null, so nothing fans out.
+
+    Distinct raw texts are cleaned and looked up; the rows only meet the result.
+    """
     known = locations.where(F.col(SK) != -1).groupBy(
         *[t.location_key(F.col(name)).alias(f"_d_{name}") for name in LOCATION]
     ).agg(F.min(SK).alias("location_sk"))
-    keyed = df.withColumns({f"_p_{name}": t.location_key(c) for name, c in zip(LOCATION, places)})
+    texts = _distinct_raw(df, raw)
+    cleaned = clean_location(*[F.col(f"_r{i}") for i in range(len(LOCATION))])
+    texts = texts.select("*", *cleaned)
     same = F.lit(True)
     for name in LOCATION:
-        same = same & F.col(f"_p_{name}").eqNullSafe(F.col(f"_d_{name}"))
-    return keyed.join(known, same, "left").select(*df.columns, "location_sk")
+        same = same & t.location_key(F.col(name)).eqNullSafe(F.col(f"_d_{name}"))
+    found = texts.join(known, same, "left").select(*[f"_r{i}" for i in range(len(LOCATION))], "location_sk")
+    return _join_raw(df, raw, found)
 
 
 def person_input(clients: DataFrame, locations: DataFrame) -> DataFrame:
     """Clients as persons, one row each, with their location key."""
     located = resolve_location(
         clients.select("id_cliente", "pais", "provincia", "localidad", "situacion_laboral", "segmento_persona", "sexo"),
-        clean_location(F.col("pais"), F.col("provincia"), F.col("localidad")),
+        [F.col("pais"), F.col("provincia"), F.col("localidad")],
         locations,
     )
     return located.select(

@@ -18,7 +18,7 @@ from surestar.operators.details import left_details, sum_by_key
 from surestar.operators.keys import keys_by_hash, max_key
 from surestar.operators.lookup import first_by_key, lookup, or_unknown
 from surestar.operators.refint import anti
-from surestar.plans.dims import SK, location_by_place, place_keys
+from surestar.plans.dims import SK, resolve_place
 
 POLICY_COLUMNS = (
     "policy_id", "holder_sk", "insured_sk", "sale_date_sk", "item_sk", "agent_sk", "plan_sk", "location_sk",
@@ -32,18 +32,9 @@ CLAIM_COLUMNS = (
 
 def item_keys(items: DataFrame, dim_item: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Per item id its surrogate key and, over the two hops item and place, its location key."""
-    places = items.select("id_objeto", *[
-        c.alias(name)
-        for c, name in zip(place_keys(F.col("provincia"), F.col("localidad")), ("province_key", "city_key"))
-    ])
-    placed = lookup(
-        places,
-        [F.col("province_key"), F.col("city_key")],
-        location_by_place(dim_location),
-        ["province_key", "city_key"],
-        {SK: "location_sk"},
-        default=None,
-    ).select(F.col("id_objeto").alias("_placed_id"), "location_sk")
+    places = items.select("id_objeto", "provincia", "localidad")
+    placed = resolve_place(places, [F.col("provincia"), F.col("localidad")], dim_location)
+    placed = placed.select(F.col("id_objeto").alias("_placed_id"), "location_sk")
     joined = dim_item.join(placed, F.col("item_id") == F.col("_placed_id"), "full_outer")
     return joined.select(
         F.coalesce("item_id", "_placed_id").alias("item_id"), F.col(SK).alias("item_sk"), "location_sk"

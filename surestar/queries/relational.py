@@ -155,13 +155,11 @@ def sk_lookup_default(spark: SparkSession, d: str) -> DataFrame:
 def sk_lookup_composite(spark: SparkSession, d: str) -> DataFrame:
     """Order -> item -> place -> highest location key of the (province, city) pair."""
     places = run_sql(spark, d, PLACES)
-    known = dims.location_by_place(places)
     geography = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     items = table(spark, d, "part").join(geography, F.pmod("p_partkey", F.lit(25)) == F.col("n_nationkey"), "left")
     province = F.concat(F.lit(" "), F.lower("r_name"), F.lit(". "))
     items = items.select("p_partkey", province.alias("province"), F.col("n_name").alias("city"))
-    place_keys = dims.place_keys(F.col("province"), F.col("city"))
-    item_places = lookup.lookup(items, place_keys, known, ["province_key", "city_key"], {"sk": "location_sk"}, default=None)
+    item_places = dims.resolve_place(items, [F.col("province"), F.col("city")], places)
     ordered = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("item"))
     orders = table(spark, d, "orders").select("o_orderkey").join(ordered, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     found = lookup.lookup(
@@ -189,8 +187,7 @@ def fanout_guard(spark: SparkSession, d: str) -> DataFrame:
     people = table(spark, d, "customer").join(geography, F.col("c_nationkey") == F.col("n_nationkey"))
     country = F.when(F.col("c_custkey") % 5 == 0, "Chile").when(F.col("c_custkey") % 5 != 1, " argentina ")
     people = people.select("c_custkey", country.alias("country"), F.col("r_name").alias("province"), F.col("n_name").alias("city"))
-    places_of = dims.clean_location(F.col("country"), F.col("province"), F.col("city"))
-    return dims.resolve_location(people, places_of, places).select("c_custkey", "location_sk")
+    return dims.resolve_location(people, [F.col("country"), F.col("province"), F.col("city")], places).select("c_custkey", "location_sk")
 
 
 def union_distinct_location(spark: SparkSession, d: str) -> DataFrame:
