@@ -22,7 +22,6 @@ NULL_SENTINEL = "<null>"
 # White space: the Unicode property plus the four information separators. The look-behind starts an attempt only
 # where a run begins, so long inner runs cost no more than their length.
 _SPACE = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_ENDS = rf"^{_SPACE}+|(?<!{_SPACE}){_SPACE}++$"
 _RARE_SPACE = _SPACE.replace(r"\x1c- ", r"\x1c-\x1f")
 
 
@@ -46,8 +45,15 @@ def accent_map() -> tuple[str, str]:
     return "".join(accented), "".join(plain)
 
 
+@lru_cache(maxsize=1)
+def whitespace() -> str:
+    """Every character that counts as white space."""
+    return "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+
+
 def _trim_ends(c: Column) -> Column:
-    return F.regexp_replace(c, _ENDS, "")
+    # Works from both ends; a pattern would look at every run of blanks inside a long text.
+    return F.btrim(c, F.lit(whitespace()))
 
 
 def trim_all(c: Column) -> Column:
