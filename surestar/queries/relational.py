@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surestar.functions import text as t
 from surestar.functions.parse import MONEY, date_key
 from surestar.operators import dedupe, details, keys, lookup, refint
 from surestar.plans import dims

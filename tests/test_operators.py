@@ -11,7 +11,7 @@ from surestar.plans import curate, dims
 from surestar.queries import ALL
 from surestar.queries.base import table
 from surestar.session import ensure_checkpoint_dir
-from surestar.sources.feeds import NULL_CELLS, ORDINAL, read_csv, read_csv_any_encoding, write_csv
+from surestar.sources.feeds import NULL_CELLS, ORDINAL, read_csv, read_csv_any_encoding
 from surestar.plans.full_load import build_master_geography
 
 FOLDER = "/root/testdata/sf0.001"
