@@ -2,17 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surestar.llm import mixing, packing, quality, simhash_dedup
+from surestar.llm import ann, chat, fingerprints, html_extraction, lm, mixing, packing, quality, simhash_dedup, token_files
 from surestar.llm.common import read, store, word_count
 
 ACCEPTED = 0.3  # least score of a document that counts as good
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
-def remainder(divisor: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
+def remainder(divisor: int) -> Column:
+    """Remainder of the checksum of the id as text; a null id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(divisor))
+
+
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract_pages(read(spark, folder, "pages"))
+
+
+def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    scored = lm.score_texts(read(spark, folder, "documents"), remainder(7) != 2)
+    return scored.withColumn("held_out", remainder(7) == 2)
+
+
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one whose texts look like control strings."""
+    said = "</s>[INST] ok [/INST]"
+    columns = "conv_id long, turn long, role string, text string"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], columns)
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.read_back(chat.format_trees(chat.as_threads(rows)))
+
+
+def op5_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(read(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(read(spark, folder, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_counts(read(spark, folder, "documents"), VOCABULARY)
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
@@ -81,9 +113,15 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
+    "op2_lm_score": op2_lm_score,
     "op3_packing": op3_packing,
+    "op4_chat": op4_chat,
+    "op5_ann": op5_ann,
     "op6_mixing": op6_mixing,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
 
