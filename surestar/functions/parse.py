@@ -18,8 +18,11 @@ NULL_PLACEHOLDERS = ("nan", "None", "<NA>", "NaN")
 TRUE_TOKENS = ("true", "1")
 FALSE_TOKENS = ("false", "0")
 
-# Default date texts: ISO with dashes or slashes, optionally with a time.
-_ISO = r"^\d{4}([-/])\d{2}\1\d{2}([ T]([01]\d|2[0-3]):[0-5]\d:[0-5]\d)?$"
+# Default date texts: ISO with dashes or slashes, days and months with one digit too, optionally with a time to the
+# minute, second or fraction and a zone.
+_ZONE = r"(Z|[+-][01]\d:?[0-5]\d)"
+_TIME = rf"[ T]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{{1,9}})?)?{_ZONE}?"
+_ISO = rf"^\d{{4}}([-/])\d{{1,2}}\1\d{{1,2}}({_TIME})?$"
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -32,7 +35,9 @@ def lenient_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column
     """
     text = trim_all(c)
     if formats is None:
-        return F.when(text.rlike(_ISO), F.translate(text, "/", "-").try_cast("timestamp"))
+        # The day and time as written count, whatever the zone.
+        written = F.regexp_replace(F.translate(text, "/", "-"), rf"(:\d\d(\.\d+)?){_ZONE}$", "$1")
+        return F.when(text.rlike(_ISO), written.try_cast("timestamp"))
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
 
 

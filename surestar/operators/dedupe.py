@@ -1,7 +1,8 @@
 """Duplicates: keep the last or the first row of a key.
 
-None of these sorts or buffers the rows of a key in one task. Row choice is an aggregate with map-side
-combine, so a key that holds a third of the table shrinks to one row per map task before the shuffle.
+None of these buffers the rows of a key in one task. Row choice is an aggregate with map-side combine, so a key that
+holds a third of the table shrinks to one row per map task before the shuffle. ``mark_last`` on a numeric ordinal is a
+hash aggregate; ``keep_last`` and ``keep_first`` carry whole rows, for which Spark sorts each partition by key.
 """
 
 from __future__ import annotations

@@ -8,7 +8,6 @@ bounded, ever meet in one place.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,10 +25,9 @@ def max_key(existing: DataFrame, sk: str) -> int:
 def keys_in_order(df: DataFrame, order: Sequence[str], sk: str, start: int = 0) -> DataFrame:
     """Number the rows in the order of their natural key, which has to be unique.
 
-    The rows are range partitioned and sorted in their partitions. The range bounds come from a sample,
-    so the result is checkpointed before the partitions are counted: a lost executor cannot
-    make the counts and the rows disagree. The counts (one number per partition) go through the driver, as in
-    ``zipWithIndex``. For new dimension members, not for facts.
+    The rows are range partitioned and sorted in their partitions. The range bounds come from a sample, so the result is
+    written to the shared folder once and its partitions are counted there: a lost executor cannot make the counts
+    and the rows disagree. The counts, one per partition, are joined back. For new dimension members, not for facts.
     """
     ascending = [F.asc_nulls_first(name) for name in order]
     placed = materialise(
@@ -40,11 +38,16 @@ def keys_in_order(df: DataFrame, order: Sequence[str], sk: str, start: int = 0)
             "_place": F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) + 1,
         })
     )
-    counts = dict(placed.groupBy("_bucket").count().collect())
-    sizes = [counts.get(i, 0) for i in range(max(counts, default=0) + 1)]
-    offsets = F.array(*[F.lit(before) for before in accumulate(sizes[:-1], initial=start)])
-    value = F.get(offsets, F.col("_bucket")) + F.col("_place")
-    return placed.select(value.cast("bigint").alias(sk), *[c for c in df.columns if c != sk])
+    counts = placed.groupBy("_bucket").agg(F.count("*").alias("count"))
+    value = F.col("_offset") + F.col("_place") + F.lit(start)
+    numbered = placed.join(_offsets(counts), "_bucket")
+    return numbered.select(value.cast("bigint").alias(sk), *[c for c in df.columns if c != sk])
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """Rows before each bucket; one row per bucket, so the window is as small as the number of buckets."""
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
 
 
 def keys_by_hash(df: DataFrame, key: str, sk: str, start: int = 0, ids: DataFrame | None = None) -> DataFrame:
@@ -58,9 +61,8 @@ def keys_by_hash(df: DataFrame, key: str, sk: str, start: int = 0, ids: DataFram
     bucket = F.substring(digest, 1, HASH_DIGITS)
     counted = df if ids is None else ids
     counts = counted.select(bucket.alias("_bucket")).groupBy("_bucket").count()
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per bucket: this window and the broadcast below are bounded by the number of buckets.
-    offsets = counts.select("_bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
+    # The broadcast below is bounded by the number of buckets.
+    offsets = _offsets(counts)
     placed = df.withColumns({"_bucket": bucket, "_digest": digest})
     in_bucket = Window.partitionBy("_bucket").orderBy("_digest", key)
     numbered = placed.withColumn("_place", F.row_number().over(in_bucket)).join(F.broadcast(offsets), "_bucket")

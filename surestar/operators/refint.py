@@ -29,6 +29,25 @@ def mark_parent(
     return joined.select(*df.columns, F.col("_parent").isNotNull().alias(marker))
 
 
+def mark_parents(
+    df: DataFrame, key: str, parents: Sequence[tuple[DataFrame, str, str]], spread: str | None = None
+) -> DataFrame:
+    """Several markers (parents, parent key, marker) for one reference by one join.
+
+    The parents become one table of ids with a flag per kind, so a reference that most rows share is skewed in one
+    join only, which Spark can split.
+    """
+    flags = [marker for _, _, marker in parents]
+    union = None
+    for table, parent_key, own in parents:
+        part = table.select(F.col(parent_key).alias("_parent"), *[F.lit(flag == own).alias(f"_f_{flag}") for flag in flags])
+        union = part if union is None else union.unionByName(part)
+    known = union.groupBy("_parent").agg(*[F.bool_or(f"_f_{flag}").alias(f"_f_{flag}") for flag in flags])
+    child = spread_nulls(F.col(key), F.col(spread)) if spread else F.col(key)
+    joined = df.join(known, child == F.col("_parent"), "left")
+    return joined.select(*df.columns, *[F.coalesce(f"_f_{flag}", F.lit(False)).alias(flag) for flag in flags])
+
+
 def semi(df: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose reference exists."""
     known = parents.select(F.col(parent_key).alias("_parent"))

@@ -12,6 +12,7 @@ from surestar.functions.text import row_json
 
 REASONS = "_reasons"
 ROW_JSON = "_row_json"
+KEPT = "_kept"
 
 
 @dataclass(frozen=True)
@@ -31,18 +32,19 @@ def reasons(rules: Sequence[Rule]) -> Column:
 
 
 def with_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    return df.withColumn(REASONS, reasons(rules))
+    """Add the broken rules and, as a flag that a Parquet scan can filter by, whether there are none."""
+    return df.withColumn(REASONS, reasons(rules)).withColumn(KEPT, F.size(REASONS) == 0)
 
 
 def kept(df: DataFrame) -> DataFrame:
     """Rows that break no rule, without the service columns."""
-    good = df.where(F.size(REASONS) == 0)
+    good = df.where(F.col(KEPT))
     return good.select(*[name for name in df.columns if not name.startswith("_")])
 
 
 def rejected(df: DataFrame, source: str, run_id: str) -> DataFrame:
     """Quarantine rows ``(source, reasons, row_json, run_id)``."""
-    return df.where(F.size(REASONS) > 0).select(
+    return df.where(~F.col(KEPT)).select(
         F.lit(source).alias("source"),
         F.col(REASONS).alias("reasons"),
         F.col(ROW_JSON).alias("row_json"),
@@ -52,4 +54,4 @@ def rejected(df: DataFrame, source: str, run_id: str) -> DataFrame:
 
 def json_if_rejected(columns: Sequence[str]) -> Column:
     """The row as JSON, built only where a rule is broken."""
-    return F.when(F.size(REASONS) > 0, row_json(columns))
+    return F.when(~F.col(KEPT), row_json(columns))

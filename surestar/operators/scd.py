@@ -86,8 +86,13 @@ def scd2_merge(
 
     ``existing`` holds ``sk``, ``key``, the columns of ``incoming``, ``valid_from``, ``valid_to`` and
     ``is_current``. Versions are half-open intervals: the end of one is the start of the next.
-    A second run with the same input changes nothing.
+    A second run with the same input changes nothing. An ``as_of`` before the start of a known version is refused: it
+    would close versions before they began.
     """
+    real = _real(existing, sk)
+    last, start = real.agg(F.max("valid_from"), F.coalesce(F.max(F.when(F.col(sk) > 0, F.col(sk))), F.lit(0))).first()
+    if last is not None and as_of < last:
+        raise ValueError(f"as_of {as_of} is before {last}, the start of a version that is known already")
     today = F.lit(as_of).cast("date")
     compared = scd2_status(existing, incoming, key, tracked, sk)
     to_close = compared.where(F.col("status") == STATUS_CHANGED)
@@ -98,7 +103,7 @@ def scd2_merge(
         "is_current": F.col("is_current") & ~closing,
     })
     to_open = compared.where(F.col("status") != STATUS_SAME).select(*incoming.columns)
-    opened = keys_in_order(to_open, [key], sk, max_key(existing, sk)).withColumns({
+    opened = keys_in_order(to_open, [key], sk, start).withColumns({
         "valid_from": today,
         "valid_to": F.lit(None).cast("date"),
         "is_current": F.lit(True),
@@ -108,10 +113,9 @@ def scd2_merge(
 
 def ensure_unknown_member(dimension: DataFrame, sk: str, values: Mapping[str, object]) -> DataFrame:
     """Add the member with key -1 unless it is there already."""
-    if not dimension.where(F.col(sk) == UNKNOWN_SK).isEmpty():
-        return dimension
-    member = dimension.sparkSession.range(1).select(*[
+    there = dimension.where(F.col(sk) == UNKNOWN_SK).select((F.col(sk) - UNKNOWN_SK).alias("_there"))
+    member = dimension.sparkSession.range(1).select("id", *[
         F.lit(UNKNOWN_SK if field.name == sk else values.get(field.name)).cast(field.dataType).alias(field.name)
         for field in dimension.schema.fields
     ])
-    return dimension.unionByName(member)
+    return dimension.unionByName(member.join(there, F.col("id") == F.col("_there"), "left_anti").drop("id"))

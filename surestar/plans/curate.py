@@ -22,28 +22,37 @@ from surestar.functions import parse as p
 from surestar.functions import text as t
 from surestar.operators.dedupe import mark_last
 from surestar.operators.details import any_by_key
-from surestar.operators.refint import mark_parent
-from surestar.operators.rules import REASONS, ROW_JSON, Rule, json_if_rejected, kept, with_reasons
-from surestar.sources.feeds import ORDINAL
+from surestar.operators.refint import mark_parents
+from surestar.operators.rules import KEPT, REASONS, ROW_JSON, Rule, json_if_rejected, kept, with_reasons
+from surestar.sources.feeds import MALFORMED, ORDINAL
 
+MALFORMED_ROW = "malformed_row"
 MISSING_KEY = "missing_key"
 SUPERSEDED = "superseded"
+Formats = Sequence[str] | None
 
 
 def _feed_columns(raw: DataFrame) -> list[str]:
-    return [name for name in raw.columns if name != ORDINAL]
+    return [name for name in raw.columns if name not in (ORDINAL, MALFORMED)]
 
 
 def _keyed(raw: DataFrame, ids: Sequence[str], required: Sequence[str], key: str | None) -> tuple[DataFrame, list[Rule]]:
-    """Add cleaned ids as ``_id_<name>`` and the first two rules: key present, last row of its key."""
+    """Add cleaned ids as ``_id_<name>`` and the first rules: row well formed, key present, last row of its key."""
     # Two projections, so that each id is trimmed once and not once per use.
     df = raw.withColumns({f"_id_{name}": t.trim_all(F.col(name)) for name in ids})
     df = df.withColumns({f"_id_{name}": p.not_placeholder(F.col(f"_id_{name}")) for name in ids})
     complete = F.lit(True)
     for name in required:
         complete = complete & F.col(f"_id_{name}" if name in ids else name).isNotNull()
-    df = df.withColumn("_complete", complete)
-    rules = [Rule(MISSING_KEY, F.col("_complete"))]
+    rules = []
+    if MALFORMED in raw.columns:  # cells of such a row may stand in the wrong columns, so nothing else is read from it
+        whole = F.col(MALFORMED).isNull()
+        rules.append(Rule(MALFORMED_ROW, whole))
+        df = df.withColumn("_complete", complete & whole)
+        rules.append(Rule(MISSING_KEY, ~whole | F.col("_complete")))
+    else:
+        df = df.withColumn("_complete", complete)
+        rules.append(Rule(MISSING_KEY, F.col("_complete")))
     if key:
         df = mark_last(df, [f"_id_{key}"], ORDINAL, "_complete")
         rules.append(Rule(SUPERSEDED, ~F.col("_complete") | F.col("_is_last")))
@@ -51,10 +60,21 @@ def _keyed(raw: DataFrame, ids: Sequence[str], required: Sequence[str], key: str
 
 
 def _references(df: DataFrame, references: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
-    """Add one marker column per (child key, parents, parent key, marker)."""
+    """Add one marker column per (child key, parents, parent key, marker).
+
+    References by the same id share a join. With several ids the markers are found on rows that hold the ids alone and
+    join the feed once, by the ordinal, so the wide rows are shuffled once and not for each parent.
+    """
+    by_child: dict[str, list[tuple[DataFrame, str, str]]] = {}
     for child, parents, parent_key, marker in references:
-        df = mark_parent(df, child, parents, parent_key, marker, spread=ORDINAL)
-    return df
+        by_child.setdefault(child, []).append((parents, parent_key, marker))
+    narrow = df if len(by_child) == 1 else df.select(ORDINAL, *by_child)
+    for child, parents in by_child.items():
+        narrow = mark_parents(narrow, child, parents, spread=ORDINAL)
+    if len(by_child) == 1:
+        return narrow
+    markers = [marker for _, _, _, marker in references]
+    return df.join(narrow.select(ORDINAL, *markers), ORDINAL).select(*df.columns, *markers)
 
 
 def _typed(name: str) -> Column:
@@ -77,7 +97,28 @@ def _finish(
     valued = df.withColumns({f"_t_{name}": value for name, value in typed.items()})
     marked = with_reasons(valued, rules)
     columns = [_typed(name).alias(name) if name in typed else F.col(f"`{name}`") for name in names]
-    return marked.select(*columns, REASONS, json_if_rejected(feed).alias(ROW_JSON))
+    texts = [*feed, MALFORMED] if MALFORMED in raw.columns else feed
+    return marked.select(*columns, REASONS, KEPT, json_if_rejected(texts).alias(ROW_JSON))
+
+
+# Columns that each feed reads as numbers and as yes or no.
+NUMBERS = {
+    "policies": ("prima_mensual", "prima_total", "customer_lifetime_value", "numero_polizas_cliente", "meses_desde_inicio"),
+    "assessments": ("monto_estimado_dano",),
+    "payments": ("monto_pagado",),
+    "items": ("valor_asegurado", "valor_inmueble", "superficie_m2", "año_fabricacion", "año_construccion"),
+    "claims": ("monto_reclamado", "dias_resolucion"),
+    "coverages": ("suma_garantizada",),
+}
+TOKENS = {"assessments": ("requiere_reinspeccion",), "coverages": ("activa",), "fraud_indicators": ("confirmado_fraude",)}
+
+
+def coerced_counts(raw: DataFrame, name: str) -> list[Column]:
+    """How many texts of each column are no number, or no known token, as aggregates over a raw feed."""
+    numbers = [c for c in NUMBERS.get(name, ()) if c in raw.columns]
+    tokens = [c for c in TOKENS.get(name, ()) if c in raw.columns]
+    counts = [F.count_if(p.number_coerced(F.col(c))).alias(f"{c}: no number") for c in numbers]
+    return counts + [F.count_if(p.token_unknown(F.col(c))).alias(f"{c}: unknown token") for c in tokens]
 
 
 def _present(raw: DataFrame, names: Sequence[str], make: Callable[[Column], Column]) -> dict[str, Column]:
@@ -89,10 +130,12 @@ def clients(
     as_of: dt.date,
     geography: DataFrame | None = None,
     province_aliases: Mapping[str, Sequence[str]] | None = None,
+    dates: Formats = None,
 ) -> DataFrame:
     """Clients. ``geography`` is the master list (provincia, localidad); without it the country decides.
 
-    ``province_aliases`` names a master province and the canonical spellings that mean it.
+    ``province_aliases`` names a master province and the canonical spellings that mean it. ``dates`` are the formats of
+    the feed's dates, here and below; without them ISO texts are read.
     """
     df, rules = _keyed(raw, ["id_cliente"], ["id_cliente"], "id_cliente")
     first, last = t.canonical(F.col("nombre")), t.canonical(F.col("apellido"))
@@ -108,7 +151,7 @@ def clients(
         df = mark_geography(df, "provincia", "localidad", geography, province_aliases)
         rules.append(Rule("unknown_location", F.col("_in_master")))
         typed |= {"provincia": F.col("_province"), "localidad": F.col("_city")}
-    birth = p.lenient_date(F.col("fecha_nacimiento"))
+    birth = p.lenient_date(F.col("fecha_nacimiento"), dates)
     age = cl.age_in_year(birth, as_of)
     rules.append(Rule("age_out_of_range", _typed("edad").between(cl.MIN_AGE, cl.MAX_AGE)))
     typed |= {
@@ -148,7 +191,7 @@ def mark_geography(
     return joined.select(*df.columns, "_province", "_city", known.alias("_in_master"))
 
 
-def policies(raw: DataFrame, clients: DataFrame, agents: DataFrame) -> DataFrame:
+def policies(raw: DataFrame, clients: DataFrame, agents: DataFrame, dates: Formats = None) -> DataFrame:
     ids = ["id_poliza", "id_cliente", "id_agente", "id_asegurado", "id_objeto_asegurado"]
     df, rules = _keyed(raw, ids, ["id_poliza", "id_cliente"], "id_poliza")
     df = _references(df, [
@@ -159,7 +202,7 @@ def policies(raw: DataFrame, clients: DataFrame, agents: DataFrame) -> DataFrame
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
         **_present(raw, ["tipo_seguro", "cobertura", "tipo_poliza", "canal_venta", "estado"], t.canonical),
-        **_present(raw, ["fecha_alta", "vigencia_desde", "vigencia_hasta"], p.lenient_date),
+        **_present(raw, ["fecha_alta", "vigencia_desde", "vigencia_hasta"], lambda c: p.lenient_date(c, dates)),
         **_present(raw, ["prima_mensual", "prima_total"], p.lenient_number),
         **_present(raw, ["customer_lifetime_value"], lambda c: p.lenient_number(c, p.MEASURE)),
         **_present(raw, ["numero_polizas_cliente", "meses_desde_inicio"], p.lenient_integer),
@@ -167,7 +210,7 @@ def policies(raw: DataFrame, clients: DataFrame, agents: DataFrame) -> DataFrame
     return _finish(df, raw, rules, typed)
 
 
-def assessments(raw: DataFrame, claims: DataFrame, adjusters: DataFrame) -> DataFrame:
+def assessments(raw: DataFrame, claims: DataFrame, adjusters: DataFrame, dates: Formats = None) -> DataFrame:
     ids = ["id_evaluacion", "id_parte", "id_perito"]
     df, rules = _keyed(raw, ids, ids, "id_evaluacion")
     df = _references(df, [
@@ -177,7 +220,7 @@ def assessments(raw: DataFrame, claims: DataFrame, adjusters: DataFrame) -> Data
     rules += [Rule("unknown_claim", F.col("_claim")), Rule("unknown_adjuster", F.col("_adjuster"))]
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
-        "fecha_visita": p.lenient_date(F.col("fecha_visita")),
+        "fecha_visita": p.lenient_date(F.col("fecha_visita"), dates),
         "monto_estimado_dano": p.lenient_number(F.col("monto_estimado_dano")),
         **_present(raw, ["dictamen"], t.canonical),
         "requiere_reinspeccion": p.token_flag(F.col("requiere_reinspeccion")),
@@ -197,7 +240,7 @@ def adjusters(raw: DataFrame) -> DataFrame:
     return _finish(df, raw, rules, typed, only=["id_perito", "nombre", "apellido", "nombre_completo", "zona_cobertura"])
 
 
-def payments(raw: DataFrame, claims: DataFrame, clients: DataFrame, policies: DataFrame) -> DataFrame:
+def payments(raw: DataFrame, claims: DataFrame, clients: DataFrame, policies: DataFrame, dates: Formats = None) -> DataFrame:
     """A payee has to be a client and also the insured person of some policy."""
     ids = ["id_pago", "id_parte", "id_receptor"]
     df, rules = _keyed(raw, ids, ids, "id_pago")
@@ -214,7 +257,7 @@ def payments(raw: DataFrame, claims: DataFrame, clients: DataFrame, policies: Da
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
         "monto_pagado": p.lenient_number(F.col("monto_pagado")),
-        "fecha_pago": p.lenient_date(F.col("fecha_pago")),
+        "fecha_pago": p.lenient_date(F.col("fecha_pago"), dates),
     }
     return _finish(df, raw, rules, typed, only=[*ids, "monto_pagado", "fecha_pago"])
 
@@ -225,6 +268,7 @@ def items(raw: DataFrame, policies: DataFrame | None = None) -> DataFrame:
     if policies is not None:
         df = _references(df, [("_id_id_objeto", policies, "id_objeto_asegurado", "_policy")])
         rules.append(Rule("no_policy", F.col("_policy")))
+    rules.append(Rule("value_too_large", _typed("valor_asegurado").try_cast(p.MONEY).isNotNull()))
     typed = {
         "id_objeto": F.col("_id_id_objeto"),
         **_present(raw, ["tipo_objeto", "descripcion", "localidad", "provincia", "marca", "modelo"], t.canonical),
@@ -235,7 +279,7 @@ def items(raw: DataFrame, policies: DataFrame | None = None) -> DataFrame:
     return _finish(df, raw, rules, typed)
 
 
-def agents(raw: DataFrame) -> DataFrame:
+def agents(raw: DataFrame, dates: Formats = None) -> DataFrame:
     df, rules = _keyed(raw, ["id_agente"], ["id_agente"], "id_agente")
     first, last = t.canonical(F.col("nombre")), t.canonical(F.col("apellido"))
     rules += [
@@ -249,7 +293,7 @@ def agents(raw: DataFrame) -> DataFrame:
         "apellido": last,
         "canal": t.canonical(F.col("canal")),
         **_present(raw, ["sucursal", "zona", "email"], t.canonical),
-        "fecha_ingreso": p.lenient_date(F.col("fecha_ingreso")),
+        "fecha_ingreso": p.lenient_date(F.col("fecha_ingreso"), dates),
         "activo": F.upper(F.trim("activo")),
         "nombre_completo": t.full_name(first, last),
     }
@@ -257,7 +301,7 @@ def agents(raw: DataFrame) -> DataFrame:
 
 
 def claims(
-    raw: DataFrame, policies: DataFrame, clients: DataFrame, adjusters: DataFrame, items: DataFrame
+    raw: DataFrame, policies: DataFrame, clients: DataFrame, adjusters: DataFrame, items: DataFrame, dates: Formats = None
 ) -> DataFrame:
     """Claims. The five references may be absent; one that is given has to exist."""
     ids = ["id_parte", "id_poliza", "id_objeto_asegurado", "id_perito", "id_denunciante", "id_receptor_pago"]
@@ -280,8 +324,8 @@ def claims(
     rules += [Rule(rule, F.col(f"_id_{name}").isNull() | F.col(f"_has_{name}")) for name, _, _, rule in references]
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
-        "fecha_apertura": p.lenient_date(F.col("fecha_apertura")),
-        "fecha_cierre": p.lenient_date(F.col("fecha_cierre")),
+        "fecha_apertura": p.lenient_date(F.col("fecha_apertura"), dates),
+        "fecha_cierre": p.lenient_date(F.col("fecha_cierre"), dates),
         "monto_reclamado": p.lenient_number(F.col("monto_reclamado")),
         "dias_resolucion": p.lenient_integer(F.col("dias_resolucion")),
         **_present(raw, ["tipo_siniestro", "estado", "tipo_seguro"], t.canonical),

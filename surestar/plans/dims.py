@@ -70,7 +70,10 @@ def load_adjusters(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def item_input(items: DataFrame) -> DataFrame:
-    """Values are rounded to what the dimension stores, so that a comparison with it is exact."""
+    """Values are cast to what the dimension stores, so that a comparison with it is exact.
+
+    Curation has rejected items whose value is too large for it.
+    """
     return items.select(
         F.col("id_objeto").alias("item_id"),
         F.col("tipo_objeto").alias("item_type"),

@@ -61,7 +61,10 @@ def fact_policy(
     existing: DataFrame | None = None,
     person_version: str = "first",
 ) -> DataFrame:
-    """Policies not loaded yet, with all keys and measures but without a key of their own."""
+    """Policies not loaded yet, with all keys and measures but without a key of their own.
+
+    Amounts are as curated, so that rules see one that is too large; :func:`as_stored` casts them.
+    """
     df = policies.select(
         F.col("id_poliza").alias("policy_id"),
         "id_cliente",
@@ -70,7 +73,7 @@ def fact_policy(
         "id_objeto_asegurado",
         "fecha_alta",
         cl.plan_category(F.col("cobertura")).alias("_plan"),
-        F.col("prima_mensual").try_cast(MONEY).alias("premium"),
+        F.col("prima_mensual").alias("premium"),
     )
     if existing is not None:
         df = anti(df, ["policy_id"], existing)
@@ -86,7 +89,13 @@ def fact_policy(
     persons = person_keys(dim_person, person_version)
     for role, column in (("holder_sk", "id_cliente"), ("insured_sk", "id_asegurado")):
         df = lookup(df, [F.col(column)], persons, ["person_id"], {SK: role}, spread="policy_id")
-    return df.withColumn("insured_sum", F.col("insured_sum").try_cast(MONEY)).select(*POLICY_COLUMNS)
+    return df.select(*POLICY_COLUMNS)
+
+
+def as_stored(df: DataFrame, table: str) -> DataFrame:
+    """Cast the amounts to what the warehouse stores; one that is too large becomes null."""
+    amounts = {"fact_policy": ("premium", "insured_sum"), "fact_claim": ("claimed", "assessed", "paid")}[table]
+    return df.withColumns({name: F.col(name).try_cast(MONEY) for name in amounts})
 
 
 def claim_details(claims: DataFrame, assessments: DataFrame, payments: DataFrame, flags: DataFrame) -> DataFrame:
@@ -137,15 +146,15 @@ def fact_claim(
                 {"location_sk": "location_sk"}, spread="claim_id")
     df = lookup(df, [F.col("id_receptor_pago")], person_keys(dim_person, person_version), ["person_id"],
                 {SK: "payee_sk"}, spread="claim_id")
-    policy = fact_policy.groupBy("policy_id").agg(F.min_by(F.struct(SK, "insured_sum"), SK).alias("_policy"))
-    policy = policy.select("policy_id", F.col(f"_policy.{SK}").alias("policy_sk"), "_policy.insured_sum")
+    # The load never makes a second row for a policy, so the table is joined as it is.
+    policy = fact_policy.select("policy_id", F.col(SK).alias("policy_sk"), "insured_sum")
     df = lookup(df, [F.col("id_poliza")], policy, ["policy_id"],
                 {"policy_sk": "policy_sk", "insured_sum": "_insured_sum"}, default=None, spread="claim_id")
     return df.withColumns({
         "policy_sk": or_unknown(F.col("policy_sk")),
-        "claimed": F.col("monto_reclamado").try_cast(MONEY),
-        "assessed": F.coalesce("assessed", F.lit(0)).try_cast(MONEY),
-        "paid": F.coalesce("paid", F.lit(0)).try_cast(MONEY),
+        "claimed": F.col("monto_reclamado"),
+        "assessed": F.coalesce("assessed", F.lit(0)),
+        "paid": F.coalesce("paid", F.lit(0)),
         "_dates_ok": F.col("fecha_cierre").isNull() | (F.col("fecha_apertura") <= F.col("fecha_cierre")),
     }).select(*CLAIM_COLUMNS, "_insured_sum", "_dates_ok")
 
@@ -155,6 +164,13 @@ def overpaid(df: DataFrame) -> DataFrame:
     return df.withColumn("is_overpaid", F.coalesce(F.col("paid") > F.col("_insured_sum"), F.lit(False)))
 
 
+def keep_keys(df: DataFrame, natural_key: str, own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that an earlier try of the same run has numbered, with those keys, and the rows that are new."""
+    numbered = own.select(F.col(natural_key).alias("_known"), SK)
+    joined = df.join(numbered, F.col(natural_key) == F.col("_known"), "left").drop("_known")
+    return joined.where(F.col(SK).isNotNull()), joined.where(F.col(SK).isNull()).drop(SK)
+
+
 def number_new(
     df: DataFrame, natural_key: str, existing: DataFrame | None = None, ids: DataFrame | None = None
 ) -> DataFrame:

@@ -7,7 +7,7 @@ A step whose input is missing or failed in this run is skipped; the last audit r
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from surestar import schemas
+from surestar.functions.parse import clean_reference
 from surestar.operators import quality as q
 from surestar.operators import scd
+from surestar.operators.lookup import UNKNOWN_SK
 from surestar.operators.rules import ROW_JSON, Rule, json_if_rejected, kept, rejected, with_reasons
 from surestar.plans import curate, dims, facts
 from surestar.sources.audit import ERROR, OK, SKIPPED, AuditRow, audit_frame, observe_marked, observe_rows
@@ -26,6 +28,24 @@ from surestar.sources.store import Store
 Counts = dict[str, int]
 
 
+@dataclass(frozen=True)
+class Options:
+    """Choices of a load: count equal coverage rows once; which version of a person facts point at; canonical spellings
+    of master provinces; reject items that no policy names; require claimed >= assessed >= paid; check all facts and
+    not only those of the run in the quality report."""
+
+    dedupe_exact: bool = False
+    person_version: str = "first"
+    province_aliases: Mapping[str, Sequence[str]] | None = None
+    items_need_policy: bool = False
+    amount_order: bool = False
+    full_report: bool = False
+
+
+# Curations that read dates.
+DATED = ("clients", "policies", "assessments", "payments", "agents", "claims")
+
+
 @dataclass
 class Load:
     """One run: where it reads, where it writes, and the steps done so far."""
@@ -36,24 +56,31 @@ class Load:
     as_of: dt.date
     run_id: str
     geography: DataFrame | None = None
+    feeds: dict[str, schemas.FeedSpec] = field(default_factory=lambda: {spec.name: spec for spec in schemas.FEEDS})
+    options: Options = field(default_factory=lambda: Options())
     audit: list[AuditRow] = field(default_factory=list)
     failed: set[str] = field(default_factory=set)
+    written: set[str] = field(default_factory=set)
 
     def step(self, name: str, makes: str, needs: list[str], run: Callable[[], Counts]) -> None:
         started = dt.datetime.now(dt.timezone.utc)
         status, message, counts = OK, None, {}
+        stale = [t for t in needs if t.startswith("raw_") and t not in self.written]
         lacking = [t for t in needs if t in self.failed or not self.store.has(t)]
         if lacking:
             status, message = SKIPPED, f"missing input: {', '.join(lacking)}"
             self.failed.add(makes)
         else:
             try:
-                counts = run()
+                counts = dict(run())
+                notes = [f"{k}: {v}" for k, v in counts.items() if k not in ("rows_in", "rows_out", "rows_rejected") and v]
+                notes += [f"the feed did not come, {t} is of an earlier run" for t in stale]
+                message = "; ".join(notes) or None
             except FileNotFoundError as error:
                 # A feed that did not come leaves the raw table of an earlier run in place.
                 status, message = SKIPPED, str(error)
             except Exception as error:  # the run goes on; dependants are skipped and the audit says why
-                status, message = ERROR, f"{type(error).__name__}: {error}"[:2000]
+                status, message = ERROR, f"{type(error).__name__}: {error}"
                 self.failed.add(makes)
         ended = dt.datetime.now(dt.timezone.utc)
         seen = (counts.get(c) for c in ("rows_in", "rows_out", "rows_rejected"))
@@ -79,15 +106,22 @@ class Load:
         feed = read_feed(self.spark, self.feeds_folder, spec)
         if feed is None:
             raise FileNotFoundError(f"{spec.file} not found")
-        return self._write(f"raw_{spec.name}", *observe_rows(feed))
+        return self._write(f"raw_{spec.name}", *observe_rows(feed, *curate.coerced_counts(feed, spec.name)))
 
     def curate(self, name: str, parents: list[str]) -> Counts:
         raw = self.store.read(f"raw_{name}")
         known = [self.curated(parent) for parent in parents]
+        dates = {"dates": self.feeds[name].date_formats} if name in DATED else {}
         if name == "clients":
-            marked = curate.clients(raw, self.as_of, self.geography)
+            marked = curate.clients(raw, self.as_of, self.geography, self.options.province_aliases, **dates)
+        elif name == "coverages":
+            marked = curate.coverages(raw, *known, dedupe_exact=self.options.dedupe_exact)
+        elif name == "items" and self.options.items_need_policy:
+            # Policies come later in the order of the feeds, so the raw ones decide.
+            named = self.store.read("raw_policies").select(clean_reference(F.col("id_objeto_asegurado")).alias("id_objeto_asegurado"))
+            marked = curate.items(raw, named)
         else:
-            marked = getattr(curate, name)(raw, *known)
+            marked = getattr(curate, name)(raw, *known, **dates)
         return self._write(f"curated_{name}", *observe_marked(marked))
 
     def load_dimension(self, name: str, make: Callable[[DataFrame], DataFrame]) -> Counts:
@@ -95,33 +129,39 @@ class Load:
 
     def add_unknown(self, name: str) -> Counts:
         table = self.dimension(name)
-        completed = scd.ensure_unknown_member(table, "sk", schemas.UNKNOWN_MEMBERS[name])
-        if completed is table:
+        if not table.where(F.col("sk") == UNKNOWN_SK).isEmpty():
             return {"rows_out": 0}
-        self.store.replace(name, completed)
+        self.store.replace(name, scd.ensure_unknown_member(table, "sk", schemas.UNKNOWN_MEMBERS[name]))
         return {"rows_out": 1}
 
     def load_fact(self, name: str, key: str, new_rows: DataFrame, more: list[Rule]) -> Counts:
-        """Check the declared constraints, keep the violating rows out, number and append the others."""
+        """Check the declared constraints, keep the violating rows out, number and append the others.
+
+        The rules and the rejected rows see the amounts before they are cast. Rows that an earlier try of this run has
+        loaded keep their keys.
+        """
         columns = [c for c in new_rows.columns if not c.startswith("_")]
         marked = with_reasons(new_rows, [*schemas.constraints(name), *more])
         marked = marked.withColumn(ROW_JSON, json_if_rejected(columns))
         counts = self._write(f"new_{name}", *observe_marked(marked))
-        good = kept(self.store.read(f"new_{name}")).select(*columns)
-        numbered = facts.number_new(good, key, self.fact(name))
-        self.store.append(name, numbered, self.run_id)
+        good = facts.as_stored(kept(self.store.read(f"new_{name}")).select(*columns), name)
+        own = self.store.read_part(name, self.run_id, schemas.FACTS[name])
+        again, fresh = facts.keep_keys(good, key, own)
+        every = self.store.read_appended(name, schemas.FACTS[name])
+        numbered = facts.number_new(fresh, key, every)
+        self.store.append(name, numbered.unionByName(again.select(*numbered.columns)), self.run_id)
         return counts
 
     def _write(self, table: str, df: DataFrame, seen: Observation) -> Counts:
         self.store.replace(table, df)
+        self.written.add(table)
         return seen.get
 
     def append_quarantine(self, tables: list[tuple[str, str]]) -> Counts:
-        parts = [
-            rejected(self.store.read(table), source, self.run_id)
-            for table, source in tables
-            if table not in self.failed and self.store.has(table)
-        ]
+        """Rejected rows of what this run has written; tables of earlier runs have been counted there."""
+        parts = [rejected(self.store.read(t), source, self.run_id) for t, source in tables if t in self.written]
+        if not parts:
+            return {"rows_out": 0}
         df, seen = observe_rows(reduce(DataFrame.unionByName, parts))
         self.store.append("quarantine", df, self.run_id)
         return seen.get
@@ -149,12 +189,19 @@ def full_load(
     run_id: str,
     geography: DataFrame | None = None,
     calendar: tuple[dt.date, dt.date] = (schemas.CALENDAR_START, schemas.CALENDAR_END),
+    feeds: Sequence[schemas.FeedSpec] = schemas.FEEDS,
+    options: Options | None = None,
 ) -> DataFrame:
-    """Run everything and return the audit rows of this run, which are also appended to the store."""
-    load = Load(spark, feeds_folder, Store(spark, warehouse), as_of, run_id, geography)
+    """Run everything and return the audit rows of this run, which are also appended to the store.
+
+    ``feeds`` says how the extracts are written (encoding, date formats, line breaks in cells); ``options`` are the choices
+    of the load. Repeating a run gives its facts the keys they had.
+    """
+    specs = {spec.name: spec for spec in feeds}
+    load = Load(spark, feeds_folder, Store(spark, warehouse), as_of, run_id, geography, specs, options or Options())
     begun = dt.datetime.now(dt.timezone.utc)
 
-    for spec in schemas.FEEDS:
+    for spec in feeds:
         load.step(f"ingest {spec.name}", f"raw_{spec.name}", [], lambda spec=spec: load.ingest(spec))
     for name, parents in FEED_ORDER:
         needs = [f"raw_{name}", *[f"curated_{parent}" for parent in parents]]
@@ -172,7 +219,9 @@ def full_load(
     every = [*schemas.DIMENSIONS, *schemas.FACTS]
     load.step("quality report", "dq_report", every, lambda: _append_quality_report(load))
 
-    worst = next((s for s in (ERROR, SKIPPED) if any(row.status == s for row in load.audit)), OK)
+    # A feed that no step reads may be absent.
+    unread = {f"ingest {spec.name}" for spec in feeds} - {f"ingest {name}" for name, _ in FEED_ORDER}
+    worst = next((s for s in (ERROR, SKIPPED) if any(r.status == s for r in load.audit if r.step not in unread)), OK)
     done = dt.datetime.now(dt.timezone.utc)
     load.audit.append(AuditRow(begun, done, "full load", None, None, None, worst))
     audit = audit_frame(spark, load.audit)
@@ -212,8 +261,9 @@ def _fact_steps(load: Load) -> None:
     def policies() -> Counts:
         names = ("dim_agent", "dim_item", "dim_plan", "dim_location", "dim_date", "dim_person")
         rows = facts.fact_policy(
-            c("policies"), c("coverages"), c("items"), **{n: d(n) for n in names}, existing=load.fact("fact_policy")
-        )
+            c("policies"), c("coverages"), c("items"), **{n: d(n) for n in names}, existing=load.fact("fact_policy"),
+            person_version=load.options.person_version,
+        )
         return load.load_fact("fact_policy", "policy_id", rows, [])
 
     def claims() -> Counts:
@@ -221,9 +271,12 @@ def _fact_steps(load: Load) -> None:
         all_policies = load.store.read_appended("fact_policy", schemas.FACTS["fact_policy"])
         rows = facts.fact_claim(
             c("claims"), c("assessments"), c("payments"), c("fraud_indicators"), c("items"), all_policies,
-            **{n: d(n) for n in names}, existing=load.fact("fact_claim"),
+            **{n: d(n) for n in names}, existing=load.fact("fact_claim"), person_version=load.options.person_version,
         )
-        return load.load_fact("fact_claim", "claim_id", rows, [Rule("open_date <= close_date", F.col("_dates_ok"))])
+        more = [Rule("open_date <= close_date", F.col("_dates_ok"))]
+        if load.options.amount_order:
+            more.append(q.descending(("claimed", "assessed", "paid")))
+        return load.load_fact("fact_claim", "claim_id", rows, more)
 
     def overpaid() -> Counts:
         flagged = facts.overpaid(load.store.read("new_fact_claim")).where("is_overpaid")
@@ -242,11 +295,17 @@ def _fact_steps(load: Load) -> None:
 
 
 def _append_quality_report(load: Load) -> Counts:
-    """Declared constraints over the stored star; members with key -1 are exempt from row rules."""
+    """Declared constraints over the stored star; members with key -1 are exempt from row rules.
+
+    Facts never change once they are loaded, so those of this run are checked; ``full_report`` checks all of them. Their
+    parents are looked for in whole tables.
+    """
     tables = {name: load.dimension(name) for name in schemas.DIMENSIONS}
-    tables |= {name: load.store.read_appended(name, schema) for name, schema in schemas.FACTS.items()}
+    parents = tables | {name: load.store.read_appended(name, schema) for name, schema in schemas.FACTS.items()}
+    own = {name: load.store.read_part(name, load.run_id, schema) for name, schema in schemas.FACTS.items()}
+    tables = parents if load.options.full_report else tables | own
     reports = [q.rule_report(name, df.where("sk <> -1"), schemas.constraints(name)) for name, df in tables.items()]
-    reports += [q.foreign_key_report(tables[fk.table], fk, tables[fk.parent]) for fk in schemas.FOREIGN_KEYS]
+    reports += [q.foreign_key_report(tables[fk.table], fk, parents[fk.parent]) for fk in schemas.FOREIGN_KEYS]
     reports += [q.unique_report(name, df, "sk") for name, df in tables.items()]
     reports += [
         q.lookup_miss_report("fact_policy", tables["fact_policy"], schemas.POLICY_KEYS),

@@ -86,7 +86,10 @@ def sql_integer_or_0(x: str) -> str:
 
 
 def sql_date(x: str) -> str:
-    formats = "['%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y/%m/%d']"
+    formats = (
+        "['%Y-%m-%d', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y/%m/%d', '%Y-%m-%d %H:%M', '%Y-%m-%d %H:%M:%S.%g', "
+        "'%Y-%m-%dT%H:%M:%SZ', '%Y-%-m-%-d']"
+    )
     return f"try_strptime({sql_trim(x)}, {formats})::DATE"
 
 

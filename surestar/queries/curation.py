@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surestar.operators.rules import REASONS, ROW_JSON, rejected
+from surestar.operators.rules import KEPT, REASONS, ROW_JSON, rejected
 from surestar.plans import curate
 from surestar.queries import base as b
 from surestar.queries.base import AS_OF, Query, run_sql, with_parts
@@ -16,7 +16,7 @@ from surestar.sources.audit import step_counts
 
 
 def _shown(marked: DataFrame) -> DataFrame:
-    return marked.withColumn("reasons", F.array_join(REASONS, "|")).drop(ROW_JSON, REASONS)
+    return marked.withColumn("reasons", F.array_join(REASONS, "|")).drop(ROW_JSON, REASONS, KEPT)
 
 
 def _marked(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -189,8 +189,9 @@ SQL_PARTS = {
         {b.sql_canonical('descripcion')} AS descripcion, {b.sql_canonical('localidad')} AS localidad,
         {b.sql_canonical('provincia')} AS provincia, {b.sql_canonical('marca')} AS marca,
         {b.sql_number_or_0('valor_asegurado')} AS valor_asegurado,
-        {b.sql_number_or_0('superficie_m2', 'DECIMAL(24,6)')} AS superficie_m2, {b.sql_reasons(*_KEY_RULES)} AS reasons
-        FROM ({_feed("items", ["id_objeto"], ["id_objeto"], "id_objeto")})""",
+        {b.sql_number_or_0('superficie_m2', 'DECIMAL(24,6)')} AS superficie_m2,
+        {b.sql_reasons(*_KEY_RULES, ("value_too_large", f"try_cast({b.sql_number_or_0('valor_asegurado')} AS DECIMAL(12,2)) IS NOT NULL"))}
+        AS reasons FROM ({_feed("items", ["id_objeto"], ["id_objeto"], "id_objeto")})""",
     "coverages_all": f"""SELECT i_id_poliza AS id_poliza,
         upper(substring({b.sql_trim('tipo_garantia')}, 1, 1)) || lower(substring({b.sql_trim('tipo_garantia')}, 2))
         AS tipo_garantia, {b.sql_number_or_0('suma_garantizada')} AS suma_garantizada,

@@ -47,11 +47,15 @@ FROM {orders}
 
 DIRTY_DATES = """
 SELECT o_orderkey AS k,
-       CASE o_orderkey % 9
+       CASE o_orderkey % 13
             WHEN 0 THEN 'ayer' WHEN 1 THEN NULL WHEN 2 THEN '2011' WHEN 3 THEN '2011-02-30'
             WHEN 4 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:20:30'
             WHEN 5 THEN replace(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', '/')
             WHEN 6 THEN ' ' || CAST(CAST(o_orderdate AS DATE) AS STRING) || ' '
+            WHEN 7 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:00:00.000'
+            WHEN 8 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T10:00:00Z'
+            WHEN 9 THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:00'
+            WHEN 10 THEN '2024-1-5' WHEN 11 THEN '31/01/2024'
             ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS day
 FROM {orders}
 """

@@ -2,7 +2,7 @@
 
 ``RAW`` are dirty feeds (text columns and an ordinal) for the curation queries; ``CLEAN`` are curated tables for the
 dimension and fact queries. Both cover all rows of the driver tables. Parents have gaps where a query needs references
-that do not exist.
+that do not exist; some amounts and texts are too large, some claims have no policy, no type or a date before the calendar.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ SELECT p_partkey AS _ordinal,
        lower(p_type) AS tipo_objeto, p_name || ' añejo' AS descripcion,
        CASE WHEN p_partkey % 23 = 0 THEN '-' WHEN p_partkey % 9 = 0 THEN n_name || '.' ELSE n_name END AS localidad,
        r_name AS provincia, p_brand AS marca,
-       CASE WHEN p_partkey % 35 = 1 THEN 'mucho' ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) || '4' END
+       CASE WHEN p_partkey % 35 = 1 THEN 'mucho' WHEN p_partkey % 45 = 2 THEN '99999999999.00' ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) || '4' END
        AS valor_asegurado,
        CAST(p_size AS STRING) || '.5' AS superficie_m2
 FROM {part} JOIN {nation} ON p_partkey % 25 = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
@@ -137,7 +137,7 @@ SELECT event_id AS _ordinal, 'V' || CAST(event_id AS STRING) AS id_evaluacion,
             ELSE CAST(CAST(CAST(value AS DECIMAL(12,2)) * 0.9 AS DECIMAL(12,2)) AS STRING) END AS monto_estimado_dano,
        'Daño según ' || event_type AS dictamen,
        CASE event_id % 6 WHEN 0 THEN 'False' WHEN 2 THEN 'True' ELSE 'tal vez' END AS requiere_reinspeccion
-FROM {events} WHERE event_type <> 'signup'
+FROM {events}
 """,
     "payments": """
 SELECT event_id AS _ordinal, 'G' || CAST(event_id - event_id % 2 AS STRING) AS id_pago,
@@ -145,7 +145,7 @@ SELECT event_id AS _ordinal, 'G' || CAST(event_id - event_id % 2 AS STRING) AS i
        CASE WHEN event_id % 60 = 3 THEN NULL ELSE 'C' || CAST(user_id AS STRING) END AS id_receptor,
        CAST(CAST(CAST(value AS DECIMAL(12,2)) * 0.8 AS DECIMAL(12,2)) AS STRING) AS monto_pagado,
        CAST(CAST(ts AS DATE) + 40 AS STRING) AS fecha_pago
-FROM {events} WHERE event_type <> 'view'
+FROM {events}
 """,
     "fraud_indicators": """
 SELECT event_id AS _ordinal,
@@ -182,7 +182,8 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_re
     "agents": "SELECT 'A' || CAST(s_suppkey AS STRING) AS id_agente, s_name AS nombre_completo FROM {supplier}",
     "adjusters": "SELECT 'S' || CAST(s_suppkey AS STRING) AS id_perito, s_name AS nombre_completo FROM {supplier}",
     "items": """
-SELECT 'P' || CAST(p_partkey AS STRING) AS id_objeto, p_type AS tipo_objeto,
+SELECT 'P' || CAST(p_partkey AS STRING) AS id_objeto,
+       CASE WHEN p_partkey % 47 = 5 THEN p_type || ' ' || repeat('x', 60) ELSE p_type END AS tipo_objeto,
        CAST(p_retailprice AS DECIMAL(20,2)) AS valor_asegurado, r_name AS provincia,
        CASE WHEN p_partkey % 23 = 0 THEN 's/d' ELSE n_name END AS localidad
 FROM {part} JOIN {nation} ON p_partkey % 25 = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
@@ -199,18 +200,20 @@ LEFT JOIN (SELECT l_orderkey, MIN(l_partkey) AS item, MIN(l_suppkey) AS agent FR
 ON o_orderkey = l_orderkey
 """,
     "coverages": """
-SELECT 'O' || CAST(l_orderkey AS STRING) AS id_poliza, CAST(l_extendedprice AS DECIMAL(20,2)) AS suma_garantizada
+SELECT 'O' || CAST(l_orderkey AS STRING) AS id_poliza, CAST(CASE WHEN l_orderkey % 59 = 3 THEN 99999999999 ELSE l_extendedprice END AS DECIMAL(20,2)) AS suma_garantizada
 FROM {lineitem}
 """,
     "claims": """
-SELECT 'E' || CAST(event_id AS STRING) AS id_parte, 'O' || CAST(first_order AS STRING) AS id_poliza,
+SELECT 'E' || CAST(event_id AS STRING) AS id_parte,
+       CASE WHEN event_id % 37 <> 9 THEN 'O' || CAST(first_order AS STRING) END AS id_poliza,
        'P' || CAST(item AS STRING) AS id_objeto_asegurado,
        CASE WHEN event_id % 3 <> 0 THEN 'S' || CAST(event_id % 12 AS STRING) END AS id_perito,
        CASE WHEN event_id % 60 = 1 THEN 'X' || CAST(user_id AS STRING)
             WHEN event_id % 25 <> 0 THEN 'C' || CAST(user_id AS STRING) END AS id_receptor_pago,
-       CAST(ts AS DATE) AS fecha_apertura,
+       CASE WHEN event_id % 53 = 5 THEN DATE '1990-01-01' ELSE CAST(ts AS DATE) END AS fecha_apertura,
        CASE WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 30 AS INT) END AS fecha_cierre,
-       CAST(value AS DECIMAL(20,2)) AS monto_reclamado, upper(event_type) AS tipo_siniestro
+       CAST(value AS DECIMAL(20,2)) AS monto_reclamado,
+       CASE WHEN event_id % 71 <> 3 THEN upper(event_type) END AS tipo_siniestro
 FROM {events}
 LEFT JOIN (SELECT o_custkey, MIN(o_orderkey) AS first_order FROM {orders} GROUP BY o_custkey) AS p ON user_id = o_custkey
 LEFT JOIN (SELECT l_orderkey, MIN(l_partkey) AS item FROM {lineitem} GROUP BY l_orderkey) AS l ON first_order = l_orderkey
@@ -218,17 +221,16 @@ LEFT JOIN (SELECT l_orderkey, MIN(l_partkey) AS item FROM {lineitem} GROUP BY l_
     "assessments": """
 SELECT 'E' || CAST(event_id - event_id % 4 AS STRING) AS id_parte,
        CAST(CAST(value AS DECIMAL(12,2)) * 0.9 AS DECIMAL(20,2)) AS monto_estimado_dano
-FROM {events} WHERE event_type <> 'signup'
+FROM {events}
 """,
     "payments": """
 SELECT 'E' || CAST(event_id - event_id % 2 AS STRING) AS id_parte,
        CAST(CAST(value AS DECIMAL(12,2)) * 0.8 * CASE WHEN event_id % 100 = 0 THEN 100000 ELSE 1 END AS DECIMAL(20,2))
        AS monto_pagado
-FROM {events} WHERE event_type <> 'view'
+FROM {events}
 """,
     "fraud_flags": """
-SELECT 'E' || CAST(event_id AS STRING) AS id_parte, event_type = 'error' AS fraude_flag FROM {events}
-WHERE event_id % 3 <> 0
+SELECT 'E' || CAST(event_id * 2 AS STRING) AS id_parte, event_type = 'error' AS fraude_flag FROM {events}
 """,
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from surestar.queries import base as b
 from surestar.queries.base import AS_OF, Query, plain, with_parts
 from surestar.queries.dimensions import LOCATION_SQL, PERSON_LOCATION_SQL, empty
 from surestar.queries.standins import CLEAN, clean
-from surestar.schemas import UNKNOWN_MEMBERS
+from surestar.schemas import DIMENSIONS, UNKNOWN_MEMBERS
 from surestar.session import materialise
 
 # The driver tables start earlier than the calendar of the insurer.
@@ -32,6 +33,14 @@ class Star:
         self.spark = spark
         self._made: dict[str, DataFrame] = {}
 
+    def prepare(self, *names: str) -> None:
+        """Make dimensions at the same time; each is a few small jobs that leave most cores idle."""
+        first = [n for n in names if n != "dim_person" and n not in self._made]
+        if "dim_person" in names and "dim_location" not in (*first, *self._made):
+            first.append("dim_location")
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            list(pool.map(self.dim, first))
+
     def dim(self, name: str) -> DataFrame:
         if name not in self._made:
             loaded = getattr(self, f"_{name}")(empty(self.spark, name))
@@ -66,17 +75,23 @@ class Star:
 
     def new_policies(self, existing: DataFrame | None = None) -> DataFrame:
         wanted = ("dim_agent", "dim_item", "dim_plan", "dim_location", "dim_date", "dim_person")
+        self.prepare(*wanted)
         c = self.curated
         return facts.fact_policy(
             c["policies"], c["coverages"], c["items"], **{n: self.dim(n) for n in wanted}, existing=existing
         )
 
-    def policies(self) -> DataFrame:
+    def checked_policies(self) -> DataFrame:
+        """Numbered policies with the amounts as curated, which is what rules look at."""
         ids = self.curated["policies"].select(F.col("id_poliza").alias("policy_id"))
         return facts.number_new(self.new_policies(), "policy_id", ids=ids)
 
+    def policies(self) -> DataFrame:
+        return facts.as_stored(self.checked_policies(), "fact_policy")
+
     def new_claims(self, fact_policy: DataFrame, existing: DataFrame | None = None) -> DataFrame:
         wanted = ("dim_item", "dim_location", "dim_date", "dim_person", "dim_adjuster", "dim_claim_type")
+        self.prepare(*wanted)
         c = self.curated
         return facts.fact_claim(
             c["claims"], c["assessments"], c["payments"], c["fraud_flags"], c["items"], fact_policy,
@@ -90,7 +105,8 @@ def fact_policy(spark: SparkSession, d: str) -> DataFrame:
 
 def fact_claim(spark: SparkSession, d: str) -> DataFrame:
     star = Star(spark, d)
-    claims = star.new_claims(star.policies()).select(*facts.CLAIM_COLUMNS)
+    star.prepare(*DIMENSIONS)
+    claims = facts.as_stored(star.new_claims(star.policies()).select(*facts.CLAIM_COLUMNS), "fact_claim")
     ids = star.curated["claims"].select(F.col("id_parte").alias("claim_id"))
     return facts.number_new(claims, "claim_id", ids=ids)
 
@@ -101,18 +117,19 @@ def incremental_fact(spark: SparkSession, d: str) -> DataFrame:
     loaded = star.curated["policies"].where("prima_mensual < 250000").select(F.col("id_poliza").alias("policy_id"))
     loaded = keys_in_order(loaded, ["policy_id"], "sk")
     ids = star.curated["policies"].select(F.col("id_poliza").alias("policy_id"))
-    return facts.number_new(star.new_policies(loaded), "policy_id", loaded, anti(ids, ["policy_id"], loaded))
+    rows = facts.as_stored(star.new_policies(loaded), "fact_policy")
+    return facts.number_new(rows, "policy_id", loaded, anti(ids, ["policy_id"], loaded))
 
 
 def overpayment(spark: SparkSession, d: str) -> DataFrame:
     star = Star(spark, d)
-    flagged = facts.overpaid(star.new_claims(star.policies()))
+    flagged = facts.as_stored(facts.overpaid(star.new_claims(star.policies())), "fact_claim")
     return flagged.select("claim_id", "policy_sk", "paid", F.col("_insured_sum").alias("insured_sum"), "is_overpaid")
 
 
 def date_lookup_miss(spark: SparkSession, d: str) -> DataFrame:
-    """With the insurer's own calendar most sale dates are not in it: key -1."""
-    star = Star(spark, d, (dims.CALENDAR_START, dims.CALENDAR_END))
+    """Sale dates before the calendar have key -1, the others are found."""
+    star = Star(spark, d)
     return star.new_policies().groupBy((F.col("sale_date_sk") == -1).alias("is_missing")).agg(F.count("*").alias("policies"))
 
 
@@ -144,6 +161,7 @@ def loss_ratio(policies: DataFrame, claims: DataFrame, dim_plan: DataFrame, dim_
 
 def loss_ratio_by_plan_year(spark: SparkSession, d: str) -> DataFrame:
     star = Star(spark, d)
+    star.prepare(*DIMENSIONS)
     policies = materialise(star.policies())
     return loss_ratio(policies, star.new_claims(policies), star.dim("dim_plan"), star.dim("dim_date"))
 
@@ -160,12 +178,12 @@ def claims_by_type_and_country(spark: SparkSession, d: str) -> DataFrame:
         lambda df, part: df.join(part[0].select(F.col("sk").alias(part[1]), part[2]), part[1]),
         [
             (star.dim("dim_claim_type"), "claim_type_sk", "claim_type"),
-            (star.dim("dim_location"), "location_sk", "province"),
+            (star.dim("dim_location"), "location_sk", "country"),
             (star.dim("dim_adjuster"), "adjuster_sk", "adjuster_name"),
         ],
         by_key,
     )
-    return joined.groupBy("claim_type", "province", "adjuster_name").agg(
+    return joined.groupBy("claim_type", "country", "adjuster_name").agg(
         F.sum("n").alias("claims"),
         F.sum("fraud").alias("fraud"),
         F.sum("claimed").cast("decimal(38,2)").alias("claimed"),
@@ -177,6 +195,10 @@ def _numbered(order: str, columns: str, source: str, unknown: str) -> str:
     return f"SELECT row_number() OVER (ORDER BY {order}) AS sk, {columns} FROM {source} UNION ALL SELECT -1, {unknown}"
 
 
+def _stored(*amounts: str) -> str:
+    return ", ".join(f"try_cast({c} AS DECIMAL(12,2)) AS {c}" for c in amounts)
+
+
 SQL_PARTS = {
     **{f"c_{name}": plain(text) for name, text in CLEAN.items()},
     "dim_location": f"{LOCATION_SQL} UNION ALL SELECT -1, 'N/A', 'Desconocido', 'Desconocido'",
@@ -191,7 +213,8 @@ SQL_PARTS = {
         f"(SELECT DISTINCT {b.sql_plan('cobertura')} AS plan_category FROM c_policies) WHERE plan_category IS NOT NULL",
         "'Desconocido'"),
     "dim_claim_type": _numbered("claim_type", "claim_type",
-                                "(SELECT DISTINCT tipo_siniestro AS claim_type FROM c_claims)", "'Desconocido'"),
+                                "(SELECT DISTINCT tipo_siniestro AS claim_type FROM c_claims WHERE tipo_siniestro IS NOT NULL)",
+                                "'Desconocido'"),
     "dim_date": f"""SELECT row_number() OVER (ORDER BY x) AS sk, {b.sql_date_key('x')} AS date_id, day(x)::INT AS day,
         month(x)::INT AS month, year(x)::INT AS year
         FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2026-12-31', INTERVAL 1 DAY))::DATE AS x)
@@ -208,19 +231,20 @@ SQL_PARTS = {
     "policy_rows": f"""SELECT id_poliza AS policy_id, coalesce(h.sk, -1) AS holder_sk, coalesce(i.sk, -1) AS insured_sk,
         coalesce(t.sk, -1) AS sale_date_sk, coalesce(k.item_sk, -1) AS item_sk, coalesce(a.sk, -1) AS agent_sk,
         coalesce(p.sk, -1) AS plan_sk, coalesce(k.location_sk, -1) AS location_sk,
-        prima_mensual::DECIMAL(12,2) AS premium, g.insured_sum::DECIMAL(12,2) AS insured_sum
+        prima_mensual AS premium, g.insured_sum
         FROM c_policies c
         LEFT JOIN (SELECT id_poliza, sum(suma_garantizada) AS insured_sum FROM c_coverages GROUP BY 1) g USING (id_poliza)
         LEFT JOIN dim_person h ON h.person_id = id_cliente LEFT JOIN dim_person i ON i.person_id = id_asegurado
         LEFT JOIN dim_date t ON t.date_id = {b.sql_date_key('fecha_alta')}
         LEFT JOIN item_keys k ON k.item_id = id_objeto_asegurado LEFT JOIN dim_agent a ON a.agent_id = id_agente
         LEFT JOIN dim_plan p ON p.plan_category = ({b.sql_plan('cobertura')})""",
-    "fact_policy": "SELECT row_number() OVER (ORDER BY md5(policy_id), policy_id) AS sk, * FROM policy_rows",
+    "checked_policy": "SELECT row_number() OVER (ORDER BY md5(policy_id), policy_id) AS sk, * FROM policy_rows",
+    "fact_policy": f"SELECT * REPLACE ({_stored('premium', 'insured_sum')}) FROM checked_policy",
     "claim_rows": f"""SELECT id_parte AS claim_id, coalesce(f.sk, -1) AS policy_sk, coalesce(o.sk, -1) AS open_date_sk,
         z.sk AS close_date_sk, coalesce(h.sk, -1) AS payee_sk, coalesce(a.sk, -1) AS adjuster_sk,
         coalesce(y.sk, -1) AS claim_type_sk, coalesce(k.location_sk, -1) AS location_sk,
-        coalesce(x.fraude_flag, false) AS is_fraud, monto_reclamado::DECIMAL(12,2) AS claimed,
-        coalesce(e.s, 0)::DECIMAL(12,2) AS assessed, coalesce(g.s, 0)::DECIMAL(12,2) AS paid,
+        coalesce(x.fraude_flag, false) AS is_fraud, monto_reclamado AS claimed, coalesce(e.s, 0) AS assessed,
+        coalesce(g.s, 0) AS paid,
         f.insured_sum AS policy_insured_sum
         FROM c_claims c
         LEFT JOIN (SELECT id_parte, sum(monto_estimado_dano) AS s FROM c_assessments GROUP BY 1) e USING (id_parte)
@@ -232,8 +256,9 @@ SQL_PARTS = {
         LEFT JOIN dim_person h ON h.person_id = id_receptor_pago LEFT JOIN dim_adjuster a ON a.adjuster_id = id_perito
         LEFT JOIN dim_claim_type y ON y.claim_type = tipo_siniestro
         LEFT JOIN item_keys k ON k.item_id = id_objeto_asegurado""",
-    "fact_claim": """SELECT row_number() OVER (ORDER BY md5(claim_id), claim_id) AS sk, * EXCLUDE (policy_insured_sum)
+    "checked_claim": """SELECT row_number() OVER (ORDER BY md5(claim_id), claim_id) AS sk, * EXCLUDE (policy_insured_sum)
         FROM claim_rows""",
+    "fact_claim": f"SELECT * REPLACE ({_stored('claimed', 'assessed', 'paid')}) FROM checked_claim",
 }
 
 
@@ -249,16 +274,18 @@ QUERIES = {
         incremental_fact,
         sql_on_star("""SELECT (SELECT count(*) FROM policy_rows WHERE premium < 250000)
                               + row_number() OVER (ORDER BY md5(policy_id), policy_id) AS sk, *
+                              REPLACE (try_cast(premium AS DECIMAL(12,2)) AS premium,
+                                       try_cast(insured_sum AS DECIMAL(12,2)) AS insured_sum)
                        FROM policy_rows WHERE premium >= 250000"""),
     ),
     "overpayment": Query(
         overpayment,
-        sql_on_star("""SELECT claim_id, policy_sk, paid, policy_insured_sum AS insured_sum,
+        sql_on_star("""SELECT claim_id, policy_sk, try_cast(paid AS DECIMAL(12,2)) AS paid, policy_insured_sum AS insured_sum,
                               coalesce(paid > policy_insured_sum, false) AS is_overpaid FROM claim_rows"""),
     ),
     "date_lookup_miss": Query(
         date_lookup_miss,
-        """SELECT o_orderdate::DATE < DATE '2005-01-01' AS is_missing, count(*) AS policies FROM orders GROUP BY 1""",
+        sql_on_star("SELECT sale_date_sk = -1 AS is_missing, count(*) AS policies FROM policy_rows GROUP BY 1"),
     ),
     "loss_ratio_by_plan_year": Query(
         loss_ratio_by_plan_year,
@@ -272,7 +299,7 @@ QUERIES = {
     ),
     "claims_by_type_and_country": Query(
         claims_by_type_and_country,
-        sql_on_star("""SELECT claim_type, province, adjuster_name, count(*) AS claims,
+        sql_on_star("""SELECT claim_type, country, adjuster_name, count(*) AS claims,
                               count_if(is_fraud)::BIGINT AS fraud, sum(claimed) AS claimed, sum(assessed) AS assessed
             FROM fact_claim f JOIN dim_claim_type t ON claim_type_sk = t.sk JOIN dim_location l ON location_sk = l.sk
             JOIN dim_adjuster a ON adjuster_sk = a.sk GROUP BY ALL"""),

@@ -12,13 +12,15 @@ from surestar.operators.quality import ForeignKey
 
 @dataclass(frozen=True)
 class FeedSpec:
-    """A delimited extract: logical name, file name, and the columns the jobs need or may use."""
+    """A delimited extract: logical name, file name, the columns the jobs need or may use, and how it is written."""
 
     name: str
     file: str
     required: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
     encoding: str = "UTF-8"
+    date_formats: tuple[str, ...] | None = None  # Spark patterns; without them ISO texts are read
+    multi_line: bool = False  # cells may hold line breaks; such a file is read by one task
 
 
 # File and column names of the twelve extracts.

@@ -1,8 +1,8 @@
-"""Session defaults and the checkpoint folder."""
+"""Session defaults and the shared folder for tables that are read several times."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,26 +28,18 @@ def get_session(app_name: str = "surestar", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, taking ``spark.checkpoint.dir`` from the session.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors can read and write.
 
-    A folder of our own is only made for a local master: on a cluster the folder has to be shared
-    by all executors, so a missing setting is an error there.
+    It lies in ``spark.checkpoint.dir``. Without that setting it lies beside the tables in the warehouse, which all
+    executors share as well; a temporary folder of one machine is never used.
     """
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="surestar-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    return f"{base.rstrip('/')}/surestar-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write a frame to the checkpoint folder once, for plans that read it several times."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame to the shared folder once, for plans that read it several times."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from surestar.operators.rules import REASONS
+from surestar.operators.rules import KEPT
 from surestar.schemas import AUDIT
 
 OK, ERROR, SKIPPED = "OK", "ERROR", "SKIPPED"
@@ -34,7 +34,7 @@ def audit_frame(spark: SparkSession, rows: list[AuditRow]) -> DataFrame:
 def observe_marked(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count rows in, kept and rejected while the frame is written; no extra pass."""
     seen = Observation()
-    good = F.size(REASONS) == 0
+    good = F.col(KEPT)
     return df.observe(
         seen,
         F.count(F.lit(1)).alias("rows_in"),
@@ -43,15 +43,15 @@ def observe_marked(df: DataFrame) -> tuple[DataFrame, Observation]:
     ), seen
 
 
-def observe_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the rows of a frame while it is written."""
+def observe_rows(df: DataFrame, *more: Column) -> tuple[DataFrame, Observation]:
+    """Count the rows of a frame, and whatever else is asked for, while it is written."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows_out")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows_out"), *more), seen
 
 
 def step_counts(step: str, marked: DataFrame) -> DataFrame:
     """Rows in, kept and rejected of one curation step as a one-row frame."""
-    good = F.size(REASONS) == 0
+    good = F.col(KEPT)
     return marked.agg(
         F.lit(step).alias("step"),
         F.count(F.lit(1)).alias("rows_in"),

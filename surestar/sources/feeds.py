@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surestar.functions.text import clean_header
 from surestar.schemas import FEEDS, FeedSpec
 from surestar.sources.files import exists, join_path
 
 ORDINAL = "_ordinal"
+MALFORMED = "_malformed"
 
 # Cell texts that count as null in every extract.
 NULL_CELLS = (
@@ -24,29 +26,54 @@ BOM = "\ufeff"
 
 
 def read_csv(
-    spark: SparkSession, path: str, encoding: str = "UTF-8", null_cells: Iterable[str] = NULL_CELLS
+    spark: SparkSession,
+    path: str,
+    encoding: str = "UTF-8",
+    null_cells: Iterable[str] = NULL_CELLS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read a file or folder with all columns as text, cleaned headers and a row ordinal.
+    """Read a file or folder with all columns as text, cleaned headers, a row ordinal and the raw text of broken rows.
 
-    The ordinal is the physical place of the row (file, offset of the split, number in the split). It has to
-    be stored with the rows: it is only right in the query that reads the file.
+    Quotes in quoted cells are doubled. A row with more or fewer cells than the header has is broken: its text is in
+    ``_malformed``, which is null for all others. The files of a folder need the same header; another one fails.
+    Line breaks inside quotes need ``multi_line``, otherwise such a row becomes broken rows.
+
+    The ordinal is one number that grows with the file (by name) and with the place in it. Store the rows as they are
+    read: the ordinal is only right in the query that reads the file, and broken rows are only found where all cells are read.
     """
-    raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
-    names = [clean_header(name) for name in raw.columns]
+    options = {"header": True, "encoding": encoding, "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    names = [clean_header(name) for name in header]
     if len(set(names)) != len(names):
         raise ValueError(f"{path}: two columns have the same name after cleaning: {names}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, MALFORMED]])
+    reader = spark.read.schema(schema).options(**options, enforceSchema=False, columnNameOfCorruptRecord=MALFORMED)
+    raw = reader.csv(path)
     nulls = list(null_cells)
-    cells = [F.col(f"`{old}`") for old in raw.columns]
+    cells = [F.col(f"`{old}`") for old in header]
     return raw.select(
         *[F.when(~c.isin(*nulls), c).alias(name) for c, name in zip(cells, names)],
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(ORDINAL),
+        F.col(MALFORMED),
+        _ordinal(raw, path).alias(ORDINAL),
     )
 
 
+def _ordinal(raw: DataFrame, path: str) -> Column:
+    """File number, then offset of the split plus number of the row in it.
+
+    A row takes two bytes at least, so the sum stays below the offset of the next split. Files are numbered in the order of
+    their names, up to 2^15 of them; a file may have 2^48 bytes.
+    """
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    files = sorted(name.rsplit("/", 1)[-1] for name in raw.inputFiles())
+    if len(files) >= 2**15:
+        raise ValueError(f"{path}: more than {2**15} files")
+    if len(files) < 2:
+        return place
+    number = F.array_position(F.lit(files), F.element_at(F.split("_metadata.file_path", "/"), -1))
+    return F.shiftleft(number - 1, 48) + place
+
+
 def read_csv_any_encoding(
     spark: SparkSession, path: str, encodings: Iterable[str] = ("UTF-8", "ISO-8859-1")
 ) -> DataFrame:
@@ -58,7 +85,7 @@ def read_csv_any_encoding(
         for name in df.columns:
             if REPLACEMENT in name:
                 undecoded = F.lit(True)
-            elif name != ORDINAL:
+            elif name not in (ORDINAL, MALFORMED):
                 undecoded = undecoded | F.coalesce(F.col(f"`{name}`").contains(REPLACEMENT), F.lit(False))
         if df.where(undecoded).isEmpty():
             return df
@@ -79,7 +106,7 @@ def read_feed(spark: SparkSession, folder: str, spec: FeedSpec) -> DataFrame | N
     path = join_path(folder, spec.file)
     if not exists(spark, path):
         return None
-    return conform(read_csv(spark, path, spec.encoding), spec)
+    return conform(read_csv(spark, path, spec.encoding, multi_line=spec.multi_line), spec)
 
 
 def read_all_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame | None]:

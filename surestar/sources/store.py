@@ -2,7 +2,7 @@
 
 A snapshot table lives in ``<table>/v=<n>``; the current version is the highest one that Spark finished (it
 then holds ``_SUCCESS``). A version is never overwritten while it may be read. An append table lives in
-``<table>/run=<id>``; repeating a run replaces its own part only.
+``<table>/run=<id>/v=<n>``; repeating a run adds a version to its own part, which counts once it is finished.
 """
 
 from __future__ import annotations
@@ -25,16 +25,20 @@ class Store:
         self.spark = spark
         self.root = root
 
-    def _finished(self, table: str, prefix: str) -> list[str]:
-        folder = join_path(self.root, table)
-        names = [name for name in child_folders(self.spark, folder) if name.startswith(prefix)]
-        return [name for name in names if exists(self.spark, join_path(folder, name, _DONE))]
+    def _versions(self, *folders: str) -> list[int]:
+        """Finished versions of a table or part, the current one last."""
+        folder = join_path(self.root, *folders)
+        names = [name for name in child_folders(self.spark, folder) if name.startswith("v=")]
+        return sorted(int(n.removeprefix("v=")) for n in names if exists(self.spark, join_path(folder, n, _DONE)))
 
-    def _versions(self, table: str) -> list[int]:
-        return sorted(int(name.removeprefix("v=")) for name in self._finished(table, "v="))
+    def _parts(self, table: str) -> dict[str, str]:
+        """Runs that have a finished part, with its current folder."""
+        names = [name for name in child_folders(self.spark, join_path(self.root, table)) if name.startswith("run=")]
+        found = {name: self._versions(table, name) for name in names}
+        return {n.removeprefix("run="): join_path(self.root, table, n, f"v={v[-1]}") for n, v in found.items() if v}
 
     def has(self, table: str) -> bool:
-        return bool(self._finished(table, "v=") or self._finished(table, "run="))
+        return bool(self._versions(table) or self._parts(table))
 
     def read(self, table: str, schema: str | None = None) -> DataFrame:
         """Current snapshot. With a schema, a table that does not exist yet reads as empty."""
@@ -45,24 +49,29 @@ class Store:
 
     def replace(self, table: str, df: DataFrame) -> DataFrame:
         """Write the next version and return it as read back, so that later steps start from files."""
-        all_versions = [
-            int(name.removeprefix("v="))
-            for name in child_folders(self.spark, join_path(self.root, table))
-            if name.startswith("v=")
-        ]
-        target = join_path(self.root, table, f"v={max(all_versions, default=0) + 1}")
+        return self.spark.read.parquet(self._write(df, table))
+
+    def _write(self, df: DataFrame, *folders: str) -> str:
+        folder = join_path(self.root, *folders)
+        taken = [int(n.removeprefix("v=")) for n in child_folders(self.spark, folder) if n.startswith("v=")]
+        target = join_path(folder, f"v={max(taken, default=0) + 1}")
         df.write.mode("errorifexists").parquet(target)
-        return self.spark.read.parquet(target)
+        return target
 
     def read_appended(self, table: str, schema: str | None = None, before: str | None = None) -> DataFrame:
         """All finished parts, or those of runs other than ``before``."""
-        parts = [name for name in self._finished(table, "run=") if name != f"run={before}"]
-        if parts:
-            return self.spark.read.parquet(*[join_path(self.root, table, name) for name in parts])
-        return self._empty(table, schema)
+        return self._read_parts(table, schema, [p for run, p in self._parts(table).items() if run != before])
+
+    def read_part(self, table: str, run_id: str, schema: str | None = None) -> DataFrame:
+        """The part of one run."""
+        return self._read_parts(table, schema, [p for run, p in self._parts(table).items() if run == run_id])
+
+    def _read_parts(self, table: str, schema: str | None, paths: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*paths) if paths else self._empty(table, schema)
 
     def append(self, table: str, df: DataFrame, run_id: str) -> None:
-        df.write.mode("overwrite").parquet(join_path(self.root, table, f"run={run_id}"))
+        """Write the part of a run beside an earlier one, which counts until this one is finished."""
+        self._write(df, table, f"run={run_id}")
 
     def _empty(self, table: str, schema: str | None) -> DataFrame:
         if schema is None:

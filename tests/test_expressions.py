@@ -83,7 +83,7 @@ def test_dates(spark):
     day = dt.date(2011, 1, 31)
     values = {
         "2011-01-31": day, " 2011-01-31 ": day, "2011/01/31": day, "2011-01-31 23:59:59": day, "2011-01-31T00:00:00": day,
-        "2011": None, "2011-02-30": None, "2011-01-31 25:00:00": None, "2011-1-31": None, "31/01/2011": None, "x": None,
+        "2011": None, "2011-02-30": None, "2011-01-31 25:00:00": None, "2011-1-31": day, "2011-01-31T10:00:00Z": day, "2011-01-31 23:30:00+05:00": day, "31/01/2011": None, "x": None,
         "2011-01/31": None,
     }
     assert [x for (x,) in evaluate(spark, values, p.lenient_date(F.col("x")))] == list(values.values())

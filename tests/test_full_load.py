@@ -1,5 +1,6 @@
 """The whole job on invented feeds: first load, repeated load, changed load, missing feeds."""
 
+import dataclasses
 import datetime as dt
 import json
 from decimal import Decimal
@@ -9,7 +10,7 @@ import pytest
 from surestar import schemas
 from surestar.operators.rules import REASONS, kept
 from surestar.plans import curate
-from surestar.plans.full_load import full_load
+from surestar.plans.full_load import Options, full_load
 from surestar.sources.feeds import read_feed
 from surestar.sources.store import Store
 from tests.feeds import FEEDS, write_feeds
@@ -59,7 +60,7 @@ def test_steps(loaded):
     first = audits["r1"]
     assert first["ingest auto"]["status"] == "SKIPPED"
     assert {row["status"] for step, row in first.items() if step not in ("ingest auto", "full load")} == {"OK"}, first
-    assert first["full load"]["status"] == "SKIPPED"
+    assert first["full load"]["status"] == "OK", "no step reads the feed that did not come"
     clients = first["curate clients"]
     assert (clients["rows_in"], clients["rows_out"], clients["rows_rejected"]) == (11, 4, 7)
     for name, rows_in, kept_rows in [
@@ -180,6 +181,79 @@ def test_changed_load(loaded):
     assert claims["E1"]["payee_sk"] == versions[0]["sk"]
 
 
+def load(spark, root, runs, **options):
+    """Full loads into one warehouse and the tables after each."""
+    store, states = Store(spark, str(root / "wh")), []
+    for i, (run_id, changes, day) in enumerate(runs):
+        audit = full_load(spark, write_feeds(root / f"feeds{i}", changes), str(root / "wh"), day, run_id, **options)
+        tables = {n: store.read_appended(n, s).collect() for n, s in schemas.FACTS.items()}
+        states.append((tables, {r["step"]: r for r in audit.collect()}))
+    return store, states
+
+
+def test_repeating_an_earlier_run_keeps_its_keys(spark, tmp_path):
+    claim = {**CHANGES, "partes_accidente.csv": [["E21", "P1", "O1", "S2", "C1", "C1", "2022-03-01", "", "5", "1", "Robo", "abierto", "hogar"]]}
+    store, states = load(spark, tmp_path, [("r1", None, DAY_1), ("r2", claim, DAY_2), ("r1", None, DAY_2)])
+    first, second, third = (by(s[0]["fact_policy"], "policy_id") for s in states)
+    assert {k: r["sk"] for k, r in third.items()} == {k: r["sk"] for k, r in second.items()}
+    assert {k: r["sk"] for k, r in first.items()}.items() <= {k: r["sk"] for k, r in third.items()}.items()
+    claims = by(states[2][0]["fact_claim"], "claim_id")
+    assert {k: r["sk"] for k, r in claims.items()} == {r["claim_id"]: r["sk"] for r in states[1][0]["fact_claim"]}
+    assert claims["E21"]["policy_sk"] == third["P1"]["sk"]
+    orphans = {r["rule"] for r in store.read_appended("dq_report").collect() if "->" in r["rule"] and r["violations"]}
+    assert orphans == {"fact_claim.policy_sk->fact_policy exists"}, "only the claim without a loaded policy"
+    assert states[1][1]["load fact_policy"]["status"] == "OK"
+
+
+def test_a_failed_fact_step_adds_no_old_rejects(spark, tmp_path, monkeypatch):
+    store, states = load(spark, tmp_path, [("r1", None, DAY_1)])
+
+    def fail(*args, **more):
+        raise RuntimeError("x" * 5000)
+
+    from surestar.plans import facts
+
+    monkeypatch.setattr(facts, "fact_policy", fail)
+    _, states = load(spark, tmp_path / "again", [], **{})
+    audit = full_load(spark, write_feeds(tmp_path / "more"), str(tmp_path / "wh"), DAY_1, "r2")
+    steps = {r["step"]: r for r in audit.collect()}
+    assert steps["load fact_policy"]["status"] == "ERROR" and len(steps["load fact_policy"]["message"]) > 5000
+    rejects = store.read_appended("quarantine").where("source like 'fact_policy'").groupBy("run_id").count().collect()
+    assert {r["run_id"] for r in rejects} == {"r1"}
+
+
+def test_feeds_say_how_they_are_written(spark, tmp_path):
+    folder = tmp_path / "feeds"
+    write_feeds(folder)
+    text = (folder / "clientes.csv").read_text(encoding="utf-8").replace("1990-05-01", "01/05/1990")
+    (folder / "clientes.csv").write_bytes(text.encode("latin-1"))
+    feeds = [dataclasses.replace(s, encoding="ISO-8859-1", date_formats=("dd/MM/yyyy", "yyyy-MM-dd")) if s.name == "clients" else s for s in schemas.FEEDS]
+    audit = full_load(spark, str(folder), str(tmp_path / "wh"), DAY_1, "r1", feeds=feeds)
+    notes = {r["step"]: r["message"] for r in audit.collect()}
+    store = Store(spark, str(tmp_path / "wh"))
+    rows = by(store.read("curated_clients").where("_kept").collect(), "id_cliente")
+    assert rows["C1"]["fecha_nacimiento"] == dt.date(1990, 5, 1)
+    assert "PEREZ" in rows["C1"]["nombre_completo"] or "PÉREZ" in rows["C1"]["nombre_completo"]
+    assert "prima_mensual: no number: 1" in notes["ingest policies"]
+    (folder / "clientes.csv").unlink()
+    audit = full_load(spark, str(folder), str(tmp_path / "wh"), DAY_1, "r2", feeds=feeds)
+    assert "earlier run" in {r["step"]: r["message"] for r in audit.collect()}["curate clients"]
+
+
+def test_options_of_a_load(spark, tmp_path):
+    moved = {"clientes.csv": CHANGES["clientes.csv"], "polizas.csv": CHANGES["polizas.csv"], "garantias.csv": CHANGES["garantias.csv"]}
+    options = Options(dedupe_exact=True, person_version="current", items_need_policy=True, amount_order=True, full_report=True)
+    later = {**moved, "polizas.csv": [["P30", "C1", "A2", "C1", "O1", "Hogar", "Premium", "x", "Web", "Activa", "2022-02-02", "", "", "10", "", "", "", ""]],
+             "garantias.csv": [["P30", "robo", "70", "1"]]}
+    store, states = load(spark, tmp_path, [("r1", None, DAY_1), ("r2", later, DAY_2)], options=options)
+    policies = by(states[0][0]["fact_policy"], "policy_id")
+    assert policies["P1"]["insured_sum"] < Decimal("2500.25"), "a repeated coverage row counts once"
+    current = {r["person_id"]: r["sk"] for r in store.read("dim_person").where("is_current").collect()}
+    assert by(states[1][0]["fact_policy"], "policy_id")["P30"]["holder_sk"] == current["C1"]
+    rejected = store.read_appended("quarantine").where("array_contains(reasons, 'claimed >= assessed >= paid >= 0')")
+    assert rejected.count() > 0
+
+
 def test_missing_feeds_skip_their_dependants(spark, tmp_path):
     folder = tmp_path / "feeds"
     write_feeds(folder)

@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from surestar.operators import dedupe, details, keys, lookup, refint, scd
+from surestar.operators.rules import kept
 from surestar.plans import curate, dims
 from surestar.queries import ALL
 from surestar.queries.base import table
-from surestar.session import ensure_checkpoint_dir
-from surestar.sources.feeds import NULL_CELLS, ORDINAL, read_csv, read_csv_any_encoding
+from surestar.session import materialise, shared_folder
+from surestar.sources.feeds import MALFORMED, NULL_CELLS, ORDINAL, read_csv, read_csv_any_encoding
 from surestar.plans.full_load import build_master_geography
 
 FOLDER = "/root/testdata/sf0.001"
@@ -115,7 +116,7 @@ def test_csv_reading(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text('Id. X ,"b, c"\n1,"x, y"\nNA,\n2,n/d\n', encoding="utf-8")
     df = read_csv(spark, str(path))
-    assert df.columns == ["id_x", "b,_c", ORDINAL]
+    assert df.columns == ["id_x", "b,_c", MALFORMED, ORDINAL]
     assert [tuple(r)[:2] for r in df.collect()] == [("1", "x, y"), (None, None), ("2", "n/d")]
     latin = tmp_path / "b.csv"
     latin.write_bytes("id,nombre\n1,Tucumán\n".encode("latin-1"))
@@ -123,6 +124,89 @@ def test_csv_reading(spark, tmp_path):
     assert "NA" in NULL_CELLS
 
 
+def test_csv_quotes_and_broken_rows(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id,x,y\n1,"Casa ""La Paz""",a\n2,"C:\\",z\n3,b,c,surplus\n4,short\n5,"two\nlines",d\n6,e,f\n', encoding="utf-8")
+    rows = {r["id"]: r for r in read_csv(spark, str(path)).collect()}
+    assert (rows["1"]["x"], rows["2"]["x"], rows["2"]["y"]) == ('Casa "La Paz"', "C:\\", "z")
+    assert rows["3"][MALFORMED] == "3,b,c,surplus" and rows["4"][MALFORMED] == "4,short"
+    assert rows["1"][MALFORMED] is None and rows["6"][MALFORMED] is None
+    assert rows["5"][MALFORMED] is not None, "a line break in a cell is not lost without a word"
+    whole = {r["id"]: r for r in read_csv(spark, str(path), multi_line=True).collect()}
+    assert whole["5"]["x"] == "two\nlines" and whole["5"][MALFORMED] is None and len(whole) == 6
+
+
+def test_files_of_a_folder_need_one_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("id,name\n1,y\n2,z\n")
+    rows = read_csv(spark, str(tmp_path)).orderBy(ORDINAL).collect()
+    assert [(r["id"], r["name"]) for r in rows] == [("1", "x"), ("1", "y"), ("2", "z")]
+    (tmp_path / "b.csv").write_text("name,id\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_malformed_rows_go_to_quarantine(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id_parte,confirmado_fraude\nE1,1\nE1,1,0\nE2\nE9,1\n")
+    read_csv(spark, str(path)).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    marked = curate.fraud_indicators(raw, spark.createDataFrame([("E1",), ("E2",)], "id_parte string"))
+    found = {r["_row_json"]: r["_reasons"] for r in marked.where("not _kept").collect()}
+    assert marked.count() == 4 and marked.where("_kept").count() == 1
+    assert sorted(map(tuple, found.values())) == [("malformed_row",), ("malformed_row",), ("unknown_claim",)]
+    assert any('"_malformed":"E1,1,0"' in text for text in found)
+
+
+def test_last_row_of_a_real_feed_is_a_hash_aggregate(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id_perito,nombre,apellido,zona_cobertura\nS1,a,b,c\nS1,d,e,f\n")
+    marked = curate.adjusters(read_csv(spark, str(path)))
+    assert "SortAggregate" not in plan_of(marked)
+    assert {r["nombre"] for r in marked.where("_kept").collect()} == {"D"}
+
+
+def test_hot_reference_is_one_join_per_id(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(ALL["curate_payments"].run(spark, FOLDER)).split("== Physical Plan ==")[-1]
+        # last row, claims, payees, and the markers back to the rows
+        assert plan.count("SortMergeJoin") == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    raw = spark.range(6000).selectExpr(
+        f"id AS {ORDINAL}", "'G' || id AS id_pago", "'E' || id AS id_parte", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'C' || id END AS id_receptor",
+        "'1' AS monto_pagado", "'2020-01-01' AS fecha_pago",
+    )
+    claims = spark.range(6000).selectExpr("'E' || id AS id_parte")
+    clients = spark.createDataFrame([("hot",), ("C1",), ("C2",)], "id_cliente string")
+    insured = spark.createDataFrame([("hot",), ("hot",), ("C2",), (None,)], "id_asegurado string")
+    marked = curate.payments(raw, claims, clients, insured)
+    assert marked.count() == 6000 and marked.where("_kept").count() == 2001
+    assert marked.where("id_receptor = 'C1'").first()["_reasons"] == ["payee_not_insured"]
+
+
+def test_kept_rows_are_filtered_by_the_scan(spark, tmp_path):
+    raw = spark.createDataFrame([(1, "S1", "a", "b", "z"), (2, None, "a", "b", "z")], f"{ORDINAL} long, id_perito string, nombre string, apellido string, zona_cobertura string")
+    curate.adjusters(raw).write.parquet(str(tmp_path / "t"))
+    plan = plan_of(kept(spark.read.parquet(str(tmp_path / "t"))).select("id_perito"))
+    assert "EqualTo(_kept,true)" in plan or "_kept" in re.findall(r"PushedFilters: \[([^\]]*)\]", plan)[-1]
+
+
+def test_an_item_that_is_too_dear_is_rejected(spark):
+    raw = spark.createDataFrame([(1, "O1", "9999999999.99"), (2, "O2", "10000000000")], f"{ORDINAL} int, id_objeto string, valor_asegurado string")
+    assert {r["id_objeto"]: r["_reasons"] for r in curate.items(raw).collect()} == {"O1": [], "O2": ["value_too_large"]}
+
+
+def test_an_earlier_as_of_is_refused(spark):
+    schema = "person_id string, location_sk bigint, occupation string, segment string, sex string, is_third_party boolean"
+    person = spark.createDataFrame([("a", 1, "x", "s", "M", False)], schema)
+    existing = spark.createDataFrame([], "sk bigint, " + schema + ", valid_from date, valid_to date, is_current boolean")
+    first = dims.load_persons(existing, person, dt.date(2026, 7, 1))
+    with pytest.raises(ValueError, match="before 2026-07-01"):
+        dims.load_persons(first, person.withColumn("occupation", F.lit("y")), dt.date(2026, 6, 30))
+
+
 def test_ordinal_follows_file_order_over_many_splits(spark, tmp_path):
     path = tmp_path / "big.csv"
     path.write_text("id_parte,confirmado_fraude\n" + "".join(f"E{i % 50},{i}\n" for i in range(20000)))
@@ -145,7 +229,7 @@ def test_master_geography_round_trip(spark, tmp_path):
     built = build_master_geography(spark, str(tmp_path / "p.csv"), str(tmp_path / "l.csv"), target)
     pairs = {("CORDOBA", "VILLA MARIA"), ("SALTA", "CACHI")}
     assert {tuple(r) for r in built.collect()} == pairs
-    again = read_csv(spark, target).drop(ORDINAL)
+    again = read_csv(spark, target).drop(ORDINAL, MALFORMED)
     assert again.columns == ["provincia", "localidad"] and {tuple(r) for r in again.collect()} == pairs
 
 
@@ -156,8 +240,10 @@ def test_items_can_be_checked_against_policies(spark):
     assert reasons == {"O1": [], "O2": ["no_policy"]}
 
 
-def test_checkpoint_folder_comes_from_the_session(spark):
-    assert ensure_checkpoint_dir(spark).startswith(("file:", "/")) and spark.conf.get("spark.checkpoint.dir") in ensure_checkpoint_dir(spark)
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark) != shared_folder(spark)
+    assert materialise(spark.range(5)).count() == 5
 
 
 # Plans
@@ -175,6 +261,8 @@ def test_plans_stay_distributed(spark, name):
     # The only exchange into one task carries the bucket counts of the fact keys.
     single = re.findall(r"Exchange SinglePartition.*\n(.*)", plan)
     assert all("HashAggregate(keys=[_bucket" in below for below in single), single
+    if name in ("fact_policy", "fact_claim"):
+        assert "SortAggregate" not in plan
 
 
 def test_pushdown_and_pruning(spark):
