@@ -1,12 +1,15 @@
-"""What the corpus operators share: text expressions, shared-folder tables and a deterministic connected-components job."""
+"""What the corpus operators share: text expressions, tables in the shared folder and connected components."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surestar.session import materialise as store
+from surestar.session import shared_folder
+
+__all__ = ["connected_components", "lower_ascii", "read", "shared_folder", "store", "word_count"]
+
 #: A word is a run of bytes that are neither a space nor one of the five ASCII control characters for white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -26,23 +29,6 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors can read and write.
-
-    It lies in ``spark.checkpoint.dir``. Only a session without that setting gets one beside its tables, because the
-    warehouse is shared as well; a folder of the local machine is never used.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
-
-
-def store(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder once and read it from there, so that lost executors cost nothing upstream."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node of the component of every node that has an edge.
 
