@@ -2,7 +2,8 @@
 
 Each half of the vectors has its own codebook, so ``cells`` squared pairs of centroids divide the space. The index holds every
 vector under its pair. A query walks the pairs in the order of the sum of both squared distances, with a heap over the two
-sorted lists, until the pairs it has seen hold ``candidates`` vectors; these are reranked by the exact distance.
+sorted lists, until the pairs it has seen hold enough vectors; these are reranked by the exact distance. Queries and index meet in blocks
+of bounded size, in which a query looks at the entries of its own pairs only and keeps the nearest few.
 
 The codebooks are fitted on a bounded sample (``sample_rows`` vectors, in the order of a hash); the index holds all rows. Equal
 vectors are one entry that keeps its smallest ids, one more than are wanted: ties go to the smaller id, so no other copy can
@@ -28,12 +29,6 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Euclidean distance of two arrays, in double precision."""
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
-
-
 def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)[None, :], 0)
 
@@ -70,16 +65,43 @@ def walk(near: np.ndarray, far: np.ndarray, counts: np.ndarray, candidates: int)
     return found
 
 
+def nearest_in_block(queries: pd.DataFrame, entries: pd.DataFrame, k: int) -> pd.DataFrame:
+    """For each query the ``k`` nearest entries, and all that tie with the last, among those in pairs it visits."""
+    names = ["query_id", "which", "score", "ids"]
+    if not len(queries) or not len(entries):
+        return pd.DataFrame({n: pd.Series([], dtype=object) for n in names})
+    entries = entries.sort_values("cell", kind="stable")
+    q, v = np.array(queries.q.tolist()), np.array(entries.v.tolist())
+    visits = np.unpackbits(np.stack([np.frombuffer(x, np.uint8) for x in queries.visits]), axis=1).astype(bool)
+    met = np.full((len(q), len(v)), np.inf)
+    cells, begins = np.unique(entries.cell.to_numpy(), return_index=True)
+    for cell, start, stop in zip(cells, begins, [*begins[1:], len(v)], strict=True):
+        if len(own := np.flatnonzero(visits[:, cell])):
+            met[own, start:stop] = _squared(q[own], v[start:stop])
+    last = min(k, len(v)) - 1
+    slack = 1e-9 * (1 + (q**2).sum(1).max() + (v**2).sum(1).max())  # these distances are rounded, the returned ones are not
+    rows, found = np.nonzero((met <= np.partition(met, last, axis=1)[:, last : last + 1] + slack) & np.isfinite(met))
+    score = np.sqrt(((q[rows] - v[found]) ** 2).sum(1))
+    ids = entries.ids.to_numpy()
+    return pd.DataFrame({
+        "query_id": queries.query_id.to_numpy()[rows], "which": queries.which.to_numpy()[rows], "score": score,
+        "ids": pd.Series(list(ids[found]), dtype=object),
+    })
+
+
 def search(
-    vectors: DataFrame, is_query: Column, k: int = 10, cells: int = 32, candidates: int = 2000, sample_rows: int = 8000
+    vectors: DataFrame, is_query: Column, k: int = 10, cells: int = 32, candidates: int = 2000, share: float = 0.5,
+    sample_rows: int = 8000, block_rows: int = 1024,
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of the ``k`` nearest found for each query, itself left out.
 
     ``vectors`` has ``vec_id`` and ``embedding``; ``is_query`` chooses the queries among its rows. Rows without id, and
     vectors that are null, empty, zero or hold null, NaN or infinite components take no part; all others have to be of one
     length. An id with several vectors is a candidate with each; only rows with the query's id are left out of its result, and a
-    repeated query is answered once per different vector. Rows that repeat an id and its vector count once. Fewer candidates than ``k``: all of them. No queries: no rows.
-    ``cells`` per half; a query reads whole pairs until they hold ``candidates`` different vectors.
+    repeated query is answered once per different vector. Rows that repeat an id and its vector count once. Fewer candidates than
+    ``k``: all of them. No queries: no rows. ``cells`` per half; a query reads whole pairs until they hold ``candidates``
+    different vectors and at least ``share`` of all. Vectors without clusters need a large share: there neighbours are
+    hardly nearer than others, and the recall is little more than the share.
     """
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)).alias("v"), is_query.alias("query")
@@ -108,16 +130,28 @@ def search(
     for row in sizes:
         counts[divmod(row["cell"], width)] = row["count"]
 
-    @F.pandas_udf("array<int>")
+    total = int(counts.sum())
+    wanted = max(candidates, int(np.ceil(share * total)))
+
+    @F.pandas_udf("binary")
     def pairs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             v = np.array(batch.tolist()).reshape(len(batch), -1)
             near, far = _squared(v[:, :half], books[0]), _squared(v[:, half:], books[1])
-            yield pd.Series([walk(a, b, counts, candidates) for a, b in zip(near, far, strict=True)])
+            marks = np.zeros((len(batch), counts.size), bool)
+            for mark, a, b in zip(marks, near, far, strict=True):
+                mark[walk(a, b, counts, wanted)] = True
+            yield pd.Series([x.tobytes() for x in np.packbits(marks, axis=1)])
 
     queries = rows.where("query").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct()
-    visits = queries.withColumn("cell", F.explode(pairs("q")))
-    met = visits.join(index, "cell").select("query_id", F.xxhash64("q").alias("which"), distance(F.col("q"), F.col("v")).alias("score"), "ids")
+    queries = store(queries.withColumns({"which": F.xxhash64("q"), "visits": pairs("q")}))
+    blocks, sides = max(1, -(-total // block_rows)), max(1, -(-queries.count() // block_rows))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = queries.withColumn("side", F.pmod(F.xxhash64("query_id"), F.lit(sides)).cast("int")).withColumn("block", every(blocks))
+    right = index.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int")).withColumn("side", every(sides))
+    met = left.groupBy("side", "block").cogroup(right.groupBy("side", "block")).applyInPandas(
+        lambda some, held: nearest_in_block(some, held, k + 1), "query_id long, which long, score double, ids array<long>"
+    )
     met = met.withColumn("vec_id", F.explode("ids")).where("vec_id != query_id")
     nearest = F.row_number().over(Window.partitionBy("query_id", "which").orderBy("score", "vec_id"))
     return met.withColumn("rank", nearest).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
