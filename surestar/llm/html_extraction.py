@@ -137,7 +137,7 @@ def content_gain(block: Block, has_home: bool) -> int:
     if block.away:
         gain -= 40
     elif block.home:
-        gain += 8
+        gain += 5
     elif block.marked:
         gain += 2
     if has_home and not block.home:
