@@ -18,7 +18,7 @@ KINDS = {
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in TABLES:
+    for name in (*TABLES, "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
     return con
 
