@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,32 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_trees(chat.as_threads(rows)))
 
 
+_CONTROLS = "|".join(re.sub(r"([|\[\]])", r"\\\1", c) for c in chat.CONTROL)
+
+
+def _escaped_length(x: str) -> str:
+    """SQL for the length of a text in which backslashes are doubled and each control string has one more."""
+    return f"length({x}) + len(regexp_extract_all({x}, '\\\\')) + len(regexp_extract_all({x}, '{_CONTROLS}'))"
+
+
+OP4_SQL = f"""
+WITH said AS (
+  SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, t NULLS FIRST), ''))
+       AS loss_sha256,
+       sum({len(chat.START) + len(chat.END) + 2} + {_escaped_length('role')}
+           + len(regexp_extract_all(role, chr(10))) + {_escaped_length('text')})::BIGINT
+       AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
+
 def op5_ann(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(read(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
 
@@ -125,4 +153,4 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-SQL = {"op6_mixing": OP6_SQL}
+SQL = {"op4_chat": OP4_SQL, "op6_mixing": OP6_SQL}

@@ -87,7 +87,7 @@ def test_copies_write_the_mix_out(docs):
     assert words == +taken
 
 
-@pytest.mark.parametrize("name", ["op6_mixing"])
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, folder, name):
     from surestar.queries.base import Query
     from tests.oracle import compare
