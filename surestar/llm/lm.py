@@ -231,6 +231,22 @@ def expert_weights(known: np.ndarray, local: np.ndarray, spelling: np.ndarray, l
     return weights / weights.sum(0)
 
 
+def frequent_words(vocabulary: DataFrame, most: int) -> Column:
+    """Condition that holds for at most ``most`` words, the most frequent ones, found from a histogram of the counts.
+
+    The histogram has at most a thousand steps; the words of the last step that still fits are all frequent.
+    """
+    step = F.floor(F.log2("c") * 16).cast("int")
+    steps = vocabulary.where("c > 0").groupBy(step.alias("step")).count().collect()
+    words, least = 0, None
+    for row in sorted(steps, reverse=True):
+        words += row["count"]
+        if words > most:
+            break
+        least = row["step"]
+    return F.lit(False) if least is None else (F.col("c") > 0) & (step >= least)
+
+
 def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> DataFrame:
     """Scores of every row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score``, ``bits_per_byte``.
@@ -252,7 +268,7 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
     counts = spelling_counts(seen)
     mixer = fit_mixer(seen.where("c = 1"), counts)
     vocabulary = store(spell(vocabulary, counts, mixer))
-    common = vocabulary.where("c > 0").orderBy(F.col("c").desc(), "word").limit(frequent).toPandas()
+    common = vocabulary.where(frequent_words(vocabulary, frequent)).toPandas()
     table = spark.sparkContext.broadcast((
         {bytes(w): i for i, w in enumerate(common.word)}, common.c.to_numpy(np.float64), 10.0 ** common.spelling.to_numpy(np.float64)
     ))
@@ -263,7 +279,7 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
 
         ids, count, spelling = table.value
         key = TaskContext.get().partitionId() << 40
-        for pdf in frames:
+        for pdf in (f.iloc[at : at + 500] for f in frames for at in range(0, len(f), 500)):
             out = []
             for text in pdf.text:
                 data = text.encode("utf-8", "surrogatepass")
