@@ -161,7 +161,8 @@ def edited_fingerprints(docs: DataFrame, radius: int = 3) -> DataFrame:
     pick = [F.max(F.when(F.col("kind") == k, F.col(f))).alias(n) for k, names in ((0, ("f0", "f1")), (1, ("q0", "q1"))) for f, n in zip(("f0", "f1"), names, strict=True)]
     marked = store(marked.groupBy(*keys).agg(F.max("rows").alias("rows"), *pick))
 
-    texts = marked.groupBy(F.col("text_hash").alias("next_hash")).agg(F.min("f0").alias("n0"), F.min("f1").alias("n1"))
+    # written, so that the join below is one that Spark can split where many documents have the same next text
+    texts = store(marked.groupBy(F.col("text_hash").alias("next_hash")).agg(F.min("f0").alias("n0"), F.min("f1").alias("n1")))
     index = marked.groupBy("f0", "f1").agg(F.sum("rows").alias("n"))
     found = within_radius(marked.select("q0", "q1").distinct(), index.select("f0", "f1"), radius)
     hits = found.join(index, ["f0", "f1"]).groupBy("q0", "q1").agg(F.sum("n").alias("hits"))
