@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surestar.llm.common import store
+from surestar.llm.common import lowest_by_hash, store
 
 
 def usable(vector: Column) -> Column:
@@ -106,7 +106,7 @@ def search(
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)).alias("v"), is_query.alias("query")
     )
-    sample = rows.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
+    sample = lowest_by_hash(rows.select("vec_id", "v"), "vec_id", sample_rows).toPandas()
     if not len(sample):
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     x = np.array(sample.v.tolist())

@@ -5,7 +5,7 @@ Features are indicators of hashed n-grams: character n-grams of the UTF-8 bytes
 the two classes; on the scaled, length-normalised vectors a linear hinge-loss model is fitted by dual coordinate descent.
 A quarter of the sample is held back to turn margins into probabilities.
 
-The model is fitted on a bounded sample of the labelled rows (``max_rows``, taken in order of a hash of the text), in one
+The model is fitted on a bounded sample of the labelled rows (``max_rows``, taken in order of a hash of the id), in one
 task; scoring reads every whole text where it lies and shuffles nothing.
 """
 
@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surestar.llm.common import lowest_by_hash
+
 BITS = 18
 #: Classes of bytes: 0 lower case and beyond ASCII, 1 upper case, 2 digit, 3 other, 4 white space.
 _CLASS = np.zeros(256, np.uint8)
@@ -158,11 +160,8 @@ def fit_quality(
     Rows without id or label are left out; of several labels of one id the smallest counts. The chosen ids, at most
     ``max_rows``, are the only broadcast, so no text is shuffled; one task fits.
     """
-    chosen = (
-        labels.where("doc_id IS NOT NULL AND good IS NOT NULL")
-        .groupBy("doc_id").agg(F.min(F.col("good").cast("int")).alias("good"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    )
+    known = labels.where("doc_id IS NOT NULL AND good IS NOT NULL").groupBy("doc_id").agg(F.min(F.col("good").cast("int")).alias("good"))
+    chosen = lowest_by_hash(known, "doc_id", max_rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def as_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
