@@ -1,14 +1,15 @@
-"""Language-model scoring by online logistic context mixing.
-
-A text is a run of words and an end mark. The spelling model codes a word bit by bit: hashed contexts, the last one to five bytes of the
-word with the bits of the byte so far, each have counts of zeros and ones; their log odds are mixed with weights chosen
-by a gate (how often the context was seen) that learn online, and an adaptive map refines the mixed probability. Three experts
-predict a word: the spelling model, the share of the word among all training words, and its share in the text so far. Their
-weights adapt online within each text to how well each expert has done before, so a word is predicted from the past only.
-
-The corpus is gathered by Spark: word counts, the spelling counts of all different training words and the mixing weights of every
-partition are summed by shuffles. Only tables of a fixed size are broadcast: the hashed counts, and the ``frequent`` most common
-words. Other words are looked up by a join.
+"""Language-model scoring by online logistic context mixing over the bytes of whole texts.
+
+A text is its lower-case words, joined by single spaces, and an end mark. It is coded bit by bit: hashed contexts with the bits of
+the byte so far each have counts of zeros and ones. The contexts are the last one to five bytes, whatever words they are in, the
+word so far, the word so far with the word before it, and the byte that followed the last five bytes where this text had them
+last, with how often in a row such a guess was right. The log odds of the counts are mixed with weights chosen by a gate (how often the
+context was seen), and an adaptive map refines the mixed probability. Within each text the share of every context in the mix
+is learned online, block by block, so each byte is predicted from the past only.
+
+The corpus is gathered by Spark: the counts of all bytes of all training texts and the mixing weights of every partition are summed by
+shuffles. Tables of a fixed size are broadcast: the hashed counts, and the counts of the ``frequent`` most common words, which only
+``n_known`` and ``base_score`` use; other words are looked up for them by a join.
 """
 
 from __future__ import annotations
@@ -24,35 +25,82 @@ from pyspark.sql import functions as F
 from surestar.llm.common import lower_ascii, store
 
 ORDERS = (1, 2, 3, 5)
-TABLE_BITS = (16, 18, 20, 20)
+TABLE_BITS = (16, 18, 19, 20, 20, 20, 16)  # of the orders, the word, the word with the one before, the guess from the text
+KINDS = len(TABLE_BITS)
 OFFSETS = tuple(int(x) for x in np.cumsum([0, *[1 << b for b in TABLE_BITS]]))
 SLOTS, SEGMENT = OFFSETS[-1], 1 << 16
 GATES, STEPS = 16, 32
 PRIOR = np.array([0.60, 0.25, 0.15])  # of the experts: all words, this text, spelling
 PATIENCE = 10.0  # words of evidence that the prior is worth
+BLOCKS = np.cumsum([32, 32, 64, 128, 256])  # ends of the blocks of a text between which its mix is learned, then every 512 bytes
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-
-
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All bits of the words, each followed by a space: the slot of each order and bit, the bits, and the word of each byte."""
-    flat = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    owner = np.repeat(np.arange(len(words)), lengths)
+_A_INVERSE = np.uint64(pow(int(_A), -1, 1 << 64))
+
+
+def _word_contexts(wide: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word so far, and of it and the word before, for each byte."""
+    n = len(wide)
+    at = np.arange(n)
+    opens = np.ones(n, bool)
+    opens[1:] = (wide[:-1] == 32) | (place[1:] == 0)
+    begin = np.maximum.accumulate(np.where(opens, at, 0))
+    powers = np.cumprod(np.full(n, _A))
+    sums = np.cumsum((wide + np.uint64(1)) * powers) - (wide + np.uint64(1)) * powers  # of the bytes before
+    back = np.cumprod(np.full(n, _A_INVERSE))
+    word = (sums - sums[begin]) * back[begin]
+    before = np.where(place[begin] > 0, word[begin - 1] + np.uint64(1), np.uint64(0))
+    return word, word * _B ^ (before * _C + (before >> np.uint64(31)))
+
+
+def _guesses(flat: np.ndarray, owner: np.ndarray, place: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """For each byte the one that followed the same last bytes of this text before, with the number of right guesses up to here."""
+    n = len(flat)
+    at, hashed = np.arange(n), (context * _A ^ context >> np.uint64(29)) * _B >> np.uint64(32)
+    bits = n.bit_length()
+    if int(owner[-1]).bit_length() + bits <= 32:
+        packed = np.sort(owner.astype(np.uint64) << np.uint64(32 + bits) | hashed << np.uint64(bits) | at.astype(np.uint64))
+        order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    else:
+        order = np.lexsort((at, hashed, owner))
+    before, after = order[:-1], order[1:]
+    same = (context[before] == context[after]) & (owner[before] == owner[after]) & (place[before] >= ORDERS[-1])
+    last = np.full(n, -1)
+    last[after[same]] = before[same]
+    guess = flat[last]
+    wrong = np.maximum.accumulate(np.where((last >= 0) & (guess == flat), -1, at))
+    run = np.zeros(n, np.int64)
+    run[1:] = at[:-1] - wrong[:-1]
+    return np.where(last >= 0, 1 + guess + 256 * np.minimum(run, 15), 0).astype(np.uint64)
+
+
+def spelled(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bits of the texts, each followed by an end mark: the slot of each context and bit, the bits, and the text of each byte."""
+    flat = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    owner = np.repeat(np.arange(len(texts)), lengths)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    wide, context = flat.astype(np.uint64), np.zeros(len(flat), np.uint64)
-    step = np.arange(8, dtype=np.uint64)
-    node = (np.uint64(1) << step) | (wide[:, None] >> (np.uint64(8) - step))
-    bits = ((wide[:, None] >> (np.uint64(7) - step)) & np.uint64(1)).astype(np.int32)
-    slots = np.empty((len(ORDERS), len(flat), 8), np.int32)
-    done = 0
-    for k, order in enumerate(ORDERS):
-        while done < order:  # one byte further back, where the word reaches so far
+    wide, context, contexts, done = flat.astype(np.uint64), np.zeros(len(flat), np.uint64), [], 0
+    for order in ORDERS:
+        while done < order:  # one byte further back, where the text reaches so far
             done += 1
             earlier = np.zeros(len(flat), np.uint64)
             earlier[done:] = wide[:-done] + np.uint64(1)
-            context = context | (np.where(place >= done, earlier, 0).astype(np.uint64) << np.uint64(9 * (done - 1)))
+            earlier[place < done] = 0
+            context = context | (earlier << np.uint64(9 * (done - 1)))
+        contexts.append(context)
+    contexts += [*_word_contexts(wide, place), _guesses(flat, owner, place, context)]
+    step = np.arange(4, dtype=np.uint8)
+    halves = np.stack([flat >> 4, flat & 15])
+    nodes = (np.uint8(1) << step) | (halves[:, :, None] >> (np.uint8(4) - step))
+    bits = ((halves[:, :, None] >> (np.uint8(3) - step)) & np.uint8(1)).transpose(1, 0, 2).reshape(-1, 8).astype(np.int32)
+    slots = np.empty((KINDS, len(flat), 8), np.int32)
+    upper = (wide >> np.uint64(4)) + np.uint64(1)
+    for k, context in enumerate(contexts):  # the bits of half a byte lie side by side
         hashed = (context * _A) ^ (context >> np.uint64(29)) * _B
-        slots[k] = ((hashed[:, None] + node * _C) * _A >> np.uint64(64 - TABLE_BITS[k])).astype(np.int32) + OFFSETS[k]
+        for half, mixed in enumerate((hashed, hashed + upper * _C)):
+            mixed = (mixed ^ mixed >> np.uint64(32)) * _A
+            group = (mixed >> np.uint64(68 - TABLE_BITS[k])).astype(np.int32) * 16 + OFFSETS[k]
+            np.add(group[:, None], nodes[half], out=slots[k, :, 4 * half : 4 * half + 4])
     return slots, bits, owner
 
 
@@ -71,7 +119,7 @@ def without_one(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Mixer:
-    """Weights by order and gate, a bias by bit of the byte, and the counts of the adaptive map by bit and step."""
+    """Weights by context and gate, a bias by bit of the byte, and the counts of the adaptive map by bit and step."""
 
     weights: np.ndarray
     bias: np.ndarray
@@ -79,14 +127,14 @@ class Mixer:
 
     @classmethod
     def fresh(cls) -> Mixer:
-        weights = np.tile(np.linspace(0.05, 0.6, GATES), (len(ORDERS), 1))
+        weights = np.tile(np.linspace(0.03, 0.4, GATES), (KINDS, 1))
         centre = 1 / (1 + np.exp(-(np.arange(STEPS) - (STEPS - 1) / 2) / 2))
         return cls(weights, np.zeros(8), np.stack([np.tile(1 - centre, (8, 1)), np.tile(centre, (8, 1))]) * 4)
 
     def table(self, counts: np.ndarray) -> np.ndarray:
         """What each slot adds to the mixed log odds."""
         odds, gates = log_odds(counts[0], counts[1])
-        for k in range(len(ORDERS)):
+        for k in range(KINDS):
             own = slice(OFFSETS[k], OFFSETS[k + 1])
             odds[own] *= self.weights[k].astype(np.float32)[gates[own]]
         return odds
@@ -99,15 +147,17 @@ class Mixer:
         return 0.5 / (1 + np.exp(-mixed)) + 0.5 * share[cells], cells
 
     def learn(self, odds: np.ndarray, gates: np.ndarray, slots: np.ndarray, bits: np.ndarray, rate: float) -> None:
-        """One step on the bits of a batch of words; ``odds`` and ``gates`` are those of ``without_one``."""
-        mixed, at = np.tile(self.bias.astype(np.float32), (len(bits), 1)), slots * 2 + bits
-        inputs, chosen = odds[at], gates[at]
-        for k in range(len(ORDERS)):
-            mixed += self.weights[k].astype(np.float32)[chosen[k]] * inputs[k]
+        """One step on the bits of a batch of texts; ``odds`` and ``gates`` are those of ``without_one``."""
+        mixed, inputs, chosen = np.tile(self.bias.astype(np.float32), (len(bits), 1)), [], []
+        for k in range(KINDS):
+            at = slots[k] * 2 + bits
+            inputs.append(odds.take(at))
+            chosen.append(gates.take(at))
+            mixed += self.weights[k].astype(np.float32).take(chosen[k]) * inputs[k]
         np.clip(mixed, -15, 15, out=mixed)
         p = 1 / (1 + np.exp(-mixed))
         error, spread = bits - p, p * (1 - p)
-        for k in range(len(ORDERS)):
+        for k in range(KINDS):
             at, x = chosen[k].ravel(), inputs[k]
             push = np.bincount(at, weights=(error * x).ravel(), minlength=GATES)
             size = np.bincount(at, weights=(spread * x * x).ravel(), minlength=GATES)
@@ -122,20 +172,45 @@ class Mixer:
 
     @classmethod
     def of(cls, vector: np.ndarray) -> Mixer:
-        a, b = len(ORDERS) * GATES, len(ORDERS) * GATES + 8
-        return cls(vector[:a].reshape(len(ORDERS), GATES), vector[a:b], vector[b:].reshape(2, 8, STEPS))
+        a, b = KINDS * GATES, KINDS * GATES + 8
+        return cls(vector[:a].reshape(KINDS, GATES), vector[a:b], vector[b:].reshape(2, 8, STEPS))
 
     def score(self, table: np.ndarray, slots: np.ndarray, bits: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        """Log10 of the probability of each word, with a table made from the same weights."""
-        mixed = np.tile(self.bias.astype(np.float32), (len(bits), 1))
-        for own in slots:
-            mixed += table[own]
-        p, _ = self.refine(np.clip(mixed, -15, 15))
-        return np.bincount(owner, weights=np.log10(np.where(bits == 1, p, 1 - p)).sum(1), minlength=n)
-
-
-def _batches(frames: Iterator[pd.DataFrame], size: int = 16_000, most: int = 200_000) -> Iterator[pd.DataFrame]:
-    """Cut frames into pieces of few words and bytes, so that memory stays bounded for long words too."""
+        """Log10 of the probability of each text, with a table made from the same weights.
+
+        Each text has a factor per context, 1 at first, that takes a step after each block of the text.
+        """
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        block = np.searchsorted(BLOCKS, place, "right") + np.maximum(0, place - BLOCKS[-1]) // 512
+        order = np.argsort(block, kind="stable")
+        inputs = np.stack([table.take(own) for own in slots[:, order]])
+        bits, owner = bits[order], owner[order]
+        factors, sizes, total = np.ones((n, KINDS), np.float32), np.zeros((n, KINDS), np.float32), np.zeros(n)
+        ends = np.cumsum(np.bincount(block))
+        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            x, own, ones = inputs[:, begin:end], owner[begin:end], bits[begin:end]
+            mixed = np.tile(self.bias.astype(np.float32), (end - begin, 1))
+            for k in range(KINDS):
+                mixed += factors[own, k][:, None] * x[k]
+            np.clip(mixed, -15, 15, out=mixed)
+            p, _ = self.refine(mixed)
+            gained = np.log10(np.where(ones == 1, p, 1 - p)).sum(1, dtype=np.float64)
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            texts = own[first]
+            total[texts] += np.add.reduceat(gained, first)
+            if end == len(owner):
+                break
+            p = 1 / (1 + np.exp(-mixed))
+            error, spread = ones.astype(np.float32) - p, p * (1 - p)
+            for k in range(KINDS):
+                push = np.add.reduceat(np.einsum("ij,ij->i", error, x[k]), first)
+                sizes[texts, k] += np.add.reduceat(np.einsum("ij,ij,ij->i", spread, x[k], x[k]), first)
+                factors[texts, k] += push / (sizes[texts, k] + 50)
+        return total
+
+
+def _batches(frames: Iterator[pd.DataFrame], size: int = 1000, most: int = 200_000) -> Iterator[pd.DataFrame]:
+    """Cut frames into pieces of few texts and bytes, so that memory stays bounded for long texts too."""
     for pdf in frames:
         total = pdf.word.map(len).cumsum() // most
         for _, group in pdf.groupby(total, sort=False):
@@ -143,18 +218,20 @@ def _batches(frames: Iterator[pd.DataFrame], size: int = 16_000, most: int = 200
                 yield group.iloc[at : at + size]
 
 
-def spelling_counts(words: DataFrame) -> np.ndarray:
-    """Zeros and ones seen in each slot over all ``words`` (binary ``word``), each counted once; 2 x ``SLOTS``.
+def spelling_counts(texts: DataFrame) -> np.ndarray:
+    """Zeros and ones seen in each slot over all bytes of ``texts`` (binary ``word``, a text each); 2 x ``SLOTS``.
 
-    Every task sums its words in tables of that fixed size and hands them on in segments, which are summed by a shuffle.
+    Every task sums its texts in tables of that fixed size and hands them on in segments, which are summed by a shuffle.
     """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((2, SLOTS), np.uint32)
         for pdf in _batches(frames):
             slots, bits, _ = spelled(pdf.word.tolist())
-            both = np.bincount((slots * 2 + bits).ravel(), minlength=2 * SLOTS)
-            totals += both.reshape(SLOTS, 2).T.astype(np.uint32)
+            for k in range(KINDS):
+                own = slice(OFFSETS[k], OFFSETS[k + 1])
+                both = np.bincount(((slots[k] - OFFSETS[k]) * 2 + bits).ravel(), minlength=2 << TABLE_BITS[k])
+                totals[:, own] += both.reshape(-1, 2).T.astype(np.uint32)
         for at in range(0, SLOTS, SEGMENT):
             piece = np.ascontiguousarray(totals[:, at : at + SEGMENT])
             if piece.any():
@@ -170,7 +247,7 @@ def spelling_counts(words: DataFrame) -> np.ndarray:
             yield pd.DataFrame({"segment": list(sums), "counts": [x.astype(np.float32).tobytes() for x in sums.values()]})
 
     schema = "segment int, counts binary"
-    merged = words.select("word").mapInPandas(count, schema).repartition("segment").mapInPandas(add, schema)
+    merged = texts.select("word").mapInPandas(count, schema).repartition("segment").mapInPandas(add, schema)
     counts = np.zeros((2, SLOTS), np.float32)
     for row in merged.collect():  # at most SLOTS / SEGMENT rows
         piece = np.frombuffer(bytes(row.counts), np.float32).reshape(2, -1)
@@ -178,45 +255,33 @@ def spelling_counts(words: DataFrame) -> np.ndarray:
     return counts
 
 
-def fit_mixer(words: DataFrame, counts: np.ndarray, rate: float = 0.3) -> Mixer:
-    """Weights learned online over the words of each partition and averaged by the number of words.
+def fit_mixer(texts: DataFrame, counts: np.ndarray, rate: float = 0.3) -> Mixer:
+    """Weights learned online over the texts of each partition and averaged by the number of bytes.
 
-    ``words`` are those that the corpus has once: without their own counts they are like words it has not had yet.
+    ``texts`` are those of ``counts``; each bit is predicted without its own count.
     """
-    shared = words.sparkSession.sparkContext.broadcast(without_one(counts))
+    shared = texts.sparkSession.sparkContext.broadcast(without_one(counts))
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mixer, seen = Mixer.fresh(), 0
-        for pdf in _batches(frames, 4000):
+        for pdf in _batches(frames, most=50_000):
             slots, bits, _ = spelled(pdf.word.tolist())
-            mixer.learn(*shared.value, slots, bits, rate / len(ORDERS))
-            seen += len(pdf)
+            mixer.learn(*shared.value, slots, bits, rate / KINDS)
+            seen += len(bits)
         if seen:
             vector = mixer.vector()
-            yield pd.DataFrame({"place": np.arange(len(vector)), "value": vector, "words": float(seen)})
+            yield pd.DataFrame({"place": np.arange(len(vector)), "value": vector, "bytes": float(seen)})
 
-    found = words.select("word").mapInPandas(learn, "place int, value double, words double")
-    mean = found.groupBy("place").agg((F.sum(F.col("value") * F.col("words")) / F.sum("words")).alias("value"))
+    found = texts.select("word").mapInPandas(learn, "place int, value double, bytes double")
+    mean = found.groupBy("place").agg((F.sum(F.col("value") * F.col("bytes")) / F.sum("bytes")).alias("value"))
     vector = Mixer.fresh().vector()
     for row in mean.collect():  # one row per weight
         vector[row.place] = row.value
     return Mixer.of(vector)
 
 
-def spell(words: DataFrame, counts: np.ndarray, mixer: Mixer) -> DataFrame:
-    """``words`` (binary ``word``, long ``c``) with ``spelling``, the log10 probability of the spelling model."""
-    shared = words.sparkSession.sparkContext.broadcast(mixer.table(counts))
-
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _batches(frames, 4000):
-            slots, bits, owner = spelled(pdf.word.tolist())
-            yield pdf.assign(spelling=mixer.score(shared.value, slots, bits, owner, len(pdf)))
-
-    return words.select("word", "c").mapInPandas(score, "word binary, c long, spelling double")
-
-
 def expert_weights(known: np.ndarray, local: np.ndarray, spelling: np.ndarray, looked_up: np.ndarray) -> np.ndarray:
-    """Weights of the three experts before each word of a text, from the words before it.
+    """Weights of the three experts before each word of a text, from the words before it; ``score_texts`` doesn't mix words any more.
 
     ``known``, ``local`` and ``spelling`` are the probabilities the experts gave. Where ``looked_up`` is false only ``local`` is known: a
     word that the text has not had yet counts for the other two alike, one that it has had for the text.
@@ -252,78 +317,57 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
     ``score``, ``bits_per_byte``.
 
     ``training`` chooses the rows that the model learns from. Tokens are lower-case words and one end per text; null is the
-    empty text, which has its end only. Without training rows only spelling predicts. Scores are log10 probabilities.
-    Repeated rows are scored alike.
+    empty text, which has its end only. Without training rows all contexts are empty. Scores are log10 probabilities; ``score`` is that
+    of all bytes of the text by the mixer and doesn't depend on ``frequent``. Repeated rows are scored alike.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", lower_ascii(F.col("text")).alias("text"), training.alias("training"))
-    words = rows.select("training", F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")).where("word != ''")
-    vocabulary = words.groupBy("word").agg(F.sum(F.col("training").cast("long")).alias("c"))
+    words = rows.where("training").select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")).where("word != ''")
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("c"))
     vocabulary = store(vocabulary.select(F.col("word").cast("binary").alias("word"), "c"))
-    seen = vocabulary.where("c > 0")
-    total, kinds = seen.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    total, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = rows.where("training").count()
     n, v = total + ends, kinds + (ends > 0)
 
-    counts = spelling_counts(seen)
-    mixer = fit_mixer(seen.where("c = 1"), counts)
-    vocabulary = store(spell(vocabulary, counts, mixer))
+    learned = rows.where("training").select(F.regexp_replace(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")), " +", " ").cast("binary").alias("word"))
+    counts = spelling_counts(learned)
+    mixer = fit_mixer(learned, counts)
+    tables = spark.sparkContext.broadcast((mixer, mixer.table(counts)))
     common = vocabulary.where(frequent_words(vocabulary, frequent)).toPandas()
-    table = spark.sparkContext.broadcast((
-        {bytes(w): i for i, w in enumerate(common.word)}, common.c.to_numpy(np.float64), 10.0 ** common.spelling.to_numpy(np.float64)
-    ))
-    per_word, floor = 1.0 / max(n, 1), n + v + 1
+    table = spark.sparkContext.broadcast(dict(zip(map(bytes, common.word), common.c.tolist(), strict=True)))
+    floor = n + v + 1
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        ids, count, spelling = table.value
+        known, (mixer, mixed) = table.value, tables.value
         key = TaskContext.get().partitionId() << 40
-        for pdf in (f.iloc[at : at + 500] for f in frames for at in range(0, len(f), 500)):
+        for pdf in _batches(f.rename(columns={"text": "word"}) for f in frames):
+            split = [text.encode("utf-8", "surrogatepass").split() for text in pdf.word]
+            slots, bits, owner = spelled([b" ".join(tokens) for tokens in split])
+            scores = mixer.score(mixed, slots, bits, owner, len(pdf))
             out = []
-            for text in pdf.text:
-                data = text.encode("utf-8", "surrogatepass")
-                tokens = data.split()
-                at = np.array([ids.get(w, -1) for w in tokens], np.int64)
-                own: dict[bytes, int] = {}
-                code = np.array([own.setdefault(w, len(own)) for w in tokens], np.int64)
-                order = np.argsort(code, kind="stable")
-                begins = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=len(own)))))
-                before = np.empty(len(tokens))
-                before[order] = np.arange(len(tokens)) - begins[code[order]]
-                local = before / np.maximum(1, np.arange(len(tokens)))
-                found = at >= 0
-                c, s = (np.where(found, x[at] if len(x) else 0.0, 0.0) for x in (count, spelling))
-                weights = expert_weights(c * per_word, local, s, found)
-                p = weights[0] * c * per_word + weights[1] * local + weights[2] * s
-                rare = np.flatnonzero(~found)
-                last = weights[0, -1] if len(tokens) else PRIOR[0] / (PRIOR[0] + PRIOR[2])
-                end = last * ends * per_word if n else 1.0
+            for text, tokens in zip(pdf.word, split, strict=True):
+                c = np.array([known.get(w, 0) for w in tokens], np.float64)
+                base = np.log10((c[c > 0] + 1) / floor).sum() + np.log10((ends + 1) / floor)
                 out.append((
-                    len(tokens) + 1, len(data), int(found.sum()) + (ends > 0), float(np.log10((c[found] + 1) / floor).sum() + np.log10((ends + 1) / floor)),
-                    float(np.log10(p[found]).sum() + np.log10(end)), [tokens[i] for i in rare], (weights[1] * local)[rare], weights[0, rare], weights[2, rare],
+                    len(tokens) + 1, len(text.encode("utf-8", "surrogatepass")), int((c > 0).sum()) + (ends > 0), float(base),
+                    [w for w, x in zip(tokens, c, strict=True) if not x],
                 ))
-            names = ["n_tokens", "n_bytes", "n_known", "base", "score", "rare", "local", "w_known", "w_spelling"]
-            made = pd.DataFrame(out, columns=names)
+            made = pd.DataFrame(out, columns=["n_tokens", "n_bytes", "n_known", "base", "rare"]).assign(score=scores)
             yield pd.concat([pdf[["id", "none"]].reset_index(drop=True), made], axis=1).assign(key=key + np.arange(len(pdf)))
             key += len(pdf)
 
-    schema = (
-        "id long, none boolean, n_tokens long, n_bytes long, n_known long, base double, score double, "
-        "rare array<binary>, local array<double>, w_known array<double>, w_spelling array<double>, key long"
-    )
+    schema = "id long, none boolean, n_tokens long, n_bytes long, n_known long, base double, rare array<binary>, score double, key long"
     keyed = rows.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
     scored = store(keyed.mapInPandas(score, schema))
-    rare = scored.select("key", F.explode(F.arrays_zip("rare", "local", "w_known", "w_spelling")).alias("r"))
-    rare = rare.select("key", F.col("r.rare").alias("word"), "r.local", "r.w_known", "r.w_spelling").join(vocabulary, "word")
-    p = F.col("w_known") * F.col("c") * per_word + F.col("local") + F.col("w_spelling") * F.pow(F.lit(10.0), F.col("spelling"))
+    rare = scored.select("key", F.explode("rare").alias("word")).join(vocabulary, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     added = rare.groupBy("key").agg(
-        F.sum(F.log10((F.col("c") + 1) / F.lit(float(floor)))).alias("base2"), F.sum(F.log10(p)).alias("score2"), F.sum((F.col("c") > 0).cast("long")).alias("known2")
+        F.sum(F.log10((F.col("c") + 1) / F.lit(float(floor)))).alias("base2"), F.sum((F.col("c") > 0).cast("long")).alias("known2")
     )
-    both = scored.drop("rare", "local", "w_known", "w_spelling").join(added, "key", "left")
-    score = F.col("score") + F.coalesce("score2", F.lit(0.0))
+    both = scored.drop("rare").join(added, "key", "left")
     return both.select(
         F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_tokens", (F.col("n_known") + F.coalesce("known2", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), score.alias("score"),
-        (-score * F.lit(float(np.log2(10))) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), "score",
+        (-F.col("score") * F.lit(float(np.log2(10))) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )

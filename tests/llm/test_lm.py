@@ -90,3 +90,46 @@ def test_batches_stay_small():
     pieces = list(lm._batches(iter([pdf]), 4))
     assert sum(map(len, pieces)) == len(pdf) and max(map(len, pieces)) <= 4
     assert max(p.word.map(len).sum() for p in pieces) < 400_000
+
+
+def test_word_order_reaches_the_bit_predictors(spark):
+    rng = np.random.default_rng(3)
+    names = [f"{a}{b}{c}" for a in "bdgk" for b in "aou" for c in ("lin", "mer", "tas")]
+    follows = rng.permutation(len(names))
+
+    def chain(at, n):
+        words = []
+        for _ in range(n):
+            words.append(names[at])
+            at = follows[at]
+        return words
+
+    rows = [(i, " ".join(chain(int(rng.integers(len(names))), 30))) for i in range(60)]
+    for i in range(60, 80):
+        words = chain(int(rng.integers(len(names))), 30)
+        rows += [(i, " ".join(words)), (i + 100, " ".join(rng.permutation(words)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") < 60).collect()}
+    assert all(score[i] > 0.7 * score[i + 100] for i in range(60, 80))
+
+
+def test_a_text_predicts_its_own_repeats(spark):
+    rng = np.random.default_rng(4)
+    new = lambda n: ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(n)]
+    rows = [(i, " ".join(new(20) * 2)) for i in range(40)]
+    unseen = new(40)
+    rows += [(100, " ".join(unseen + unseen)), (101, " ".join(unseen + new(40)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in lm.score_texts(df, F.col("doc_id") < 100).collect()}
+    assert score[100] > 0.75 * score[101]
+
+
+def test_a_text_scores_alike_in_any_batch():
+    texts = [b"", b"one two three", b"ab " * 700 + b"c", b"one two three", "é 😀".encode()]
+    slots, bits, owner = lm.spelled(texts)
+    counts = np.bincount((slots * 2 + bits).ravel(), minlength=2 * lm.SLOTS).reshape(lm.SLOTS, 2).T.astype(np.float32)
+    mixer = lm.Mixer.fresh()
+    table = mixer.table(counts)
+    together = mixer.score(table, slots, bits, owner, len(texts))
+    alone = [mixer.score(table, *lm.spelled([t]), 1)[0] for t in texts]
+    assert np.allclose(together, alone, rtol=1e-5) and together[1] == together[3]
