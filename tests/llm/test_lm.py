@@ -124,6 +124,14 @@ def test_a_text_predicts_its_own_repeats(spark):
     assert score[100] > 0.75 * score[101]
 
 
+def test_scores_do_not_depend_on_the_broadcast(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    few, all_of_them = ({r.doc_id: r for r in lm.score_texts(docs, F.col("doc_id") % 3 != 0, n).collect()} for n in (5, 10**6))
+    for i, r in few.items():
+        assert r.n_known == all_of_them[i].n_known and math.isclose(r.base_score, all_of_them[i].base_score, rel_tol=1e-9)
+        assert math.isclose(r.score, all_of_them[i].score, rel_tol=1e-6) and math.isclose(r.bits_per_byte, all_of_them[i].bits_per_byte, rel_tol=1e-6)
+
+
 def test_a_text_scores_alike_in_any_batch():
     texts = [b"", b"one two three", b"ab " * 700 + b"c", b"one two three", "é 😀".encode()]
     slots, bits, owner = lm.spelled(texts)
