@@ -37,6 +37,8 @@ AWAY_WORDS = frozenset(
 )
 HEADER_WORDS = frozenset(("header", "masthead", "topbar", "banner"))
 HOME_WORDS = frozenset(("article", "content", "entry", "main", "post", "story", "text"))
+#: Words that make a name say how an element is laid out, or what goes with it, and not what it is.
+STATE_WORDS = frozenset(("has", "is", "no", "not", "overflow", "with", "without"))
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -60,31 +62,103 @@ class Block:
         self.parts: list[str] = []
         self.link_chars, self.text = 0, ""
 
+    @property
+    def words(self) -> float:
+        """Number of words outside links."""
+        return (self.text.count(" ") + 1) * (1 - min(1.0, self.link_chars / max(1, len(self.text))))
 
-def _marks(tag: str, attributes: str, in_home: bool) -> tuple[bool, bool]:
-    """Whether the attributes of a start tag mark boilerplate, and whether they mark the article."""
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False, False
+
+class Element:
+    """An open or closed block element: where it hangs, and what its tag and its attributes say of it.
+
+    ``hard`` holds for all that lies in it; ``soft``, from names alone, gives way to an article and to the text of the page.
+    """
+
+    __slots__ = ("article_words", "hard", "home", "hints", "marked", "parent", "soft", "tag", "words")
+
+    def __init__(self, tag: str, parent: int, hard: bool, soft: bool, home: bool, marked: bool) -> None:
+        self.tag, self.parent, self.hard, self.soft, self.home, self.marked = tag, parent, hard, soft, home, marked
+        self.words = self.article_words = 0.0
+        self.hints = 0  # of the main text in it: headings of the page, articles and names that mark one
+
+
+def _marks(tag: str, attributes: str, in_home: bool) -> tuple[bool, bool, bool]:
+    """Whether the attributes of a start tag hide it, whether its names mark boilerplate, and whether they mark the article.
+
+    A name such as ``has-sidebar`` says nothing. One that ends in a word for boilerplate marks it; one that has such a word
+    elsewhere does so unless another name of the element marks the article.
+    """
+    if not attributes or tag in ("html", "body"):
+        return False, False, False
     if _HIDDEN.search(attributes):
-        return True, False
-    words = {p.lower() for m in _MARKS.finditer(attributes) for p in _PARTS.findall(m[1] or m[2] or m[3] or "")}
-    away = bool(words & AWAY_WORDS) or (not in_home and bool(words & HEADER_WORDS) and not words & HOME_WORDS)
-    return away, not away and bool(words & HOME_WORDS)
+        return tag not in HOME, False, False
+    away = home = beside = header = False
+    for m in _MARKS.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = [p.lower() for p in _PARTS.findall(name)]
+            if not parts or not STATE_WORDS.isdisjoint(parts):
+                continue
+            away = away or parts[-1] in AWAY_WORDS
+            found = not AWAY_WORDS.isdisjoint(parts)
+            beside = beside or found
+            home = home or (not found and not HOME_WORDS.isdisjoint(parts))
+            header = header or not HEADER_WORDS.isdisjoint(parts)
+    soft = away or (not home and (beside or (not in_home and header)))
+    return False, soft, home and not soft
+
+
+def _settle(elements: list[Element], blocks: list[Block]) -> None:
+    """Set ``away`` of the blocks, and ``marked``, from the elements around them.
+
+    A name that marks boilerplate doesn't count on an element with more than half of the words of the page, unless what speaks for
+    the main text lies outside it. Of an element that it counts on, a ``main`` is left out, and an ``article`` with more than
+    half of the words that the articles in it have, if they have no such names themselves.
+    """
+    for b in blocks:
+        if not elements[b.parent].hard:
+            elements[b.parent].words += b.words
+    for e in reversed(elements):  # inner elements have the higher numbers
+        if e.tag == "article":
+            e.article_words = e.words
+        if not e.hard and e.words and (e.tag == "h1" or e.marked or (e.tag in HOME and not e.soft)):
+            e.hints += 1
+        if e.parent >= 0:
+            up = elements[e.parent]
+            up.words, up.article_words, up.hints = up.words + e.words, up.article_words + e.article_words, up.hints + e.hints
+    page = elements[0]
+    state = []  # the outermost element whose name counts, or -1; marked; the nearest element around that speaks for the main text; how many do
+    for i, e in enumerate(elements):
+        below, marked, near, around = state[e.parent] if i else (-1, False, -1, 0)
+        if below >= 0 and e.tag in HOME and not e.soft and (e.tag == "main" or 2 * e.words > elements[below].article_words):
+            below = -1
+        if below < 0 and e.soft and e.tag not in HOME:
+            outside = page.hints - e.hints - around
+            if near >= 0 and e.words < 0.8 * elements[near].words:
+                outside += 1
+            if 2 * e.words <= page.words or (outside and not e.hints):
+                below = i
+        marked = marked or e.marked
+        if e.words and (e.marked or (e.tag in HOME and not e.soft)):
+            near, around = i, around + 1
+        state.append((below, marked, near, around))
+    for b in blocks:
+        b.away, b.marked = elements[b.parent].hard or state[b.parent][0] >= 0, state[b.parent][1]
 
 
 def read_blocks(page: str) -> list[Block]:
     """The blocks of a page with text in them, in page order, character references decoded and white space made single."""
     blocks: list[Block] = []
-    stack = [("", 0, False, False, False)]  # tag, number, away, home, marked as home
-    count, links, at, current = 0, 0, 0, None
+    elements = [Element("", -1, False, False, False, False)]
+    stack = [("", 0)]  # tag, number
+    links, at, current = 0, 0, None
 
     def text(piece: str) -> None:
         nonlocal current
         if not piece:
             return
         if current is None:
-            tag, number, away, home, marked = stack[-1]
-            current = Block(tag, number, len(stack), away, home, marked)
+            tag, number = stack[-1]
+            current = Block(tag, number, len(stack), False, elements[number].home, False)
             blocks.append(current)
         current.parts.append(piece)
         if links:
@@ -116,16 +190,18 @@ def read_blocks(page: str) -> list[Block]:
             stack.pop()
         if tag in VOID:
             continue
-        _, _, away, home, marked = stack[-1]
-        home = home or tag in HOME
-        own_away, own_mark = _marks(tag, m[4], home)
-        away = away or tag in AWAY or own_away or (tag == "header" and not home)
-        count += 1
-        stack.append((tag, count, away, home, marked or own_mark))
+        number = stack[-1][1]
+        home = elements[number].home or tag in HOME
+        hidden, soft, mark = _marks(tag, m[4], home)
+        hard = elements[number].hard or tag in AWAY or hidden or (tag == "header" and not home)
+        stack.append((tag, len(elements)))
+        elements.append(Element(tag, number, hard, soft, home, mark and tag not in HOME))
     text(page[at:])
     for b in blocks:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-    return [b for b in blocks if b.text]
+    blocks = [b for b in blocks if b.text]
+    _settle(elements, blocks)
+    return blocks
 
 
 def content_gain(block: Block, has_home: bool) -> int:

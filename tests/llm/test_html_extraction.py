@@ -99,3 +99,21 @@ def test_query(spark, folder):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert out[r.page_id].text == "\n\n".join(b for b in blocks if b)
         assert out[r.page_id].n_chars == len(out[r.page_id].text)
+
+
+@pytest.mark.parametrize("name", ["content-with-sidebar", "has-sidebar", "overflow-hidden", "no-comments", "post-share", "layout-sidebar", "content sidebar-right"])
+def test_names_of_wrappers_do_not_lose_the_article(name):
+    text = f"<h1>A title</h1><p>{P1}</p><p>{P2}</p>"
+    aside = f'<div class="sidebar"><p>{P1}</p></div>'
+    for inner in (f"<article>{text}</article>", f"<main>{text}</main>", f'<div class="post">{text}</div>', text):
+        assert he.main_text(page(body=f"<div class='{name}'>{inner}</div>")) == WANT
+        assert he.main_text(page(body=f"<div class='{name}'>{inner}{aside}</div>")) == WANT
+
+
+def test_names_of_boilerplate_still_count():
+    comment = f'<article class="comment-body"><p>{P1}</p></article>'
+    for around in (f'<div id="comments">{comment * 9}</div>', f'<div id="comments">{comment}</div>', f'<div class="comments-area"><p>{P1}</p><p>{P1}</p><p>{P1}</p></div>'):
+        assert he.main_text(page(after=around)) == WANT
+    assert he.main_text(page(before=f'<div class="related-posts"><article><p>{P1}</p></article><article><p>{P1}</p></article></div>')) == WANT
+    inside = f'<article><h1>A title</h1><p>{P1}</p><p>{P2}</p><div class="comments"><p>{P1}</p><p>{P1}</p><p>{P1}</p></div></article>'
+    assert he.main_text(page(body=inside)) == WANT
