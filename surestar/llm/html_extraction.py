@@ -55,12 +55,13 @@ UNIT = 100
 class Block:
     """A run of text without a block element in it, with what the classifier needs to know of its place."""
 
-    __slots__ = ("away", "depth", "home", "link_chars", "marked", "parent", "parts", "tag", "text")
+    __slots__ = ("away", "depth", "home", "link_chars", "marked", "parent", "parts", "tag", "text", "unit")
 
     def __init__(self, tag: str, parent: int, depth: int, away: bool, home: bool, marked: bool) -> None:
         self.tag, self.parent, self.depth, self.away, self.home, self.marked = tag, parent, depth, away, home, marked
         self.parts: list[str] = []
         self.link_chars, self.text = 0, ""
+        self.unit = -1  # number of the outermost article or main around it
 
     @property
     def words(self) -> float:
@@ -108,7 +109,7 @@ def _marks(tag: str, attributes: str, in_home: bool) -> tuple[bool, bool, bool]:
 
 
 def _settle(elements: list[Element], blocks: list[Block]) -> None:
-    """Set ``away`` of the blocks, and ``marked``, from the elements around them.
+    """Set ``away`` of the blocks, ``marked`` and ``unit`` from the elements around them.
 
     A name that marks boilerplate doesn't count on an element with more than half of the words of the page, unless what speaks for
     the main text lies outside it. Of an element that it counts on, a ``main`` is left out, and an ``article`` with more than
@@ -126,9 +127,9 @@ def _settle(elements: list[Element], blocks: list[Block]) -> None:
             up = elements[e.parent]
             up.words, up.article_words, up.hints = up.words + e.words, up.article_words + e.article_words, up.hints + e.hints
     page = elements[0]
-    state = []  # the outermost element whose name counts, or -1; marked; the nearest element around that speaks for the main text; how many do
+    state = []  # the outermost element whose name counts, or -1; marked; the nearest element around that speaks for the main text; how many do; the unit
     for i, e in enumerate(elements):
-        below, marked, near, around = state[e.parent] if i else (-1, False, -1, 0)
+        below, marked, near, around, unit = state[e.parent] if i else (-1, False, -1, 0, -1)
         if below >= 0 and e.tag in HOME and not e.soft and (e.tag == "main" or 2 * e.words > elements[below].article_words):
             below = -1
         if below < 0 and e.soft and e.tag not in HOME:
@@ -140,9 +141,11 @@ def _settle(elements: list[Element], blocks: list[Block]) -> None:
         marked = marked or e.marked
         if e.words and (e.marked or (e.tag in HOME and not e.soft)):
             near, around = i, around + 1
-        state.append((below, marked, near, around))
+        unit = i if unit < 0 and e.tag in HOME else unit
+        state.append((below, marked, near, around, unit))
     for b in blocks:
-        b.away, b.marked = elements[b.parent].hard or state[b.parent][0] >= 0, state[b.parent][1]
+        below, b.marked, _, _, b.unit = state[b.parent]
+        b.away = elements[b.parent].hard or below >= 0
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -204,19 +207,42 @@ def read_blocks(page: str) -> list[Block]:
     return blocks
 
 
-def content_gain(block: Block, has_home: bool) -> int:
-    """How much cheaper it is to call a block content than boilerplate."""
+def role_of_articles(blocks: list[Block]) -> str:
+    """What ``article`` and ``main`` are on a page: ``"text"``, ``"teasers"`` beside a text that is in neither, or ``""``.
+
+    They are the text if they have more words outside links than the rest of the page that is not away, and one of them has no
+    fewer than the rest that a name marks as the article. Several ones of which none has half the words of the rest are teasers.
+    """
+    inside, rest, marked = {}, 0.0, 0.0
+    for b in blocks:
+        if b.away:
+            continue
+        if b.home:
+            inside[b.unit] = inside.get(b.unit, 0.0) + b.words
+        else:
+            rest += b.words
+            marked += b.words if b.marked else 0
+    if not inside:
+        return ""
+    largest = max(inside.values())
+    if sum(inside.values()) >= rest and largest >= marked:
+        return "text"
+    return "teasers" if len(inside) > 1 and 2 * largest < rest else ""
+
+
+def content_gain(block: Block, role: str) -> int:
+    """How much cheaper it is to call a block content than boilerplate; ``role`` is that of ``role_of_articles``."""
     words = block.text.count(" ") + 1
     linked = min(1.0, block.link_chars / max(1, len(block.text)))
     gain = min(words, 40) / 10 - 1 - 4 * linked + (0.5 if block.text[-1] in ".!?:;…\"'»”)" else 0)
     gain += 1 if block.tag in ("p", "blockquote", "pre") else 0.5 if block.tag in HEADINGS else -0.5 if block.tag in ("li", "td", "th") else 0
     if block.away:
         gain -= 40
-    elif block.home:
-        gain += 5
-    elif block.marked:
+    elif block.home and role:
+        gain += 5 if role == "text" else -8
+    elif block.marked or block.home:
         gain += 2
-    if has_home and not block.home:
+    if role == "text" and not block.home:
         gain -= 8
     return round(gain * UNIT)
 
@@ -287,8 +313,8 @@ def main_text(page: str | None) -> str:
     blocks = read_blocks(page or "")
     if not blocks:
         return ""
-    has_home = any(b.home and not b.away for b in blocks)
-    gains = [content_gain(b, has_home) for b in blocks]
+    role = role_of_articles(blocks)
+    gains = [content_gain(b, role) for b in blocks]
     if all(g > 0 for g in gains):
         return "\n\n".join(b.text for b in blocks)
     edges, last_of = [], {}

@@ -117,3 +117,17 @@ def test_names_of_boilerplate_still_count():
     assert he.main_text(page(before=f'<div class="related-posts"><article><p>{P1}</p></article><article><p>{P1}</p></article></div>')) == WANT
     inside = f'<article><h1>A title</h1><p>{P1}</p><p>{P2}</p><div class="comments"><p>{P1}</p><p>{P1}</p><p>{P1}</p></div></article>'
     assert he.main_text(page(body=inside)) == WANT
+
+
+@pytest.mark.parametrize("cards", [1, 3, 20])
+def test_an_article_in_a_div_beside_teasers(cards):
+    text = f'<div class="post-content"><h1>A title</h1><p>{P1}</p><p>{P2}</p></div>'
+    card = '<article class="card"><h3><a href="/x">Another story altogether</a></h3><p>A few words on what another story is about.</p></article>'
+    got = he.main_text(page(body=text, after=f"<div>{card * cards}</div>"))
+    assert got.startswith(WANT) and (cards == 1 or got == WANT)
+
+
+def test_articles_with_most_of_the_words_are_the_text():
+    story = f"<article><h2>A title</h2><p>{P1}</p><p>{P2}</p></article>"
+    got = he.main_text(page(body=story * 3, after=f"<div><p>{P1}</p></div>"))
+    assert got == "\n\n".join([WANT] * 3)
