@@ -201,14 +201,14 @@ def near_links(fingerprints: DataFrame, radius: int, slice_rows: int = 512) -> D
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(links, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, carry: tuple[Column, ...] = ()) -> DataFrame:
     """``doc_id``, ``fp``, ``root`` and ``component_id`` of every row: its fingerprint, the smallest fingerprint and the
-    smallest id that it is connected with.
+    smallest id that it is connected with. ``carry`` are more columns of the row, which are handed on.
 
     Rows without words have fingerprint 0 and are linked like any other. Rows that repeat an id stay apart rows. A null id is
     never the smallest; a component without any id has a null ``component_id``. An empty table gives no rows.
     """
-    marked = store(docs.select("doc_id", simhash(F.col("text"), shingle).alias("fp")))
+    marked = store(docs.select("doc_id", simhash(F.col("text"), shingle).alias("fp"), *carry))
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     least = store(least)
     roots = connected_components(near_links(least.select("fp"), radius))
@@ -219,14 +219,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: the one with the smallest id, with all its columns.
+    """The rows of ``docs`` that stand for their component, one each, with all its columns: the one with the smallest id.
 
-    An id names one document, so of rows that repeat it one stays. Of a component without ids one row stays.
+    Of several rows of a component with that id, or of one without ids, the one with the smallest hash of the text, then of all
+    columns, stays. An id whose rows have different texts may so stand for several components.
     """
     found = near_duplicates(docs, shingle, radius)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.where("component_id IS NULL").select("fp", F.col("root").alias("__root")).distinct()
-    rest = docs.where("doc_id IS NULL").withColumn("__fp", simhash(F.col("text"), shingle))
-    rest = rest.join(nameless.withColumnRenamed("fp", "__fp"), "__fp").dropDuplicates(["__root"])
-    return named.select(docs.columns).unionByName(rest.select(docs.columns))
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp2"), F.col("root").alias("__root")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), simhash(F.col("text"), shingle).alias("__fp"))
+    rows = rows.join(kept, F.col("__row.doc_id").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__fp2")))
+    order = F.struct(F.xxhash64("__row.text"), F.xxhash64("__row"))
+    return rows.groupBy("__root").agg(F.min_by("__row", order).alias("__row")).select("__row.*")

@@ -121,3 +121,15 @@ def test_fingerprint_of_a_column(spark):
     texts = [None, "", "a", "A b", "The É x  y\tz Q", "w " * 50]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(sd.simhash(F.col("text"), 3).alias("fp")).collect()
     assert [r.fp & (2**64 - 1) for r in rows] == [slow_fingerprint(t, 3) for t in texts]
+
+
+def test_an_id_with_different_texts_keeps_each_of_them(spark):
+    rng = np.random.default_rng(5)
+    new = lambda: " ".join(f"w{n}" for n in rng.integers(0, 10**6, 40))
+    shared, texts = new(), [new() for _ in range(30)]
+    rows = [(3, shared), (5, shared), (5, texts[0]), (5, texts[0]), (None, texts[1]), (None, texts[1].upper()), *[(9, t) for t in texts[2:]]]
+    want = sorted([(3, shared), (5, texts[0]), *[(9, t) for t in texts[2:]]])
+    for parts in (1, 7):
+        kept = sd.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept if r.doc_id is not None) == want
+        assert [r.text.lower() for r in kept if r.doc_id is None] == [texts[1]]
