@@ -69,14 +69,18 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
 
 
 def _branches(tree: DataFrame, best: int) -> DataFrame:
-    """``conv``, ``path``, ``node``, ``depth`` of the messages on the ``best`` branches of each conversation."""
+    """``conv``, ``path``, ``node``, ``depth`` of the messages on the ``best`` branches of each conversation.
+
+    What has not come to a root after as many rounds as the largest conversation needs leads into a cycle.
+    """
+    largest = tree.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     hops = [store(tree.select("conv", "node", F.col("parent").alias("up"), F.lit(1).alias("steps"), "score"))]
-    while hops[-1].where("up IS NOT NULL").limit(1).count():
+    while len(hops) <= largest.bit_length() + 1 and hops[-1].where("up IS NOT NULL").limit(1).count():
         low, high = hops[-1], hops[-1].select("conv", F.col("node").alias("up"), *[F.col(c).alias(f"{c}2") for c in ("up", "steps", "score")])
         up = low.where("up IS NOT NULL").join(high, ["conv", "up"], "left")
         step = up.select("conv", "node", F.col("up2").alias("up"), F.expr("steps + coalesce(steps2, 0)").alias("steps"), F.expr("score + coalesce(score2, 0)").alias("score"))
         hops.append(store(step.unionByName(low.where("up IS NULL"))))
-    total = hops[-1]  # steps and score of the whole way to the root
+    total = hops[-1].where("up IS NULL")  # steps and score of the whole way to the root
     inner = tree.where("parent IS NOT NULL").select("conv", F.col("parent").alias("node")).distinct()
     leaves = total.join(inner, ["conv", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.col("score").desc(), "node"))
@@ -93,7 +97,7 @@ def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
 
     ``messages`` has ``conv_id`` (null is a conversation as well), ``node`` (long, one per message of a conversation), ``parent``
     (a node, null for a root; a parent that is missing counts as null), ``role``, ``text`` (null: empty) and ``score`` (null: 0).
-    A conversation may have several roots; a cycle has no leaf and gives no path. Result: ``conv_id``, ``path`` (1 is
+    A conversation may have several roots; messages on a cycle, or above one, have no root and give no path. Result: ``conv_id``, ``path`` (1 is
     the best branch), ``n_turns``, ``formatted`` and ``loss_spans`` (start and end in code points).
     """
     keyed = messages.select(

@@ -80,3 +80,12 @@ def test_query(spark, folder):
         assert got.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
         assert got.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
         assert got.formatted_chars >= sum(len(b) for _, b in turns)
+
+
+def test_a_cycle_stops_nothing(spark):
+    rows = [(1, 1, None), (1, 2, 1), (1, 3, 2), (2, 1, 3), (2, 2, 1), (2, 3, 2), (2, 4, 3), (3, 1, 1), (4, 1, 2), (4, 2, 1), (4, 7, None), (4, 8, 7)]
+    rows += [(5, n, n - 1 if n else None) for n in range(33)]
+    df = spark.createDataFrame([(c, n, p, "user", f"t{n}", 1.0) for c, n, p in rows], "conv_id long, node long, parent long, role string, text string, score double")
+    out = {r.conv_id: [t for _, t in chat.parse_turns(r.formatted)] for r in chat.format_trees(df, 3).collect()}
+    assert out == {1: ["t1", "t2", "t3"], 4: ["t7", "t8"], 5: [f"t{n}" for n in range(33)]}
+    assert chat.format_trees(df.where("conv_id = 3")).count() == 0
