@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,8 +158,9 @@ def fit_quality(
 ) -> QualityModel:
     """Fit on at most ``max_rows`` rows of ``labels`` (``doc_id``, ``good``) with the texts of ``docs``.
 
-    Rows without id or label are left out; of several labels of one id the smallest counts. The chosen ids, at most
-    ``max_rows``, are the only broadcast, so no text is shuffled; one task fits.
+    Rows without id or label are left out; of several labels of one id the smallest counts, and of several rows of one id the one
+    whose features have the smallest hash. The chosen ids, at most ``max_rows``, are the only broadcast, so no text is shuffled; one
+    task fits.
     """
     known = labels.where("doc_id IS NOT NULL AND good IS NOT NULL").groupBy("doc_id").agg(F.min(F.col("good").cast("int")).alias("good"))
     chosen = lowest_by_hash(known, "doc_id", max_rows)
@@ -168,7 +170,9 @@ def fit_quality(
         places = np.zeros(1 << BITS, np.int32)
         for pdf in batches:
             ids = [features(t, places).astype(np.int32).tobytes() for t in pdf.text]
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "good": pdf.good, "ids": ids})
+            hashes = np.array([xxhash.xxh64_intdigest(x) for x in ids], np.uint64).view(np.int64)
+            made = pd.DataFrame({"doc_id": pdf.doc_id.to_numpy(), "good": pdf.good.to_numpy(), "hash": hashes, "ids": ids})
+            yield made.sort_values(["doc_id", "hash", "ids"]).drop_duplicates("doc_id")  # less to hand on where an id is repeated
 
     def as_model(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([pd.DataFrame({"doc_id": [], "good": [], "ids": []}), *batches])
@@ -177,7 +181,9 @@ def fit_quality(
         numbers = np.array([model.bias, model.slope, model.offset]).tobytes()
         yield pd.DataFrame({"w": [model.weights.tobytes()], "s": [model.squares.tobytes()], "n": [numbers]})
 
-    found = sample.mapInPandas(as_features, "doc_id long, good int, ids binary").repartition(1)
+    found = sample.mapInPandas(as_features, "doc_id long, good int, hash long, ids binary")
+    least = F.min_by("ids", F.struct("hash", "ids"))
+    found = found.groupBy("doc_id", "good").agg(least.alias("ids")).repartition(1)
     row = found.mapInPandas(as_model, "w binary, s binary, n binary").first()
     numbers = np.frombuffer(bytes(row.n))
     return QualityModel(np.frombuffer(bytes(row.w), np.float32), np.frombuffer(bytes(row.s), np.float32), *map(float, numbers))

@@ -81,3 +81,13 @@ def test_query(spark, folder):
     assert (out.predicted == (out.score >= 0.3)).all()
     known = out[out.doc_id.isin(labels.index)].set_index("doc_id")
     assert (known.predicted == labels[known.index]).mean() > 0.9
+
+
+def test_a_repeated_id_is_fitted_once(spark):
+    rows = made(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, bool(g)) for i, _, g in rows], "doc_id long, good boolean")
+    once = quality.fit_quality(docs, labels, max_rows=100)
+    again = docs.unionByName(spark.createDataFrame([r[:2] for r in rows[:100] for _ in range(20)], docs.schema)).repartition(5)
+    more = quality.fit_quality(again, labels, max_rows=100)
+    assert np.allclose(once.weights, more.weights) and np.allclose([once.bias, once.slope, once.offset], [more.bias, more.slope, more.offset])
