@@ -103,14 +103,21 @@ def pack_pieces(sizes: list[int], sources: list, clusters: list, capacity: int,
     return placed
 
 
-def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 1, shard_pieces: int = 10_000) -> DataFrame:
+def pack(
+    docs: DataFrame, capacity: int = 2048, per_source: int = 1, shard_pieces: int = 10_000, cluster: Column | None = None, words: Column | None = None
+) -> DataFrame:
     """One row per piece: ``doc_id``, ``source``, ``piece``, ``start_word``, ``n_words``, ``bin_id``, ``slot``, ``bin_words``.
 
     ``docs`` has ``doc_id``, ``text`` and ``source``. Words are those of ``common.WORD``. A document without words (null
     included) is one piece of no words in no bin. A null source counts as a source. Repeated rows are pieces of their own
     and, being copies, never share a bin. Equal inputs get equal bins: the order is by size, then by id, cluster and source.
+
+    ``cluster`` is a long, never null, that duplicates share; without it those of ``text_cluster`` do, which are exact copies only.
+    ``words`` is the number of words; with both, ``text`` isn't read.
     """
-    sized = docs.select("doc_id", "source", text_cluster(F.col("text")).alias("cluster"), word_count(F.col("text")).alias("words"))
+    cluster = text_cluster(F.col("text")) if cluster is None else cluster
+    words = word_count(F.col("text")) if words is None else words
+    sized = docs.select("doc_id", "source", cluster.alias("cluster"), words.alias("words"))
     pieces = store(sized).withColumn("full", F.floor(F.col("words") / capacity).cast("long"))
     long = lambda n: F.lit(n).cast("long")
     columns = ["doc_id", "source", "piece", "start_word", "n_words", "bin_id", "slot", "bin_words"]
@@ -118,7 +125,7 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 1, shard_piece
     whole = pieces.where("full > 0").groupBy("doc_id", "source", "cluster", "full").agg(F.count("*").alias("rows"))
     whole = whole.withColumn("copy", F.explode(F.sequence(long(1), "rows")))
     whole = whole.withColumn("piece", F.explode(F.sequence(long(0), F.col("full") - 1)))
-    name = F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("cluster"), "source", "copy", "piece")
+    name = F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("cluster"), "source", "full", "copy", "piece")
     whole = whole.withColumns({"start_word": F.col("piece") * capacity, "n_words": long(capacity), "bin_id": name, "slot": long(0), "bin_words": long(capacity)})
 
     empty = pieces.where("words = 0").withColumns({n: long(0) for n in ("piece", "start_word", "n_words", "slot", "bin_words")})
@@ -132,7 +139,7 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 1, shard_piece
     )
 
     def pack_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_words", "nameless", "doc_id", "cluster", "source"], ascending=[False, True, True, True, True])
+        pdf = pdf.sort_values(["n_words", "nameless", "doc_id", "cluster", "source", "piece"], ascending=[False, True, True, True, True, True])
         sources = [s if isinstance(s, str) else None for s in pdf.source]
         pdf["bin"] = pack_pieces(pdf.n_words.tolist(), sources, pdf.cluster.tolist(), capacity, per_source)
         pdf["slot"] = pdf.groupby("bin").cumcount()

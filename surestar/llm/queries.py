@@ -137,7 +137,10 @@ FROM placed
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(read(spark, folder, "documents"))
+    """Near copies, by SimHash, are one cluster; sizes go along with the fingerprints, so no text is shuffled."""
+    carry = (F.col("source"), word_count(F.col("text")).alias("words"))
+    found = simhash_dedup.near_duplicates(read(spark, folder, "documents"), carry=carry)
+    return packing.pack(found, cluster=F.col("root"), words=F.col("words"))
 
 
 QUERIES = {

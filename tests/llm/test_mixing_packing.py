@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from surestar.llm import mixing, packing
+from surestar.llm import mixing, packing, simhash_dedup
 from surestar.llm.common import store
 from surestar.llm.queries import SQL, QUERIES, sized_documents
 
@@ -166,3 +166,22 @@ def test_copies_of_a_long_document_fill_bins_of_their_own(spark):
 def test_pack_query(spark, folder):
     rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     check_packing(rows, QUERIES["op3_packing"](spark, folder).collect(), 2048, 1)
+
+
+def test_near_copies_never_share_a_sequence(spark, tmp_path):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join([*words[:at], "changed", *words[at + 1 :]]) for at in (50, 200, 399)] + [" ".join(words)]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(texts)] + [(9, " ".join(f"v{i}" for i in range(300)), "other"), (10, "", "a"), (None, texts[0], "b")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(path)
+    found = simhash_dedup.near_duplicates(spark.read.parquet(path)).collect()
+    root = {r.doc_id: r.root for r in found}
+    assert len({root[i] for i in (0, 1, 2, 3, None)}) == 1 and root[9] != root[0]
+    bins = check_packing(rows, QUERIES["op3_packing"](spark, str(tmp_path)).collect(), 2048, 1)
+    assert all(max(Counter(root[r.doc_id] for r in own).values()) == 1 for own in bins.values())
+
+
+def test_full_pieces_of_a_cluster_have_sequences_of_their_own(spark):
+    rows = [(5, "w " * 9, "a", 1), (5, "w " * 13, "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, root long")
+    check_packing([r[:3] for r in rows], packing.pack(df, 4, cluster=df.root).collect(), 4, 1)
