@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surestar.session import materialise as store
 from surestar.session import shared_folder
 
-__all__ = ["connected_components", "lower_ascii", "lowest_by_hash", "read", "shared_folder", "store", "word_count"]
+__all__ = ["connected_components", "lower_ascii", "lowest_by_hash", "read", "shared_folder", "store", "whole_groups", "word_count"]
 
 #: A word is a run of bytes that are neither a space nor one of the five ASCII control characters for white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,6 +43,26 @@ def lowest_by_hash(df: DataFrame, column: str, most: int) -> DataFrame:
     return df.orderBy(hashed, column).limit(most)
 
 
+def whole_groups(batches: Iterable[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
+    """The groups of rows with equal ``column``, one after the other, from batches that are sorted by it."""
+    waiting: list[pd.DataFrame] = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        values = pdf[column].to_numpy()
+        cuts = [0, *(i for i in (values[1:] != values[:-1]).nonzero()[0] + 1), len(pdf)]
+        if waiting and waiting[0][column].iloc[0] != values[0]:
+            yield pd.concat(waiting, ignore_index=True)
+            waiting = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            waiting.append(pdf.iloc[a:b])
+            if b < len(pdf):
+                yield pd.concat(waiting, ignore_index=True)
+                waiting = []
+    if waiting:
+        yield pd.concat(waiting, ignore_index=True)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node of the component of every node that has an edge.
 

@@ -7,11 +7,17 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surestar.llm import ann, chat, fingerprints, html_extraction, lm, mixing, packing, quality, simhash_dedup, token_files
+from surestar.llm import (
+    alignment, ann, chat, fingerprints, html_extraction, lm, minhash_dedup, mixing, packing, quality, repair, simhash_dedup, token_files,
+)
 from surestar.llm.common import read, store, word_count
 
 ACCEPTED = 0.3  # least score of a document that counts as good
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZERS = "/opt/tokenizers"  # folder of the vocabulary files unless the session's spark.surestar.tokenizers names another
+
+
+def vocabulary(spark: SparkSession, name: str) -> str:
+    return f"{spark.conf.get('spark.surestar.tokenizers', TOKENIZERS)}/{name}"
 
 
 def remainder(divisor: int) -> Column:
@@ -72,7 +78,7 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_files.token_counts(read(spark, folder, "documents"), VOCABULARY)
+    return token_files.token_counts(read(spark, folder, "documents"), vocabulary(spark, "byte_bpe_50k.tiktoken"))
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
@@ -143,6 +149,129 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(found, cluster=F.col("root"), words=F.col("words"))
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, also those that the damage leaves without rows."""
+    rows = read(spark, folder, "conversations")
+    found = repair.repair(repair.damage(rows))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    joined = every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return joined.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _then(state: str, letter: str, cost: str, line: str = "") -> str:
+    """SQL for a state's cost, audit and text after one more edit."""
+    text = f" || chr(10) || {line}" if line else ""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t{text}}}"
+
+
+def _unless(condition: str, option: str) -> str:
+    return f"CASE WHEN {condition} THEN {{'c': 1000000000000::BIGINT, 'a': '', 't': ''}} ELSE {option} END"
+
+
+def _taken(state: str, to: str, initials: str) -> list[str]:
+    """SQL for keeping a row or changing its role."""
+    extra = "CASE WHEN cut THEN 5 ELSE 0 END"
+    kept = _then(state, "K", f"0 + {extra}", "role || ':' || text")
+    changed = _then(state, "R", f"1 + {extra}", f"'{to}:' || text")
+    return [_unless(f"gone OR role[1] != '{initials}'", kept), _unless("gone", changed)]
+
+
+_INSERTED = {
+    "q0": "q0", "q1": "q1",
+    "q2": _least("q2", *(_then(q, "I", "5", "'user:'") for q in ("q0", "q1", "q3"))),
+    "q3": _least("q3", *(_then(q, "I", "5", "'assistant:'") for q in ("q2", _then("q0", "I", "5", "'user:'"), _then("q1", "I", "5", "'user:'")))),
+}
+_CLOSED = ", ".join(f"{sql} AS {name}" for name, sql in _INSERTED.items())
+_SYSTEM = _unless("gone OR role[1] != 's'", _then("q0", "K", "0 + CASE WHEN cut THEN 5 ELSE 0 END", "role || ':' || text"))
+_MOVED = f"""{_then("q0", "D", "2")} AS q0, {_least(_then("q1", "D", "2"), _SYSTEM)} AS q1,
+  {_least(_then("q2", "D", "2"), *_taken("q0", "user", "u"), *_taken("q1", "user", "u"), *_taken("q3", "user", "u"))} AS q2,
+  {_least(_then("q3", "D", "2"), *_taken("q2", "assistant", "a"))} AS q3"""
+
+OP11_SQL = f"""
+WITH RECURSIVE summed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))),
+    4294967295) % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [1, 2] WHEN kind = 0 THEN []::INT[] ELSE [1] END) FROM summed)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged
+), faults AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS odd
+  FROM numbered
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+    count_if(NOT blank AND seen) AS duplicate, count_if(NOT blank AND NOT seen AND cut) AS truncated, count_if(odd) AS illegal
+  FROM faults GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS q0, {{'c': 1000000000000::BIGINT, 'a': '', 't': ''}} AS q1,
+    {{'c': 1000000000000::BIGINT, 'a': '', 't': ''}} AS q2, {{'c': 1000000000000::BIGINT, 'a': '', 't': ''}} AS q3
+  FROM counts
+  UNION ALL
+  SELECT conv_id, i, {_MOVED} FROM (
+    SELECT conv_id, i, gone, cut, role, text, {_CLOSED} FROM (
+      SELECT s.conv_id, f.i, f.blank OR f.seen AS gone, f.cut, f.role, f.text, q0, q1, q2, q3
+      FROM steps s JOIN faults f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1
+    )
+  )
+), ended AS (
+  SELECT conv_id, {_least("q0", "q3")} AS best FROM (SELECT conv_id, i, {_CLOSED} FROM steps) s
+  WHERE i = (SELECT n FROM counts c WHERE c.conv_id IS NOT DISTINCT FROM s.conv_id)
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = (vocabulary(spark, name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(read(spark, folder, "documents"), *files)
+
+
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(read(spark, folder, "documents"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+OP13_SQL = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM worded
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id != b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM sets UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), least AS (
+  SELECT u, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON doc_id = u
+"""
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_lm_score": op2_lm_score,
@@ -154,6 +283,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_repair": op11_repair,
+    "op12_alignment": op12_alignment,
+    "op13_minhash": op13_minhash,
 }
 
-SQL = {"op4_chat": OP4_SQL, "op6_mixing": OP6_SQL}
+SQL = {"op4_chat": OP4_SQL, "op6_mixing": OP6_SQL, "op11_repair": OP11_SQL, "op13_minhash": OP13_SQL}
