@@ -18,7 +18,7 @@ HASH_DIGITS = 4  # 16**4 = 65,536 buckets: 1.5 million rows in each at 100 billi
 
 
 def max_key(existing: DataFrame, sk: str) -> int:
-    """Highest key given out so far, 0 if there is none. Key -1 is ignored."""
+    """Highest key given out so far, 0 if there is none. Key -1 is ignored. Scans the keys; prefer what was noted while writing."""
     return existing.where(F.col(sk) > 0).agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surestar.functions.parse import MONEY
@@ -101,6 +101,45 @@ def unique_report(table: str, df: DataFrame, column: str) -> DataFrame:
     return repeated.agg(F.lit(f"{table}: {column} unique").alias("rule"), F.count("*").alias("violations"))
 
 
+def new_key_counts(sk: str, highest: int) -> list[Column]:
+    """Aggregates over the part of a run, taken while it is written: the keys above ``highest``, which are new, and the others."""
+    new = F.when(F.col(sk) > highest, F.col(sk))
+    return [
+        F.count(new).alias("new_keys"), F.min(new).alias("least"), F.max(new).alias("highest"),
+        F.sum(new.cast("decimal(38,0)")).alias("key_sum"),
+    ]
+
+
+def noted_keys(counts: Mapping[str, object], earlier: Mapping[str, object], highest: int) -> dict:
+    """What is kept beside a part: its rows and the intervals of its keys. New keys fill one interval exactly or are noted as ``odd``;
+    a repeated run keeps the intervals of its earlier part."""
+    intervals = [list(x) for x in earlier.get("intervals", [])]
+    n, least, most = counts["new_keys"], counts["least"], counts["highest"]
+    odd = bool(n) and (most - least + 1 != n or 2 * int(counts["key_sum"]) != (least + most) * n)
+    if n:
+        intervals.append([least, most])
+    top = max([most or 0, *(x[1] for x in intervals)])
+    return {"rows": counts["rows_out"], "intervals": intervals, "highest": max(top, earlier.get("highest", 0)), "odd": odd}
+
+
+def key_interval_report(spark: SparkSession, table: str, notes: Mapping[str, Mapping | None]) -> DataFrame:
+    """Uniqueness and density of the keys of all runs from what was noted beside their parts; no row is read.
+
+    Keys are unique if the intervals of the parts are disjoint and each was filled exactly. The counts are keys that lie in the intervals of
+    two parts, keys without a row (a repeated run whose input has lost rows leaves such), and runs that can't be told from notes.
+    """
+    told = [n for n in notes.values() if n and "intervals" in n]
+    intervals = sorted(tuple(x) for n in told for x in n["intervals"])
+    shared, end = 0, 0
+    for least, most in intervals:
+        shared += max(0, min(end, most) - least + 1)
+        end = max(end, most)
+    missing = sum(most - least + 1 for least, most in intervals) - sum(n["rows"] for n in told)
+    untold = len(notes) - sum(not n["odd"] for n in told)
+    found = [("in two runs", shared), ("without a row", abs(missing)), ("of runs that are not known", untold)]
+    return spark.createDataFrame([(f"{table}: keys {what}", int(n)) for what, n in found], "rule string, violations bigint")
+
+
 def any_null_report(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Number of rows with a null in at least one of the columns."""
     missing = F.lit(False)

@@ -47,8 +47,13 @@ def scd1_status(existing: DataFrame, incoming: DataFrame, key: str, attrs: Seque
     return incoming.join(old, key, "left").select(key, status.alias("status"))
 
 
-def scd1_merge(existing: DataFrame, incoming: DataFrame, key: str, attrs: Sequence[str], sk: str) -> DataFrame:
-    """Overwrite the attributes of known members and append new ones."""
+def scd1_merge(
+    existing: DataFrame, incoming: DataFrame, key: str, attrs: Sequence[str], sk: str, highest: int | None = None
+) -> DataFrame:
+    """Overwrite the attributes of known members and append new ones.
+
+    ``highest``, here and below, is the highest key given out so far; without it the existing keys are scanned for it.
+    """
     fresh = incoming.select(key, *attrs, F.lit(True).alias("_found"))
     joined = existing.alias("old").join(fresh.alias("new"), key, "left")
     take_new = F.col("_found") & (F.col(sk) != UNKNOWN_SK)
@@ -57,17 +62,19 @@ def scd1_merge(existing: DataFrame, incoming: DataFrame, key: str, attrs: Sequen
         key,
         *[F.when(take_new, F.col(f"new.{a}")).otherwise(F.col(f"old.{a}")).alias(a) for a in attrs],
     )
-    return updated.unionByName(_new_members(existing, incoming.select(key, *attrs), [key], sk))
+    return updated.unionByName(_new_members(existing, incoming.select(key, *attrs), [key], sk, highest))
 
 
-def insert_new_members(existing: DataFrame, incoming: DataFrame, key: Sequence[str], sk: str) -> DataFrame:
+def insert_new_members(
+    existing: DataFrame, incoming: DataFrame, key: Sequence[str], sk: str, highest: int | None = None
+) -> DataFrame:
     """Old state plus the members whose natural key is not known yet."""
-    return existing.unionByName(_new_members(existing, incoming, key, sk))
+    return existing.unionByName(_new_members(existing, incoming, key, sk, highest))
 
 
-def _new_members(existing: DataFrame, incoming: DataFrame, key: Sequence[str], sk: str) -> DataFrame:
+def _new_members(existing: DataFrame, incoming: DataFrame, key: Sequence[str], sk: str, highest: int | None) -> DataFrame:
     fresh = anti(incoming, key, _real(existing, sk))
-    return keys_in_order(fresh, key, sk, max_key(existing, sk))
+    return keys_in_order(fresh, key, sk, max_key(existing, sk) if highest is None else highest)
 
 
 def scd2_status(existing: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], sk: str) -> DataFrame:
@@ -80,19 +87,27 @@ def scd2_status(existing: DataFrame, incoming: DataFrame, key: str, tracked: Seq
 
 
 def scd2_merge(
-    existing: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], as_of: dt.date, sk: str
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    as_of: dt.date,
+    sk: str,
+    highest: int | None = None,
+    latest: dt.date | None = None,
 ) -> DataFrame:
     """Close the current version of changed members and open a new one; open one for new members.
 
     ``existing`` holds ``sk``, ``key``, the columns of ``incoming``, ``valid_from``, ``valid_to`` and
     ``is_current``. Versions are half-open intervals: the end of one is the start of the next.
     A second run with the same input changes nothing. An ``as_of`` before the start of a known version is refused: it
-    would close versions before they began.
+    would close versions before they began. ``latest`` is the latest such start and belongs to ``highest``.
     """
-    real = _real(existing, sk)
-    last, start = real.agg(F.max("valid_from"), F.coalesce(F.max(F.when(F.col(sk) > 0, F.col(sk))), F.lit(0))).first()
-    if last is not None and as_of < last:
-        raise ValueError(f"as_of {as_of} is before {last}, the start of a version that is known already")
+    if highest is None:
+        real = _real(existing, sk)
+        latest, highest = real.agg(F.max("valid_from"), F.coalesce(F.max(F.when(F.col(sk) > 0, F.col(sk))), F.lit(0))).first()
+    if latest is not None and as_of < latest:
+        raise ValueError(f"as_of {as_of} is before {latest}, the start of a version that is known already")
     today = F.lit(as_of).cast("date")
     compared = scd2_status(existing, incoming, key, tracked, sk)
     to_close = compared.where(F.col("status") == STATUS_CHANGED)
@@ -103,7 +118,7 @@ def scd2_merge(
         "is_current": F.col("is_current") & ~closing,
     })
     to_open = compared.where(F.col("status") != STATUS_SAME).select(*incoming.columns)
-    opened = keys_in_order(to_open, [key], sk, start).withColumns({
+    opened = keys_in_order(to_open, [key], sk, highest).withColumns({
         "valid_from": today,
         "valid_to": F.lit(None).cast("date"),
         "is_current": F.lit(True),

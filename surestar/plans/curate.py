@@ -22,7 +22,7 @@ from surestar.functions import parse as p
 from surestar.functions import text as t
 from surestar.operators.dedupe import mark_last
 from surestar.operators.details import any_by_key
-from surestar.operators.refint import mark_parents
+from surestar.operators.refint import mark_all, mark_parent
 from surestar.operators.rules import KEPT, REASONS, ROW_JSON, Rule, json_if_rejected, kept, with_reasons
 from surestar.sources.feeds import MALFORMED, ORDINAL
 
@@ -36,8 +36,17 @@ def _feed_columns(raw: DataFrame) -> list[str]:
     return [name for name in raw.columns if name not in (ORDINAL, MALFORMED)]
 
 
-def _keyed(raw: DataFrame, ids: Sequence[str], required: Sequence[str], key: str | None) -> tuple[DataFrame, list[Rule]]:
-    """Add cleaned ids as ``_id_<name>`` and the first rules: row well formed, key present, last row of its key."""
+def _keyed(
+    raw: DataFrame,
+    ids: Sequence[str],
+    required: Sequence[str],
+    key: str | None,
+    references: Sequence[tuple[str, DataFrame, str, str]] = (),
+) -> tuple[DataFrame, list[Rule]]:
+    """Add cleaned ids as ``_id_<name>`` and the first rules: row well formed, key present, last row of its key.
+
+    ``references`` add one marker column per (id, parents, parent key, marker); they share their joins with the last row.
+    """
     # Two projections, so that each id is trimmed once and not once per use.
     df = raw.withColumns({f"_id_{name}": t.trim_all(F.col(name)) for name in ids})
     df = df.withColumns({f"_id_{name}": p.not_placeholder(F.col(f"_id_{name}")) for name in ids})
@@ -53,30 +62,16 @@ def _keyed(raw: DataFrame, ids: Sequence[str], required: Sequence[str], key: str
     else:
         df = df.withColumn("_complete", complete)
         rules.append(Rule(MISSING_KEY, F.col("_complete")))
-    if key:
+    if references:
+        named = [(f"_id_{child}", parents, parent_key, marker) for child, parents, parent_key, marker in references]
+        df = mark_all(df, ORDINAL, named, (f"_id_{key}", "_complete", "_is_last") if key else None)
+    elif key:
         df = mark_last(df, [f"_id_{key}"], ORDINAL, "_complete")
+    if key:
         rules.append(Rule(SUPERSEDED, ~F.col("_complete") | F.col("_is_last")))
     return df, rules
 
 
-def _references(df: DataFrame, references: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
-    """Add one marker column per (child key, parents, parent key, marker).
-
-    References by the same id share a join. With several ids the markers are found on rows that hold the ids alone and
-    join the feed once, by the ordinal, so the wide rows are shuffled once and not for each parent.
-    """
-    by_child: dict[str, list[tuple[DataFrame, str, str]]] = {}
-    for child, parents, parent_key, marker in references:
-        by_child.setdefault(child, []).append((parents, parent_key, marker))
-    narrow = df if len(by_child) == 1 else df.select(ORDINAL, *by_child)
-    for child, parents in by_child.items():
-        narrow = mark_parents(narrow, child, parents, spread=ORDINAL)
-    if len(by_child) == 1:
-        return narrow
-    markers = [marker for _, _, _, marker in references]
-    return df.join(narrow.select(ORDINAL, *markers), ORDINAL).select(*df.columns, *markers)
-
-
 def _typed(name: str) -> Column:
     """Typed value of a column, for rules."""
     return F.col(f"_t_{name}")
@@ -113,12 +108,12 @@ NUMBERS = {
 TOKENS = {"assessments": ("requiere_reinspeccion",), "coverages": ("activa",), "fraud_indicators": ("confirmado_fraude",)}
 
 
-def coerced_counts(raw: DataFrame, name: str) -> list[Column]:
-    """How many texts of each column are no number, or no known token, as aggregates over a raw feed."""
+def coerced_counts(raw: DataFrame, name: str, cell: Callable[[str], Column] = F.col) -> list[Column]:
+    """How many texts of each column are no number, or no known token, as aggregates over a raw feed. ``cell`` gives a column's text."""
     numbers = [c for c in NUMBERS.get(name, ()) if c in raw.columns]
     tokens = [c for c in TOKENS.get(name, ()) if c in raw.columns]
-    counts = [F.count_if(p.number_coerced(F.col(c))).alias(f"{c}: no number") for c in numbers]
-    return counts + [F.count_if(p.token_unknown(F.col(c))).alias(f"{c}: unknown token") for c in tokens]
+    counts = [F.count_if(p.number_coerced(cell(c))).alias(f"{c}: no number") for c in numbers]
+    return counts + [F.count_if(p.token_unknown(cell(c))).alias(f"{c}: unknown token") for c in tokens]
 
 
 def _present(raw: DataFrame, names: Sequence[str], make: Callable[[Column], Column]) -> dict[str, Column]:
@@ -193,11 +188,8 @@ def mark_geography(
 
 def policies(raw: DataFrame, clients: DataFrame, agents: DataFrame, dates: Formats = None) -> DataFrame:
     ids = ["id_poliza", "id_cliente", "id_agente", "id_asegurado", "id_objeto_asegurado"]
-    df, rules = _keyed(raw, ids, ["id_poliza", "id_cliente"], "id_poliza")
-    df = _references(df, [
-        ("_id_id_cliente", clients, "id_cliente", "_client"),
-        ("_id_id_agente", agents, "id_agente", "_agent"),
-    ])
+    references = [("id_cliente", clients, "id_cliente", "_client"), ("id_agente", agents, "id_agente", "_agent")]
+    df, rules = _keyed(raw, ids, ["id_poliza", "id_cliente"], "id_poliza", references)
     rules += [Rule("unknown_client", F.col("_client")), Rule("unknown_agent", F.col("_agent"))]
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
@@ -212,11 +204,8 @@ def policies(raw: DataFrame, clients: DataFrame, agents: DataFrame, dates: Forma
 
 def assessments(raw: DataFrame, claims: DataFrame, adjusters: DataFrame, dates: Formats = None) -> DataFrame:
     ids = ["id_evaluacion", "id_parte", "id_perito"]
-    df, rules = _keyed(raw, ids, ids, "id_evaluacion")
-    df = _references(df, [
-        ("_id_id_parte", claims, "id_parte", "_claim"),
-        ("_id_id_perito", adjusters, "id_perito", "_adjuster"),
-    ])
+    references = [("id_parte", claims, "id_parte", "_claim"), ("id_perito", adjusters, "id_perito", "_adjuster")]
+    df, rules = _keyed(raw, ids, ids, "id_evaluacion", references)
     rules += [Rule("unknown_claim", F.col("_claim")), Rule("unknown_adjuster", F.col("_adjuster"))]
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
@@ -243,11 +232,10 @@ def adjusters(raw: DataFrame) -> DataFrame:
 def payments(raw: DataFrame, claims: DataFrame, clients: DataFrame, policies: DataFrame, dates: Formats = None) -> DataFrame:
     """A payee has to be a client and also the insured person of some policy."""
     ids = ["id_pago", "id_parte", "id_receptor"]
-    df, rules = _keyed(raw, ids, ids, "id_pago")
-    df = _references(df, [
-        ("_id_id_parte", claims, "id_parte", "_claim"),
-        ("_id_id_receptor", clients, "id_cliente", "_client"),
-        ("_id_id_receptor", policies, "id_asegurado", "_insured"),
+    df, rules = _keyed(raw, ids, ids, "id_pago", [
+        ("id_parte", claims, "id_parte", "_claim"),
+        ("id_receptor", clients, "id_cliente", "_client"),
+        ("id_receptor", policies, "id_asegurado", "_insured"),
     ])
     rules += [
         Rule("unknown_claim", F.col("_claim")),
@@ -264,9 +252,9 @@ def payments(raw: DataFrame, claims: DataFrame, clients: DataFrame, policies: Da
 
 def items(raw: DataFrame, policies: DataFrame | None = None) -> DataFrame:
     """Insured items. With ``policies``, items that no policy insures are rejected (off by default)."""
-    df, rules = _keyed(raw, ["id_objeto"], ["id_objeto"], "id_objeto")
+    references = [] if policies is None else [("id_objeto", policies, "id_objeto_asegurado", "_policy")]
+    df, rules = _keyed(raw, ["id_objeto"], ["id_objeto"], "id_objeto", references)
     if policies is not None:
-        df = _references(df, [("_id_id_objeto", policies, "id_objeto_asegurado", "_policy")])
         rules.append(Rule("no_policy", F.col("_policy")))
     rules.append(Rule("value_too_large", _typed("valor_asegurado").try_cast(p.MONEY).isNotNull()))
     typed = {
@@ -305,14 +293,6 @@ def claims(
 ) -> DataFrame:
     """Claims. The five references may be absent; one that is given has to exist."""
     ids = ["id_parte", "id_poliza", "id_objeto_asegurado", "id_perito", "id_denunciante", "id_receptor_pago"]
-    df, rules = _keyed(raw, ids, ["id_parte", "id_poliza"], "id_parte")
-    opened, closed = _typed("fecha_apertura"), _typed("fecha_cierre")
-    rules += [
-        Rule("missing_open_date", opened.isNotNull()),
-        Rule("closed_before_open", closed.isNull() | opened.isNull() | (closed >= opened)),
-        Rule("negative_amount", _typed("monto_reclamado") >= 0),
-        Rule("negative_days", p.lenient_number(F.col("dias_resolucion"), p.MEASURE) >= 0),
-    ]
     references = [
         ("id_poliza", policies, "id_poliza", "unknown_policy"),
         ("id_denunciante", clients, "id_cliente", "unknown_reporter"),
@@ -320,7 +300,15 @@ def claims(
         ("id_perito", adjusters, "id_perito", "unknown_adjuster"),
         ("id_objeto_asegurado", items, "id_objeto", "unknown_item"),
     ]
-    df = _references(df, [(f"_id_{name}", parents, key, f"_has_{name}") for name, parents, key, _ in references])
+    marked = [(name, parents, key, f"_has_{name}") for name, parents, key, _ in references]
+    df, rules = _keyed(raw, ids, ["id_parte", "id_poliza"], "id_parte", marked)
+    opened, closed = _typed("fecha_apertura"), _typed("fecha_cierre")
+    rules += [
+        Rule("missing_open_date", opened.isNotNull()),
+        Rule("closed_before_open", closed.isNull() | opened.isNull() | (closed >= opened)),
+        Rule("negative_amount", _typed("monto_reclamado") >= 0),
+        Rule("negative_days", p.lenient_number(F.col("dias_resolucion"), p.MEASURE) >= 0),
+    ]
     rules += [Rule(rule, F.col(f"_id_{name}").isNull() | F.col(f"_has_{name}")) for name, _, _, rule in references]
     typed = {
         **{name: F.col(f"_id_{name}") for name in ids},
@@ -345,7 +333,7 @@ def coverages(raw: DataFrame, policies: DataFrame, dedupe_exact: bool = False) -
         df = df.withColumn("_usable", F.col("_complete") & p.has_token(F.col("activa")))
         df = mark_last(df, compared, ORDINAL, "_usable")
         rules.append(Rule("exact_duplicate", ~F.col("_usable") | F.col("_is_last")))
-    df = _references(df, [("_id_id_poliza", policies, "id_poliza", "_policy")])
+    df = mark_parent(df, "_id_id_poliza", policies, "id_poliza", "_policy", spread=ORDINAL)
     rules += [
         Rule("unknown_policy", F.col("_id_id_poliza").isNull() | F.col("_policy")),
         Rule("sum_not_positive", _typed("suma_garantizada") > 0),
@@ -361,7 +349,7 @@ def coverages(raw: DataFrame, policies: DataFrame, dedupe_exact: bool = False) -
 def fraud_indicators(raw: DataFrame, claims: DataFrame) -> DataFrame:
     """Single indicators, marked; :func:`fraud_flags` rolls the kept ones up."""
     df, rules = _keyed(raw, ["id_parte"], ["id_parte"], None)
-    df = _references(df, [("_id_id_parte", claims, "id_parte", "_claim")])
+    df = mark_parent(df, "_id_id_parte", claims, "id_parte", "_claim", spread=ORDINAL)
     rules.append(Rule("unknown_claim", F.col("_claim")))
     typed = {"id_parte": F.col("_id_id_parte"), "confirmado_fraude": p.has_token(F.col("confirmado_fraude"))}
     return _finish(df, raw, rules, typed, only=["id_parte", "confirmado_fraude"])

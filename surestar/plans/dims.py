@@ -46,8 +46,8 @@ def date_dimension(
     return calendar(date_range(bounds))
 
 
-def load_dates(existing: DataFrame, days: DataFrame) -> DataFrame:
-    return scd.insert_new_members(existing, days, ["date_id"], SK)
+def load_dates(existing: DataFrame, days: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.insert_new_members(existing, days, ["date_id"], SK, highest)
 
 
 # Dimensions with overwritten attributes
@@ -57,16 +57,16 @@ def agent_input(agents: DataFrame) -> DataFrame:
     return agents.select(F.col("id_agente").alias("agent_id"), F.col("nombre_completo").alias("agent_name"))
 
 
-def load_agents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    return scd.scd1_merge(existing, incoming, "agent_id", ["agent_name"], SK)
+def load_agents(existing: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.scd1_merge(existing, incoming, "agent_id", ["agent_name"], SK, highest)
 
 
 def adjuster_input(adjusters: DataFrame) -> DataFrame:
     return adjusters.select(F.col("id_perito").alias("adjuster_id"), F.col("nombre_completo").alias("adjuster_name"))
 
 
-def load_adjusters(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    return scd.scd1_merge(existing, incoming, "adjuster_id", ["adjuster_name"], SK)
+def load_adjusters(existing: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.scd1_merge(existing, incoming, "adjuster_id", ["adjuster_name"], SK, highest)
 
 
 def item_input(items: DataFrame) -> DataFrame:
@@ -81,8 +81,8 @@ def item_input(items: DataFrame) -> DataFrame:
     )
 
 
-def load_items(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    return scd.scd1_merge(existing, incoming, "item_id", ["item_type", "item_value"], SK)
+def load_items(existing: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.scd1_merge(existing, incoming, "item_id", ["item_type", "item_value"], SK, highest)
 
 
 # Dimensions that only grow
@@ -95,8 +95,8 @@ def plan_input(policies: DataFrame) -> DataFrame:
     return plans.where("plan_category is not null").distinct()
 
 
-def load_plans(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    return scd.insert_new_members(existing, incoming, ["plan_category"], SK)
+def load_plans(existing: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.insert_new_members(existing, incoming, ["plan_category"], SK, highest)
 
 
 def claim_type_input(claims: DataFrame) -> DataFrame:
@@ -104,8 +104,8 @@ def claim_type_input(claims: DataFrame) -> DataFrame:
     return types.where("claim_type is not null").distinct()
 
 
-def load_claim_types(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    return scd.insert_new_members(existing, incoming, ["claim_type"], SK)
+def load_claim_types(existing: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.insert_new_members(existing, incoming, ["claim_type"], SK, highest)
 
 
 # Locations
@@ -136,8 +136,8 @@ def location_input(clients: DataFrame, items: DataFrame) -> DataFrame:
     return both.groupBy(*keys).agg(*[F.min(name).alias(name) for name in LOCATION]).select(*LOCATION)
 
 
-def load_locations(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    return scd.insert_new_members(existing, incoming, list(LOCATION), SK)
+def load_locations(existing: DataFrame, incoming: DataFrame, highest: int | None = None) -> DataFrame:
+    return scd.insert_new_members(existing, incoming, list(LOCATION), SK, highest)
 
 
 def location_by_place(locations: DataFrame) -> DataFrame:
@@ -240,8 +240,10 @@ def with_third_parties(persons: DataFrame, others: DataFrame) -> DataFrame:
     return persons.unionByName(others, allowMissingColumns=True)
 
 
-def load_persons(existing: DataFrame, incoming: DataFrame, as_of: dt.date) -> DataFrame:
-    return scd.scd2_merge(existing, incoming, "person_id", PERSON_TRACKED, as_of, SK)
+def load_persons(
+    existing: DataFrame, incoming: DataFrame, as_of: dt.date, highest: int | None = None, latest: dt.date | None = None
+) -> DataFrame:
+    return scd.scd2_merge(existing, incoming, "person_id", PERSON_TRACKED, as_of, SK, highest, latest)
 
 
 # Master geography

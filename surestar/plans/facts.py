@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from surestar.functions import classify as cl
 from surestar.functions.parse import MONEY, date_key
 from surestar.operators.details import left_details, sum_by_key
-from surestar.operators.keys import keys_by_hash, max_key
+from surestar.operators.keys import keys_by_hash
 from surestar.operators.lookup import first_by_key, lookup, or_unknown
-from surestar.operators.refint import anti
+from surestar.operators.refint import anti_key
 from surestar.plans.dims import SK, resolve_place
 
 POLICY_COLUMNS = (
@@ -76,7 +76,7 @@ def fact_policy(
         F.col("prima_mensual").alias("premium"),
     )
     if existing is not None:
-        df = anti(df, ["policy_id"], existing)
+        df = anti_key(df, "policy_id", existing)
     sums = sum_by_key(coverages, "id_poliza", "suma_garantizada", "insured_sum")
     df = left_details(df, "policy_id", sums, "id_poliza", "insured_sum")
     df = lookup(df, [F.col("_plan")], dim_plan, ["plan_category"], {SK: "plan_sk"})
@@ -134,7 +134,7 @@ def fact_claim(
         "tipo_siniestro", "fecha_apertura", "fecha_cierre", "monto_reclamado",
     )
     if existing is not None:
-        df = anti(df, ["claim_id"], existing)
+        df = anti_key(df, "claim_id", existing)
     df = claim_details(df, assessments, payments, flags)
     df = lookup(df, [date_key(F.col("fecha_apertura"))], dim_date, ["date_id"], {SK: "open_date_sk"})
     df = lookup(df, [date_key(F.col("fecha_cierre"))], dim_date, ["date_id"], {SK: "close_date_sk"}, default=None)
@@ -172,10 +172,10 @@ def keep_keys(df: DataFrame, natural_key: str, own: DataFrame) -> tuple[DataFram
 
 
 def number_new(
-    df: DataFrame, natural_key: str, existing: DataFrame | None = None, ids: DataFrame | None = None
+    df: DataFrame, natural_key: str, highest: int = 0, ids: DataFrame | None = None
 ) -> DataFrame:
-    """Give new fact rows their surrogate keys, after those already given out.
+    """Give new fact rows their surrogate keys, after the highest one given out.
 
     ``ids`` holds the same natural keys and is cheaper to scan than ``df``.
     """
-    return keys_by_hash(df, natural_key, SK, 0 if existing is None else max_key(existing, SK), ids)
+    return keys_by_hash(df, natural_key, SK, highest, ids)

@@ -18,12 +18,14 @@ from surestar import schemas
 from surestar.functions.parse import clean_reference
 from surestar.operators import quality as q
 from surestar.operators import scd
+from surestar.operators.keys import max_key
 from surestar.operators.lookup import UNKNOWN_SK
 from surestar.operators.rules import ROW_JSON, Rule, json_if_rejected, kept, rejected, with_reasons
 from surestar.plans import curate, dims, facts
 from surestar.sources.audit import ERROR, OK, SKIPPED, AuditRow, audit_frame, observe_marked, observe_rows
-from surestar.sources.feeds import read_feed
-from surestar.sources.store import Store
+from surestar.session import scratch
+from surestar.sources.feeds import decoded, encoding_counts, found_encoding, guessed, read_feed
+from surestar.sources.store import Buckets, Store
 
 Counts = dict[str, int]
 
@@ -32,7 +34,8 @@ Counts = dict[str, int]
 class Options:
     """Choices of a load: count equal coverage rows once; which version of a person facts point at; canonical spellings
     of master provinces; reject items that no policy names; require claimed >= assessed >= paid; check all facts and
-    not only those of the run in the quality report."""
+    not only those of the run in the quality report; number of buckets by id of a fact table that does not exist yet (one
+    per few hundred megabytes of the history that is expected; the parts of later runs take the same)."""
 
     dedupe_exact: bool = False
     person_version: str = "first"
@@ -40,8 +43,11 @@ class Options:
     items_need_policy: bool = False
     amount_order: bool = False
     full_report: bool = False
+    buckets: int = 16
 
 
+FACT_IDS = {"fact_policy": "policy_id", "fact_claim": "claim_id"}
+
 # Curations that read dates.
 DATED = ("clients", "policies", "assessments", "payments", "agents", "claims")
 
@@ -72,7 +78,8 @@ class Load:
             self.failed.add(makes)
         else:
             try:
-                counts = dict(run())
+                with scratch(self.spark):
+                    counts = dict(run())
                 notes = [f"{k}: {v}" for k, v in counts.items() if k not in ("rows_in", "rows_out", "rows_rejected") and v]
                 notes += [f"the feed did not come, {t} is of an earlier run" for t in stale]
                 message = "; ".join(notes) or None
@@ -88,6 +95,12 @@ class Load:
 
     # Tables
 
+    def raw(self, name: str) -> DataFrame:
+        """A feed as it came, in the encoding that was found while it was stored."""
+        table = f"raw_{name}"
+        found = (self.store.notes(table) or {}).get("decode")
+        return decoded(self.store.read(table), found) if found else self.store.read(table)
+
     def curated(self, name: str) -> DataFrame:
         """Kept rows of a curated feed; fraud indicators come rolled up to one row per claim."""
         marked = self.store.read(f"curated_{name}")
@@ -106,10 +119,15 @@ class Load:
         feed = read_feed(self.spark, self.feeds_folder, spec)
         if feed is None:
             raise FileNotFoundError(f"{spec.file} not found")
-        return self._write(f"raw_{spec.name}", *observe_rows(feed, *curate.coerced_counts(feed, spec.name)))
+        if spec.encoding:
+            return self._write(f"raw_{spec.name}", *observe_rows(feed, *curate.coerced_counts(feed, spec.name)))
+        counts = curate.coerced_counts(feed, spec.name, lambda name: guessed(F.col(name)))
+        df, seen = observe_rows(feed, *counts, *encoding_counts(feed))
+        counts = self._write(f"raw_{spec.name}", df, seen, lambda: {"decode": found_encoding(seen.get)})
+        return counts | {"encoding": found_encoding(counts)}
 
     def curate(self, name: str, parents: list[str]) -> Counts:
-        raw = self.store.read(f"raw_{name}")
+        raw = self.raw(name)
         known = [self.curated(parent) for parent in parents]
         dates = {"dates": self.feeds[name].date_formats} if name in DATED else {}
         if name == "clients":
@@ -118,20 +136,43 @@ class Load:
             marked = curate.coverages(raw, *known, dedupe_exact=self.options.dedupe_exact)
         elif name == "items" and self.options.items_need_policy:
             # Policies come later in the order of the feeds, so the raw ones decide.
-            named = self.store.read("raw_policies").select(clean_reference(F.col("id_objeto_asegurado")).alias("id_objeto_asegurado"))
+            named = self.raw("policies").select(clean_reference(F.col("id_objeto_asegurado")).alias("id_objeto_asegurado"))
             marked = curate.items(raw, named)
         else:
             marked = getattr(curate, name)(raw, *known, **dates)
         return self._write(f"curated_{name}", *observe_marked(marked))
 
-    def load_dimension(self, name: str, make: Callable[[DataFrame], DataFrame]) -> Counts:
-        return self._write(name, *observe_rows(make(self.dimension(name))))
+    def high_water(self, name: str) -> dict:
+        """Highest key of a dimension, and the start of its latest version, as noted when it was written; empty if they weren't."""
+        if not self.store.has(name):
+            return {"highest": 0}
+        noted = self.store.notes(name) or {}
+        known = {k: noted[k] for k in ("highest", "latest") if k in noted}
+        if known.get("latest"):
+            known["latest"] = dt.date.fromisoformat(known["latest"])
+        return known
+
+    def highest_fact(self, name: str) -> int:
+        """Highest key that any run has given out; facts are scanned only if a part has no notes."""
+        noted = self.store.part_notes(name)
+        if all(n and "highest" in n for n in noted.values()):
+            return max([0, *(n["highest"] for n in noted.values())])
+        return max_key(self.store.read_appended(name, schemas.FACTS[name]), "sk")
+
+    def load_dimension(self, name: str, make: Callable[..., DataFrame]) -> Counts:
+        df = make(self.dimension(name), **self.high_water(name))
+        real = F.col("sk") != UNKNOWN_SK
+        latest = [F.max(F.when(real, F.col("valid_from"))).alias("latest")] if "valid_from" in df.columns else []
+        df, seen = observe_rows(df, F.coalesce(F.max(F.when(real, F.col("sk"))), F.lit(0)).alias("highest"), *latest)
+        counts = self._write(name, df, seen, lambda: {k: seen.get[k] for k in ("highest", "latest") if seen.get.get(k) is not None})
+        return {"rows_out": counts["rows_out"]}
 
     def add_unknown(self, name: str) -> Counts:
         table = self.dimension(name)
         if not table.where(F.col("sk") == UNKNOWN_SK).isEmpty():
             return {"rows_out": 0}
-        self.store.replace(name, scd.ensure_unknown_member(table, "sk", schemas.UNKNOWN_MEMBERS[name]))
+        noted = self.store.notes(name)
+        self.store.replace(name, scd.ensure_unknown_member(table, "sk", schemas.UNKNOWN_MEMBERS[name]), noted and (lambda: noted))
         return {"rows_out": 1}
 
     def load_fact(self, name: str, key: str, new_rows: DataFrame, more: list[Rule]) -> Counts:
@@ -147,13 +188,17 @@ class Load:
         good = facts.as_stored(kept(self.store.read(f"new_{name}")).select(*columns), name)
         own = self.store.read_part(name, self.run_id, schemas.FACTS[name])
         again, fresh = facts.keep_keys(good, key, own)
-        every = self.store.read_appended(name, schemas.FACTS[name])
-        numbered = facts.number_new(fresh, key, every)
-        self.store.append(name, numbered.unionByName(again.select(*numbered.columns)), self.run_id)
+        highest = self.highest_fact(name)
+        numbered = facts.number_new(fresh, key, highest)
+        every, seen = observe_rows(numbered.unionByName(again.select(*numbered.columns)), *q.new_key_counts("sk", highest))
+        noted = self.store.part_notes(name)
+        earlier = noted.get(self.run_id) or {}
+        number = next((n["buckets"][1] for n in noted.values() if n and "buckets" in n), self.options.buckets)
+        self.store.append(name, every, self.run_id, lambda: q.noted_keys(seen.get, earlier, highest), Buckets(key, number))
         return counts
 
-    def _write(self, table: str, df: DataFrame, seen: Observation) -> Counts:
-        self.store.replace(table, df)
+    def _write(self, table: str, df: DataFrame, seen: Observation, notes: Callable[[], dict] | None = None) -> Counts:
+        self.store.replace(table, df, notes)
         self.written.add(table)
         return seen.get
 
@@ -194,13 +239,19 @@ def full_load(
 ) -> DataFrame:
     """Run everything and return the audit rows of this run, which are also appended to the store.
 
-    ``feeds`` says how the extracts are written (encoding, date formats, line breaks in cells); ``options`` are the choices
-    of the load. Repeating a run gives its facts the keys they had.
+    ``feeds`` says how the extracts are written (date formats, line breaks in cells, and an encoding where it is not to be found
+    out); ``options`` are the choices of the load. Repeating a run gives its facts the keys they had.
     """
     specs = {spec.name: spec for spec in feeds}
     load = Load(spark, feeds_folder, Store(spark, warehouse), as_of, run_id, geography, specs, options or Options())
-    begun = dt.datetime.now(dt.timezone.utc)
+    try:
+        return _run(load, calendar, feeds)
+    finally:
+        load.store.release()
 
+
+def _run(load: Load, calendar: tuple[dt.date, dt.date], feeds: Sequence[schemas.FeedSpec]) -> DataFrame:
+    begun = dt.datetime.now(dt.timezone.utc)
     for spec in feeds:
         load.step(f"ingest {spec.name}", f"raw_{spec.name}", [], lambda spec=spec: load.ingest(spec))
     for name, parents in FEED_ORDER:
@@ -224,8 +275,8 @@ def full_load(
     worst = next((s for s in (ERROR, SKIPPED) if any(r.status == s for r in load.audit if r.step not in unread)), OK)
     done = dt.datetime.now(dt.timezone.utc)
     load.audit.append(AuditRow(begun, done, "full load", None, None, None, worst))
-    audit = audit_frame(spark, load.audit)
-    load.store.append("audit", audit, run_id)
+    audit = audit_frame(load.spark, load.audit)
+    load.store.append("audit", audit, load.run_id)
     return audit
 
 
@@ -234,23 +285,23 @@ def _dimension_steps(
 ) -> list[tuple[str, list[str], Callable[[DataFrame], DataFrame]]]:
     c = load.curated
 
-    def persons(existing: DataFrame) -> DataFrame:
+    def persons(existing: DataFrame, **water) -> DataFrame:
         own = dims.person_input(c("clients"), load.dimension("dim_location"))
         known = [(existing, "person_id"), (own, "person_id")]
         others = dims.third_parties(c("claims"), "id_receptor_pago", known)
-        return dims.load_persons(existing, dims.with_third_parties(own, others), load.as_of)
+        return dims.load_persons(existing, dims.with_third_parties(own, others), load.as_of, **water)
 
     return [
-        ("dim_agent", ["curated_agents"], lambda old: dims.load_agents(old, dims.agent_input(c("agents")))),
-        ("dim_date", [], lambda old: dims.load_dates(old, dims.date_dimension(load.spark, *calendar))),
+        ("dim_agent", ["curated_agents"], lambda old, **known: dims.load_agents(old, dims.agent_input(c("agents")), **known)),
+        ("dim_date", [], lambda old, **known: dims.load_dates(old, dims.date_dimension(load.spark, *calendar), **known)),
         ("dim_adjuster", ["curated_adjusters"],
-         lambda old: dims.load_adjusters(old, dims.adjuster_input(c("adjusters")))),
-        ("dim_item", ["curated_items"], lambda old: dims.load_items(old, dims.item_input(c("items")))),
-        ("dim_plan", ["curated_policies"], lambda old: dims.load_plans(old, dims.plan_input(c("policies")))),
+         lambda old, **known: dims.load_adjusters(old, dims.adjuster_input(c("adjusters")), **known)),
+        ("dim_item", ["curated_items"], lambda old, **known: dims.load_items(old, dims.item_input(c("items")), **known)),
+        ("dim_plan", ["curated_policies"], lambda old, **known: dims.load_plans(old, dims.plan_input(c("policies")), **known)),
         ("dim_claim_type", ["curated_claims"],
-         lambda old: dims.load_claim_types(old, dims.claim_type_input(c("claims")))),
+         lambda old, **known: dims.load_claim_types(old, dims.claim_type_input(c("claims")), **known)),
         ("dim_location", ["curated_clients", "curated_items"],
-         lambda old: dims.load_locations(old, dims.location_input(c("clients"), c("items")))),
+         lambda old, **known: dims.load_locations(old, dims.location_input(c("clients"), c("items")), **known)),
         ("dim_person", ["curated_clients", "curated_claims", "dim_location"], persons),
     ]
 
@@ -307,6 +358,7 @@ def _append_quality_report(load: Load) -> Counts:
     reports = [q.rule_report(name, df.where("sk <> -1"), schemas.constraints(name)) for name, df in tables.items()]
     reports += [q.foreign_key_report(tables[fk.table], fk, parents[fk.parent]) for fk in schemas.FOREIGN_KEYS]
     reports += [q.unique_report(name, df, "sk") for name, df in tables.items()]
+    reports += [q.key_interval_report(load.spark, name, load.store.part_notes(name)) for name in schemas.FACTS]
     reports += [
         q.lookup_miss_report("fact_policy", tables["fact_policy"], schemas.POLICY_KEYS),
         q.lookup_miss_report("fact_claim", tables["fact_claim"], schemas.CLAIM_KEYS),

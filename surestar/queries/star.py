@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surestar.operators import scd
-from surestar.operators.keys import keys_in_order
+from surestar.operators.keys import keys_in_order, max_key
 from surestar.operators.refint import anti
 from surestar.plans import dims, facts
 from surestar.queries import base as b
@@ -118,7 +118,7 @@ def incremental_fact(spark: SparkSession, d: str) -> DataFrame:
     loaded = keys_in_order(loaded, ["policy_id"], "sk")
     ids = star.curated["policies"].select(F.col("id_poliza").alias("policy_id"))
     rows = facts.as_stored(star.new_policies(loaded), "fact_policy")
-    return facts.number_new(rows, "policy_id", loaded, anti(ids, ["policy_id"], loaded))
+    return facts.number_new(rows, "policy_id", max_key(loaded, "sk"), anti(ids, ["policy_id"], loaded))
 
 
 def overpayment(spark: SparkSession, d: str) -> DataFrame:

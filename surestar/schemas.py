@@ -18,7 +18,7 @@ class FeedSpec:
     file: str
     required: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
-    encoding: str = "UTF-8"
+    encoding: str | None = None  # without one it is found out: UTF-8, or Latin-1 if some row is not
     date_formats: tuple[str, ...] | None = None  # Spark patterns; without them ISO texts are read
     multi_line: bool = False  # cells may hold line breaks; such a file is read by one task
 

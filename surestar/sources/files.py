@@ -19,6 +19,33 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, or ``None`` if there is none."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, over an earlier one."""
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a path; none if the path does not exist."""
     fs, hadoop_path = _file_system(spark, path)

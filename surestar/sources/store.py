@@ -3,16 +3,36 @@
 A snapshot table lives in ``<table>/v=<n>``; the current version is the highest one that Spark finished (it
 then holds ``_SUCCESS``). A version is never overwritten while it may be read. An append table lives in
 ``<table>/run=<id>/v=<n>``; repeating a run adds a version to its own part, which counts once it is finished.
+
+What was counted while a version was written is kept beside it in ``_notes.json``, so that later runs need not scan it.
+A version without notes (Spark finished it, the run ended before the notes) is as good as any other; its numbers are then unknown.
+
+Parts may be bucketed by a key. They are then read as one bucketed table, and a join or an anti-join by that key moves the other
+side only, whatever the number of parts.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surestar.sources.files import child_folders, exists, join_path
+from surestar.sources.files import child_folders, exists, join_path, read_text, write_text
 
 _DONE = "_SUCCESS"
+_NOTES = "_notes.json"
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Key and number of the buckets of an append table. All parts need the same."""
+
+    key: str
+    number: int
 
 
 def empty_table(spark: SparkSession, schema: str) -> DataFrame:
@@ -24,6 +44,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._registered: dict[tuple, str] = {}
 
     def _versions(self, *folders: str) -> list[int]:
         """Finished versions of a table or part, the current one last."""
@@ -47,33 +68,96 @@ class Store:
             return self.spark.read.parquet(join_path(self.root, table, f"v={versions[-1]}"))
         return self._empty(table, schema)
 
-    def replace(self, table: str, df: DataFrame) -> DataFrame:
-        """Write the next version and return it as read back, so that later steps start from files."""
-        return self.spark.read.parquet(self._write(df, table))
+    def replace(self, table: str, df: DataFrame, notes: Callable[[], Mapping] | None = None) -> DataFrame:
+        """Write the next version and return it as read back, so that later steps start from files.
+
+        ``notes`` is asked for what to keep beside it once it is written.
+        """
+        target = self._next(table)
+        df.write.mode("errorifexists").parquet(target)
+        self._note(target, notes)
+        return self.spark.read.parquet(target)
 
-    def _write(self, df: DataFrame, *folders: str) -> str:
+    def _next(self, *folders: str) -> str:
         folder = join_path(self.root, *folders)
         taken = [int(n.removeprefix("v=")) for n in child_folders(self.spark, folder) if n.startswith("v=")]
-        target = join_path(folder, f"v={max(taken, default=0) + 1}")
-        df.write.mode("errorifexists").parquet(target)
-        return target
+        return join_path(folder, f"v={max(taken, default=0) + 1}")
+
+    def _note(self, folder: str, notes: Callable[[], Mapping] | None, **more) -> None:
+        if notes or more:
+            write_text(self.spark, join_path(folder, _NOTES), json.dumps({**(notes() if notes else {}), **more}, default=str))
+
+    def _noted(self, folder: str) -> dict | None:
+        text = read_text(self.spark, join_path(folder, _NOTES))
+        return None if text is None else json.loads(text)
+
+    def notes(self, table: str) -> dict | None:
+        """Notes of the current snapshot; ``None`` if it has none or does not exist."""
+        versions = self._versions(table)
+        return self._noted(join_path(self.root, table, f"v={versions[-1]}")) if versions else None
+
+    def part_notes(self, table: str) -> dict[str, dict | None]:
+        """Notes of the current part of each run."""
+        return {run: self._noted(path) for run, path in self._parts(table).items()}
 
     def read_appended(self, table: str, schema: str | None = None, before: str | None = None) -> DataFrame:
         """All finished parts, or those of runs other than ``before``."""
-        return self._read_parts(table, schema, [p for run, p in self._parts(table).items() if run != before])
+        return self._read_parts(table, schema, [p for run, p in sorted(self._parts(table).items()) if run != before])
 
     def read_part(self, table: str, run_id: str, schema: str | None = None) -> DataFrame:
         """The part of one run."""
         return self._read_parts(table, schema, [p for run, p in self._parts(table).items() if run == run_id])
 
     def _read_parts(self, table: str, schema: str | None, paths: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*paths) if paths else self._empty(table, schema)
-
-    def append(self, table: str, df: DataFrame, run_id: str) -> None:
+        if not paths:
+            return self._empty(table, schema)
+        buckets = {tuple((self._noted(path) or {}).get("buckets", ())) for path in paths}
+        if len(buckets) == 1 and (spec := buckets.pop()):
+            return self._read_bucketed(table, paths, Buckets(*spec))
+        return self.spark.read.parquet(*paths)
+
+    def _read_bucketed(self, table: str, paths: list[str], buckets: Buckets) -> DataFrame:
+        """The parts as partitions of one external table, so that Spark knows how their rows are placed."""
+        spark, key = self.spark, (table, *paths)
+        fields = spark.read.parquet(paths[0]).schema.fields
+        if key not in self._registered:
+            name = f"surestar_{uuid.uuid4().hex}"
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            spark.sql(
+                f"CREATE TABLE {name} ({columns}, `_part` int) USING parquet PARTITIONED BY (`_part`) "
+                f"CLUSTERED BY (`{buckets.key}`) SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS "
+                f"LOCATION '{_quoted(join_path(self.root, table))}'"
+            )
+            self._registered[key] = name
+            for i, path in enumerate(paths):
+                spark.sql(f"ALTER TABLE {name} ADD PARTITION (`_part` = {i}) LOCATION '{_quoted(path)}'")
+        return spark.table(self._registered[key]).select([f.name for f in fields])
+
+    def release(self) -> None:
+        """Forget the tables registered for reading; their files stay. Frames read from them can't be used any more."""
+        while self._registered:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._registered.popitem()[1]}")
+
+    def append(
+        self, table: str, df: DataFrame, run_id: str, notes: Callable[[], Mapping] | None = None, buckets: Buckets | None = None
+    ) -> None:
         """Write the part of a run beside an earlier one, which counts until this one is finished."""
-        self._write(df, table, f"run={run_id}")
+        target = self._next(table, f"run={run_id}")
+        if buckets is None:
+            df.write.mode("errorifexists").parquet(target)
+            self._note(target, notes)
+            return
+        name = f"surestar_{uuid.uuid4().hex}"
+        placed = df.repartition(buckets.number, buckets.key).write.format("parquet").bucketBy(buckets.number, buckets.key)
+        placed.sortBy(buckets.key).option("path", target).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files of a table with a path of its own stay
+        self._note(target, notes, buckets=[buckets.key, buckets.number])
 
     def _empty(self, table: str, schema: str | None) -> DataFrame:
         if schema is None:
             raise FileNotFoundError(f"table {table} does not exist in {self.root}")
         return empty_table(self.spark, schema)
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")

@@ -11,6 +11,7 @@ from surestar.operators.rules import kept
 from surestar.plans import curate, dims
 from surestar.queries import ALL
 from surestar.queries.base import table
+from surestar.queries.standins import parent, raw
 from surestar.session import materialise, shared_folder
 from surestar.sources.feeds import MALFORMED, NULL_CELLS, ORDINAL, read_csv, read_csv_any_encoding
 from surestar.plans.full_load import build_master_geography
@@ -170,8 +171,8 @@ def test_hot_reference_is_one_join_per_id(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(ALL["curate_payments"].run(spark, FOLDER)).split("== Physical Plan ==")[-1]
-        # last row, claims, payees, and the markers back to the rows
-        assert plan.count("SortMergeJoin") == 4
+        # what is known of the last rows, claims and payees, and the markers back to the rows
+        assert plan.count("SortMergeJoin") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     raw = spark.range(6000).selectExpr(
@@ -186,6 +187,32 @@ def test_hot_reference_is_one_join_per_id(spark):
     assert marked.where("id_receptor = 'C1'").first()["_reasons"] == ["payee_not_insured"]
 
 
+def test_all_references_of_a_row_share_two_joins(spark):
+    known = [materialise(parent(spark, FOLDER, name)) for name in ("known_policies", "known_clients", "known_adjusters", "known_items")]
+    rows = materialise(raw(spark, FOLDER, "claims"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(curate.claims(rows, *known)).split("== Physical Plan ==")[-1]
+        # the rows whole, their ids, and their key with the ordinal
+        assert plan.count("SortMergeJoin") == 2 and plan.count("_ordinal") and len(re.findall(r"FileScan parquet \[_ordinal", plan)) <= 3, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_markers_of_all_references(spark):
+    rows = [(1, "k1", True, "a", None), (2, "k1", True, "b", "x"), (3, "k1", False, None, "y"), (4, None, False, "a", "x"), (5, "k2", True, "c", "a")]
+    df = spark.createDataFrame(rows, "o bigint, k string, ok boolean, p string, q string")
+    first = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "id string")
+    second = spark.createDataFrame([("a",), ("x",)], "name string")
+    marked = refint.mark_all(df, "o", [("p", first, "id", "in_1"), ("p", second, "name", "in_2"), ("q", second, "name", "q_2")], ("k", "ok", "last"))
+    found = {r["o"]: (r["in_1"], r["in_2"], r["q_2"], r["last"]) for r in marked.collect()}
+    assert found == {
+        1: (True, True, False, False), 2: (True, False, True, True), 3: (False, False, False, False), 4: (True, True, True, False),
+        5: (False, False, True, True),
+    }
+    assert marked.columns == [*df.columns, "in_1", "in_2", "q_2", "last"]
+
+
 def test_kept_rows_are_filtered_by_the_scan(spark, tmp_path):
     raw = spark.createDataFrame([(1, "S1", "a", "b", "z"), (2, None, "a", "b", "z")], f"{ORDINAL} long, id_perito string, nombre string, apellido string, zona_cobertura string")
     curate.adjusters(raw).write.parquet(str(tmp_path / "t"))
