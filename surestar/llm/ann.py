@@ -66,7 +66,10 @@ def walk(near: np.ndarray, far: np.ndarray, counts: np.ndarray, candidates: int)
 
 
 def nearest_in_block(queries: pd.DataFrame, entries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """For each query the ``k`` nearest entries, and all that tie with the last, among those in pairs it visits."""
+    """For each query the ``k`` nearest entries, and all that tie with the last, among those in pairs it visits.
+
+    Entries that hold the query's own id and no other are left out before, so each entry that counts gives a candidate.
+    """
     names = ["query_id", "which", "score", "ids"]
     if not len(queries) or not len(entries):
         return pd.DataFrame({n: pd.Series([], dtype=object) for n in names})
@@ -78,11 +81,17 @@ def nearest_in_block(queries: pd.DataFrame, entries: pd.DataFrame, k: int) -> pd
     for cell, start, stop in zip(cells, begins, [*begins[1:], len(v)], strict=True):
         if len(own := np.flatnonzero(visits[:, cell])):
             met[own, start:stop] = _squared(q[own], v[start:stop])
+    ids = entries.ids.to_numpy()
+    alone: dict[int, list[int]] = {}
+    for at, own in enumerate(ids):
+        if len(own) == 1:
+            alone.setdefault(int(own[0]), []).append(at)
+    for at, query in enumerate(queries.query_id.tolist()):
+        met[at, alone.get(query, [])] = np.inf
     last = min(k, len(v)) - 1
     slack = 1e-9 * (1 + (q**2).sum(1).max() + (v**2).sum(1).max())  # these distances are rounded, the returned ones are not
     rows, found = np.nonzero((met <= np.partition(met, last, axis=1)[:, last : last + 1] + slack) & np.isfinite(met))
     score = np.sqrt(((q[rows] - v[found]) ** 2).sum(1))
-    ids = entries.ids.to_numpy()
     return pd.DataFrame({
         "query_id": queries.query_id.to_numpy()[rows], "which": queries.which.to_numpy()[rows], "score": score,
         "ids": pd.Series(list(ids[found]), dtype=object),
@@ -150,7 +159,7 @@ def search(
     left = queries.withColumn("side", F.pmod(F.xxhash64("query_id"), F.lit(sides)).cast("int")).withColumn("block", every(blocks))
     right = index.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int")).withColumn("side", every(sides))
     met = left.groupBy("side", "block").cogroup(right.groupBy("side", "block")).applyInPandas(
-        lambda some, held: nearest_in_block(some, held, k + 1), "query_id long, which long, score double, ids array<long>"
+        lambda some, held: nearest_in_block(some, held, k), "query_id long, which long, score double, ids array<long>"
     )
     met = met.withColumn("vec_id", F.explode("ids")).where("vec_id != query_id")
     nearest = F.row_number().over(Window.partitionBy("query_id", "which").orderBy("score", "vec_id"))

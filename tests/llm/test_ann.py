@@ -42,6 +42,22 @@ def test_all_candidates_is_exact_with_ties_and_odd_vectors(spark):
         assert np.allclose([s for s, _ in found], [s for s, _ in want[q]], rtol=1e-12)
 
 
+def test_an_id_with_many_near_vectors_finds_the_others(spark):
+    rng = np.random.default_rng(4)
+    rows = [(0, (np.array([1.0, 0, 0, 0]) + 1e-3 * rng.normal(size=4)).tolist()) for _ in range(15)]
+    rows += [(i, rng.normal(size=4).tolist()) for i in range(1, 40)] + [(7, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {}
+    for r in ann.search(df, F.col("vec_id") == 0, 10, cells=2, candidates=10**6, share=1.0).collect():
+        out.setdefault(r.score, []).append((r.rank, r.vec_id))
+    others = [(i, np.array(v)) for i, v in rows if i != 0]
+    want = []
+    for _, v in rows[:15]:
+        near = sorted((float(np.sqrt(((np.array(v) - x) ** 2).sum())), i) for i, x in others)[:10]
+        want += [(rank, i) for rank, (_, i) in enumerate(near, 1)]
+    assert sorted(x for found in out.values() for x in found) == sorted(want) and len(want) == 150
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.search(spark.createDataFrame([], schema), F.lit(True)).count() == 0
