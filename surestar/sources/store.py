@@ -111,18 +111,18 @@ class Store:
     def _read_parts(self, table: str, schema: str | None, paths: list[str]) -> DataFrame:
         if not paths:
             return self._empty(table, schema)
-        buckets = {tuple((self._noted(path) or {}).get("buckets", ())) for path in paths}
-        if len(buckets) == 1 and (spec := buckets.pop()):
-            return self._read_bucketed(table, paths, Buckets(*spec))
+        placed = {json.dumps([(self._noted(path) or {}).get(k) for k in ("buckets", "columns")]) for path in paths}
+        buckets, columns = json.loads(placed.pop()) if len(placed) == 1 else (None, None)
+        if buckets and columns:
+            return self._read_bucketed(table, paths, Buckets(*buckets), columns)
         return self.spark.read.parquet(*paths)
 
-    def _read_bucketed(self, table: str, paths: list[str], buckets: Buckets) -> DataFrame:
-        """The parts as partitions of one external table, so that Spark knows how their rows are placed."""
+    def _read_bucketed(self, table: str, paths: list[str], buckets: Buckets, fields: list[list[str]]) -> DataFrame:
+        """The parts as partitions of one external table, so that Spark knows how their rows are placed. A part without rows has no files."""
         spark, key = self.spark, (table, *paths)
-        fields = spark.read.parquet(paths[0]).schema.fields
         if key not in self._registered:
             name = f"surestar_{uuid.uuid4().hex}"
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            columns = ", ".join(f"`{field}` {kind}" for field, kind in fields)
             spark.sql(
                 f"CREATE TABLE {name} ({columns}, `_part` int) USING parquet PARTITIONED BY (`_part`) "
                 f"CLUSTERED BY (`{buckets.key}`) SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS "
@@ -131,7 +131,7 @@ class Store:
             self._registered[key] = name
             for i, path in enumerate(paths):
                 spark.sql(f"ALTER TABLE {name} ADD PARTITION (`_part` = {i}) LOCATION '{_quoted(path)}'")
-        return spark.table(self._registered[key]).select([f.name for f in fields])
+        return spark.table(self._registered[key]).select([field for field, _ in fields])
 
     def release(self) -> None:
         """Forget the tables registered for reading; their files stay. Frames read from them can't be used any more."""
@@ -151,7 +151,8 @@ class Store:
         placed = df.repartition(buckets.number, buckets.key).write.format("parquet").bucketBy(buckets.number, buckets.key)
         placed.sortBy(buckets.key).option("path", target).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")  # the files of a table with a path of its own stay
-        self._note(target, notes, buckets=[buckets.key, buckets.number])
+        columns = [[field.name, field.dataType.simpleString()] for field in df.schema.fields]
+        self._note(target, notes, buckets=[buckets.key, buckets.number], columns=columns)
 
     def _empty(self, table: str, schema: str | None) -> DataFrame:
         if schema is None:

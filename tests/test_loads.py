@@ -138,6 +138,16 @@ def test_parts_with_other_buckets_or_none_are_read_all_the_same(spark, history):
     assert history.read_appended("facts").count() == 2020 and history.part_notes("facts")["r4"] is None
 
 
+def test_parts_without_rows(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    none = spark.createDataFrame([], "policy_id string, sk bigint")
+    store.append("facts", none, "r1", buckets=Buckets("policy_id", 4))
+    assert store.read_appended("facts").count() == 0 and store.read_part("facts", "r1").columns == ["policy_id", "sk"]
+    store.append("facts", spark.range(9).selectExpr("'P' || id AS policy_id", "id AS sk"), "r2", buckets=Buckets("policy_id", 4))
+    assert store.read_appended("facts").count() == 9 and store.read_appended("facts", before="r2").count() == 0
+    store.release()
+
+
 def test_loads_do_not_scan_for_keys(spark, tmp_path, monkeypatch):
     def refuse(*args):
         raise AssertionError("keys are scanned")
