@@ -1,8 +1,8 @@
 """Token counts of flat, unindexed token files by separator scan.
 
-A token file is a run of little-endian 16-bit or 32-bit identifiers; each document ends with the separator. ``scan`` reads the
-files with Spark, cuts them into blocks and searches each block for separators with one vector comparison. A block says
-how many separators it has, how many tokens stand before its first and after its last one, and the lengths between them. A
+A token file is a run of little-endian 16-bit or 32-bit identifiers; each document ends with the separator. ``scan`` lists the
+files with Spark, deals their blocks to tasks, which read those ranges of bytes only, and searches each block for separators with one
+vector comparison. A block says how many separators it has, how many tokens stand before its first and after its last one, and the lengths between them. A
 prefix scan over the blocks of a file then gives each block the number of documents before it and the tokens that an open document brings
 along, so a document may reach over any number of blocks.
 
@@ -12,18 +12,31 @@ along, so a document may reach over any number of blocks.
 from __future__ import annotations
 
 import base64
+import heapq
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surestar.llm.common import shared_folder, store
 
 SEPARATOR = 50256
+#: Bytes of token files that a task reads, block by block.
+TASK_BYTES = 256 << 20
 #: Fixed value: the splitting pattern published with the byte-level vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: the characters with the Unicode property White_Space.
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Runs of this many characters are split here, since the library needs stack for spaces and the square of the time for words.
+LONG_RUN = 4096
+_LONG = re.compile(rf"(?<![{SPACE}])[{SPACE}]{{{LONG_RUN},}}|(?<![^{SPACE}])[^{SPACE}]{{{LONG_RUN},}}")
+_NOT_SPACE = re.compile(f"[^{SPACE}]")
+_PIECES = regex.compile(PATTERN)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -32,6 +45,69 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def merge_piece(data: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Tokens of one piece of the splitting pattern by byte-pair merges, lowest rank and leftmost first, with a heap of the pairs."""
+    n = len(data)
+    after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+    pair = array("q", (ranks.get(data[i : i + 2], -1) if i + 1 < n else -1 for i in range(n)))
+    heap = [rank << 40 | i for i, rank in enumerate(pair) if rank >= 0]
+    heapq.heapify(heap)
+
+    def look(i: int) -> None:
+        j = after[i]
+        pair[i] = ranks.get(data[i : after[j]], -1) if j < n else -1
+        if pair[i] >= 0:
+            heapq.heappush(heap, pair[i] << 40 | i)
+
+    while heap:
+        top = heapq.heappop(heap)
+        i = top & ((1 << 40) - 1)
+        if pair[i] != top >> 40:
+            continue
+        j = after[i]
+        pair[j], after[i] = -1, after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        look(i)
+        if before[i] >= 0:
+            look(before[i])
+    tokens, i = [], 0
+    while i < n:
+        tokens.append(ranks[data[i : after[i]]])
+        i = after[i]
+    return tokens
+
+
+def encode_text(encoding, ranks: dict[bytes, int], text: str) -> list[int]:
+    """Tokens of a text of any length, those of ``encoding.encode_ordinary``.
+
+    No piece of the pattern reaches from other characters into white space, and a run of white space before other characters leaves
+    its last one to them; so long runs are cut out there. A long run of other characters is split by the same pattern here.
+    """
+    if len(text) < LONG_RUN:
+        return encoding.encode_ordinary(text)
+    tokens, done = [], 0
+    for m in _LONG.finditer(text):
+        start, stop = m.span()
+        blank = not _NOT_SPACE.match(text, start)
+        if blank:
+            stop -= stop < len(text)
+        else:
+            start = max(done, start - 1)
+        tokens += encoding.encode_ordinary(text[done:start])
+        for piece in (text[start:stop],) if blank else _PIECES.findall(text, start, stop):
+            tokens += encoding.encode_ordinary(piece) if len(piece) < LONG_RUN // 8 else merge_piece(piece.encode("utf-8"), ranks)
+        done = stop
+    return tokens + encoding.encode_ordinary(text[done:])
+
+
+def file_system(uri: str):
+    """File system of a path or URI for pyarrow, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+
+
 def write(docs: DataFrame, folder: str, vocabulary: str, rows_per_file: int = 8192, separator: int = SEPARATOR) -> DataFrame:
     """Write the texts of ``docs`` as token files below ``folder`` and return ``file``, ``place`` and ``doc_id``.
 
@@ -43,11 +119,10 @@ def write(docs: DataFrame, folder: str, vocabulary: str, rows_per_file: int = 81
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
-        from pyarrow import fs
         from pyspark import TaskContext
 
         encoding = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        store_at, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store_at, base = file_system(folder)
         store_at.create_dir(base, recursive=True)
         context, number = TaskContext.get(), 0
         for batch in batches:
@@ -58,7 +133,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, rows_per_file: int = 81
                 partial = f"{base}/_{name}.{context.taskAttemptId()}"
                 with store_at.open_output_stream(partial) as out:
                     for text in pdf.text:
-                        tokens = encoding.encode_ordinary(text or "")
+                        tokens = encode_text(encoding, ranks, text or "")
                         tokens.append(separator)
                         out.write(np.array(tokens, "<u2").tobytes())
                 store_at.move(partial, f"{base}/{name}")
@@ -83,27 +158,27 @@ def scan(spark: SparkSession, folder: str, separator: int = SEPARATOR, width: in
     """``file``, ``place`` and ``n_tokens`` of every document of the token files of a folder, separators not counted.
 
     ``place`` counts from 0 in each file. Tokens behind the last separator of a file are a document too. Files without
-    tokens, and a folder without files, give no rows. Files may have any number of blocks; a file whose length
-    is not a multiple of ``width`` is refused. Spark reads a file as one value, so files have to stay below its limit of 2 GB.
+    tokens, and a folder without files, give no rows. Files may be of any size and have any number of blocks; a file whose
+    length is not a multiple of ``width`` is refused.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder).select("path", "length")  # names only, no content
     size = block_tokens * width
-    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size)))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(files.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
     refused = F.raise_error(F.concat(F.lit("not a whole number of tokens: "), "path")).cast("boolean")
-    files = files.where(F.when(F.col("length") % width == 0, F.lit(True)).otherwise(refused))
-    blocks = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.posexplode(F.transform(starts, lambda k: F.substring("content", (k * size + 1).cast("int"), F.lit(size)))).alias("block", "data"),
-    )
+    files = files.where(F.when(F.col("length") % width == 0, F.lit(True)).otherwise(refused)).where("length > 0")
+    last = F.floor((F.col("length") - 1) / size)
+    blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block")).repartition(tasks, "path", "block")
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [block_summary(np.frombuffer(x, f"<u{width}"), separator) for x in pdf.data]
-            yield pd.concat(
-                [pdf[["file", "block"]].reset_index(drop=True), pd.DataFrame(made, columns=["n", "head", "tail", "between"])], axis=1
-            )
-
-    found = store(blocks.mapInPandas(summarise, "file string, block int, n long, head long, tail long, between binary"))
+            for path, length, block in pdf.itertuples(index=False):
+                store_at, place = file_system(path)
+                with store_at.open_input_file(place) as data:
+                    held = data.read_at(min(size, length - block * size), block * size)
+                made = block_summary(np.frombuffer(held, f"<u{width}"), separator)
+                yield pd.DataFrame([(path.rsplit("/", 1)[-1], block, *made)], columns=["file", "block", "n", "head", "tail", "between"])
+
+    found = store(blocks.mapInPandas(summarise, "file string, block long, n long, head long, tail long, between binary"))
     # the prefix scan is over one narrow row per block
     upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("file")
