@@ -25,7 +25,7 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements around a text that mark it as boilerplate, as the article, and kinds of text.
-AWAY = frozenset("nav aside footer form button menu dialog fieldset label legend search head optgroup option".split())
+AWAY = frozenset("nav aside footer button menu dialog fieldset label legend search head optgroup option".split())
 HOME = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words in class, id and role that mark boilerplate, or the article.
@@ -40,9 +40,11 @@ HOME_WORDS = frozenset(("article", "content", "entry", "main", "post", "story",
 #: Words that make a name say how an element is laid out, or what goes with it, and not what it is.
 STATE_WORDS = frozenset(("has", "is", "no", "not", "overflow", "with", "without"))
 
+#: The rest of a start tag. A quote opens a value only after an equals sign; elsewhere it is a character like others.
+_ATTRIBUTES = r"(?:=\s*+\"[^\"]*\"|=\s*+'[^']*'|[^>])*+"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)\b{_ATTRIBUTES}(?<=/)>|<({'|'.join(RAW)})\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
@@ -72,13 +74,14 @@ class Block:
 class Element:
     """An open or closed block element: where it hangs, and what its tag and its attributes say of it.
 
-    ``hard`` holds for all that lies in it; ``soft``, from names alone, gives way to an article and to the text of the page.
+    ``hard`` holds for all that lies in it; ``soft``, of forms and from names, gives way to an article and to the text of the page;
+    ``hidden`` gives way to the text of the page only, which a script may show.
     """
 
-    __slots__ = ("article_words", "hard", "home", "hints", "marked", "parent", "soft", "tag", "words")
+    __slots__ = ("article_words", "hard", "hidden", "home", "hints", "marked", "parent", "soft", "tag", "words")
 
-    def __init__(self, tag: str, parent: int, hard: bool, soft: bool, home: bool, marked: bool) -> None:
-        self.tag, self.parent, self.hard, self.soft, self.home, self.marked = tag, parent, hard, soft, home, marked
+    def __init__(self, tag: str, parent: int, hard: bool, soft: bool, home: bool, marked: bool, hidden: bool = False) -> None:
+        self.tag, self.parent, self.hard, self.soft, self.home, self.marked, self.hidden = tag, parent, hard, soft, home, marked, hidden
         self.words = self.article_words = 0.0
         self.hints = 0  # of the main text in it: headings of the page, articles and names that mark one
 
@@ -111,9 +114,9 @@ def _marks(tag: str, attributes: str, in_home: bool) -> tuple[bool, bool, bool]:
 def _settle(elements: list[Element], blocks: list[Block]) -> None:
     """Set ``away`` of the blocks, ``marked`` and ``unit`` from the elements around them.
 
-    A name that marks boilerplate doesn't count on an element with more than half of the words of the page, unless what speaks for
+    A name that marks boilerplate, a form or a hidden element doesn't count on an element with more than half of the words of the page, unless what speaks for
     the main text lies outside it. Of an element that it counts on, a ``main`` is left out, and an ``article`` with more than
-    half of the words that the articles in it have, if they have no such names themselves.
+    half of the words that the articles in it have, if they have no such names themselves; of a hidden element nothing is left out.
     """
     for b in blocks:
         if not elements[b.parent].hard:
@@ -130,9 +133,9 @@ def _settle(elements: list[Element], blocks: list[Block]) -> None:
     state = []  # the outermost element whose name counts, or -1; marked; the nearest element around that speaks for the main text; how many do; the unit
     for i, e in enumerate(elements):
         below, marked, near, around, unit = state[e.parent] if i else (-1, False, -1, 0, -1)
-        if below >= 0 and e.tag in HOME and not e.soft and (e.tag == "main" or 2 * e.words > elements[below].article_words):
+        if below >= 0 and not elements[below].hidden and e.tag in HOME and not e.soft and (e.tag == "main" or 2 * e.words > elements[below].article_words):
             below = -1
-        if below < 0 and e.soft and e.tag not in HOME:
+        if (below < 0 or e.hidden) and (e.soft or e.hidden) and e.tag not in HOME:
             outside = page.hints - e.hints - around
             if near >= 0 and e.words < 0.8 * elements[near].words:
                 outside += 1
@@ -154,6 +157,15 @@ def read_blocks(page: str) -> list[Block]:
     elements = [Element("", -1, False, False, False, False)]
     stack = [("", 0)]  # tag, number
     links, at, current = 0, 0, None
+    where: dict[str, list[int]] = {}  # places of the open elements of each tag in the stack
+    homes: list[int] = []
+
+    def close(size: int) -> None:
+        while len(stack) > size:
+            tag, _ = stack.pop()
+            where[tag].pop()
+            if tag in HOME:
+                homes.pop()
 
     def text(piece: str) -> None:
         nonlocal current
@@ -181,24 +193,23 @@ def read_blocks(page: str) -> list[Block]:
             continue
         current, links = None, 0
         if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if stack[i][0] in HOME and tag not in ("body", "html"):
-                    break
+            if where.get(tag) and (not homes or where[tag][-1] >= homes[-1] or tag in ("body", "html")):
+                close(where[tag][-1])
             continue
         ends = ("p", *HEADINGS) if tag in HEADINGS else ("p",)
         if stack[-1][0] in ends or stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
-            stack.pop()
+            close(len(stack) - 1)
         if tag in VOID:
             continue
         number = stack[-1][1]
         home = elements[number].home or tag in HOME
         hidden, soft, mark = _marks(tag, m[4], home)
-        hard = elements[number].hard or tag in AWAY or hidden or (tag == "header" and not home)
+        hard = elements[number].hard or tag in AWAY or (tag == "header" and not home)
+        where.setdefault(tag, []).append(len(stack))
+        if tag in HOME:
+            homes.append(len(stack))
         stack.append((tag, len(elements)))
-        elements.append(Element(tag, number, hard, soft, home, mark and tag not in HOME))
+        elements.append(Element(tag, number, hard, soft or tag == "form", home, mark and tag not in HOME, hidden))
     text(page[at:])
     for b in blocks:
         b.text = " ".join(html.unescape("".join(b.parts)).split())

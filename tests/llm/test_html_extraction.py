@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 
@@ -131,3 +132,33 @@ def test_articles_with_most_of_the_words_are_the_text():
     story = f"<article><h2>A title</h2><p>{P1}</p><p>{P2}</p></article>"
     got = he.main_text(page(body=story * 3, after=f"<div><p>{P1}</p></div>"))
     assert got == "\n\n".join([WANT] * 3)
+
+
+@pytest.mark.parametrize("wrapper", ["form action='/x' method=post", "div style='display:none'", "div hidden", "div aria-hidden='true'"])
+def test_a_form_or_a_hidden_wrapper_around_the_text(wrapper):
+    text, tag = f"<h1>A title</h1><p>{P1}</p><p>{P2}</p>", wrapper.split()[0]
+    menu = '<nav><a href="/a">Home</a></nav>'
+    for inner in (f"<article>{text}</article>", f"<main>{text}</main>", f'<div class="post">{text}</div>', text):
+        assert he.main_text(page(body=f"<{wrapper}>{menu}{inner}<label>Mail</label><button>Send it</button></{tag}>")) == WANT
+    for small in (f"<article><p>{P1}</p></article>", f"<p>{P1}</p>"):
+        if tag == "div":  # what a small hidden element holds stays hidden
+            assert he.main_text(page(after=f"<{wrapper}>{small}</{tag}>")) == WANT
+
+
+def test_self_closed_drawings():
+    body = f"<article><h1>A title</h1><svg width='1'/><p>{P1}</p><svg viewBox=\"0 0 1 1\" /><p>{P2}</p><svg><text>no</text></svg><math/></article>"
+    assert he.main_text(page(body=body)) == WANT
+
+
+def test_apostrophes_in_values_without_quotes():
+    body = f"<article><h1 title=don't>A title</h1><p>{P1}</p><p title=can't>{P2}</p></article>"
+    assert he.main_text(page(body=body)) == WANT
+    quoted = f"<article><h1 title='a > b' data-x = \"it's > c\">A title</h1><p>{P1}</p><p>{P2}</p></article>"
+    assert he.main_text(page(body=quoted)) == WANT
+
+
+def test_stray_end_tags_of_deep_pages_take_linear_time():
+    deep = "<div>" * 30_000 + f"<p>{P1}</p>" + "</section></li></table>" * 3_000
+    begin = time.perf_counter()
+    assert he.main_text(deep) == P1
+    assert time.perf_counter() - begin < 5
