@@ -69,11 +69,29 @@ def descending(columns: Sequence[str], floor: int = 0) -> Rule:
     return Rule(" >= ".join([*columns, str(floor)]), holds)
 
 
+def rule_counters(rules: Sequence[Rule], where: Column | None = None) -> list[Column]:
+    """Aggregates ``v0``, ``v1``, ... with the violations of each rule among the rows that ``where`` chooses.
+
+    They serve a report, or an Observation on a write, so that a table needs no other pass for its rules.
+    """
+    chosen = F.lit(True) if where is None else where
+    return [F.count_if(chosen & ~F.coalesce(rule.holds, F.lit(False))).alias(f"v{i}") for i, rule in enumerate(rules)]
+
+
+def violations(rules: Sequence[Rule], counts: Mapping[str, object]) -> dict[str, int]:
+    """Violations by rule name from what ``rule_counters`` have counted."""
+    return {rule.name: int(counts[f"v{i}"]) for i, rule in enumerate(rules)}
+
+
+def counted_report(spark: SparkSession, table: str, rules: Sequence[Rule], counts: Sequence[Mapping[str, int]]) -> DataFrame:
+    """The report of ``rule_report`` from violations that were counted while the table, or each of its parts, was written."""
+    found = [(f"{table}: {rule.name}", sum(c[rule.name] for c in counts)) for rule in rules]
+    return spark.createDataFrame(found, "rule string, violations bigint")
+
+
 def rule_report(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All rules of one table in one pass over it."""
-    counts = df.agg(*[
-        F.count_if(~F.coalesce(rule.holds, F.lit(False))).alias(f"v{i}") for i, rule in enumerate(rules)
-    ])
+    counts = df.agg(*rule_counters(rules))
     rows = F.array(*[
         F.struct(F.lit(f"{table}: {rule.name}").alias("rule"), F.col(f"v{i}").alias("violations"))
         for i, rule in enumerate(rules)
@@ -95,10 +113,13 @@ def foreign_key_report(df: DataFrame, key: ForeignKey, parent: DataFrame) -> Dat
     )
 
 
-def unique_report(table: str, df: DataFrame, column: str) -> DataFrame:
-    """Number of key values that occur more than once."""
-    repeated = df.groupBy(column).count().where("count > 1")
-    return repeated.agg(F.lit(f"{table}: {column} unique").alias("rule"), F.count("*").alias("violations"))
+def unique_report(table: str, df: DataFrame, *columns: str) -> DataFrame:
+    """Number of values of each key that occur more than once; all keys of a table in one pass and one shuffle."""
+    values = F.inline(F.array(*[F.struct(F.lit(i).alias("_key"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(columns)]))
+    repeated = df.select(values).groupBy("_key", "_value").count().where("count > 1")
+    counts = repeated.agg(*[F.count_if(F.col("_key") == i).alias(f"v{i}") for i in range(len(columns))])
+    rows = [F.struct(F.lit(f"{table}: {c} unique").alias("rule"), F.col(f"v{i}").alias("violations")) for i, c in enumerate(columns)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def new_key_counts(sk: str, highest: int) -> list[Column]:
@@ -140,17 +161,14 @@ def key_interval_report(spark: SparkSession, table: str, notes: Mapping[str, Map
     return spark.createDataFrame([(f"{table}: keys {what}", int(n)) for what, n in found], "rule string, violations bigint")
 
 
-def any_null_report(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Number of rows with a null in at least one of the columns."""
-    missing = F.lit(False)
-    for name in columns:
-        missing = missing | F.col(name).isNull()
-    return df.agg(F.lit(f"{table}: any key null").alias("rule"), F.count_if(missing).alias("violations"))
+def no_null_in(columns: Sequence[str]) -> Rule:
+    """Broken by a null in at least one of the columns."""
+    return Rule("any key null", reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in columns]))
 
 
-def lookup_miss_report(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per key column, the number of rows that point at the unknown member."""
-    return rule_report(table, df, [Rule(f"{name} found", F.col(name).isNull() | (F.col(name) != -1)) for name in columns])
+def lookups_found(columns: Sequence[str]) -> list[Rule]:
+    """Per key column, that it doesn't point at the unknown member."""
+    return [Rule(f"{name} found", F.col(name).isNull() | (F.col(name) != -1)) for name in columns]
 
 
 def combine(reports: Sequence[DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ a person has several versions and is cut down to one first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surestar.functions import classify as cl
@@ -159,9 +159,13 @@ def fact_claim(
     }).select(*CLAIM_COLUMNS, "_insured_sum", "_dates_ok")
 
 
+def is_overpaid() -> Column:
+    return F.coalesce(F.col("paid") > F.col("_insured_sum"), F.lit(False))
+
+
 def overpaid(df: DataFrame) -> DataFrame:
     """Add the flag: paid more than the insured sum of the policy. A report; the fraud flag is left alone."""
-    return df.withColumn("is_overpaid", F.coalesce(F.col("paid") > F.col("_insured_sum"), F.lit(False)))
+    return df.withColumn("is_overpaid", is_overpaid())
 
 
 def keep_keys(df: DataFrame, natural_key: str, own: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -163,8 +163,15 @@ class Load:
         df = make(self.dimension(name), **self.high_water(name))
         real = F.col("sk") != UNKNOWN_SK
         latest = [F.max(F.when(real, F.col("valid_from"))).alias("latest")] if "valid_from" in df.columns else []
-        df, seen = observe_rows(df, F.coalesce(F.max(F.when(real, F.col("sk"))), F.lit(0)).alias("highest"), *latest)
-        counts = self._write(name, df, seen, lambda: {k: seen.get[k] for k in ("highest", "latest") if seen.get.get(k) is not None})
+        rules = schemas.constraints(name)
+        highest = F.coalesce(F.max(F.when(real, F.col("sk"))), F.lit(0)).alias("highest")
+        df, seen = observe_rows(df, highest, *latest, *q.rule_counters(rules, real))
+
+        def noted() -> dict:
+            known = {k: seen.get[k] for k in ("highest", "latest") if seen.get.get(k) is not None}
+            return {**known, "violations": q.violations(rules, seen.get)}
+
+        counts = self._write(name, df, seen, noted)
         return {"rows_out": counts["rows_out"]}
 
     def add_unknown(self, name: str) -> Counts:
@@ -190,11 +197,18 @@ class Load:
         again, fresh = facts.keep_keys(good, key, own)
         highest = self.highest_fact(name)
         numbered = facts.number_new(fresh, key, highest)
-        every, seen = observe_rows(numbered.unionByName(again.select(*numbered.columns)), *q.new_key_counts("sk", highest))
+        rules = report_rules(name)
+        every = numbered.unionByName(again.select(*numbered.columns))
+        every, seen = observe_rows(every, *q.new_key_counts("sk", highest), *q.rule_counters(rules))
         noted = self.store.part_notes(name)
         earlier = noted.get(self.run_id) or {}
         number = next((n["buckets"][1] for n in noted.values() if n and "buckets" in n), self.options.buckets)
-        self.store.append(name, every, self.run_id, lambda: q.noted_keys(seen.get, earlier, highest), Buckets(key, number))
+
+
+        def notes() -> dict:
+            return {**q.noted_keys(seen.get, earlier, highest), "violations": q.violations(rules, seen.get)}
+
+        self.store.append(name, every, self.run_id, notes, Buckets(key, number))
         return counts
 
     def _write(self, table: str, df: DataFrame, seen: Observation, notes: Callable[[], dict] | None = None) -> Counts:
@@ -355,19 +369,34 @@ def _append_quality_report(load: Load) -> Counts:
     parents = tables | {name: load.store.read_appended(name, schema) for name, schema in schemas.FACTS.items()}
     own = {name: load.store.read_part(name, load.run_id, schema) for name, schema in schemas.FACTS.items()}
     tables = parents if load.options.full_report else tables | own
-    reports = [q.rule_report(name, df.where("sk <> -1"), schemas.constraints(name)) for name, df in tables.items()]
+    reports = [_rule_report(load, name, df) for name, df in tables.items()]
     reports += [q.foreign_key_report(tables[fk.table], fk, parents[fk.parent]) for fk in schemas.FOREIGN_KEYS]
     reports += [q.unique_report(name, df, "sk") for name, df in tables.items()]
     reports += [q.key_interval_report(load.spark, name, load.store.part_notes(name)) for name in schemas.FACTS]
-    reports += [
-        q.lookup_miss_report("fact_policy", tables["fact_policy"], schemas.POLICY_KEYS),
-        q.lookup_miss_report("fact_claim", tables["fact_claim"], schemas.CLAIM_KEYS),
-    ]
     df, seen = observe_rows(q.combine(reports))
     load.store.append("dq_report", df, load.run_id)
     return seen.get
 
 
+def report_rules(name: str) -> list[Rule]:
+    """What the report counts row by row: the declared constraints and, of facts, keys that were looked up in vain."""
+    keys = {"fact_policy": schemas.POLICY_KEYS, "fact_claim": schemas.CLAIM_KEYS}
+    return [*schemas.constraints(name), *q.lookups_found(keys.get(name, ()))]
+
+
+def _rule_report(load: Load, name: str, df: DataFrame) -> DataFrame:
+    """From what was counted while the table was written; a table or a part without such notes is scanned."""
+    rules = report_rules(name)
+    if name in schemas.DIMENSIONS:
+        noted = [load.store.notes(name)]
+    else:
+        noted = [n for run, n in load.store.part_notes(name).items() if load.options.full_report or run == load.run_id]
+    counts = [(n or {}).get("violations", {}) for n in noted]
+    if counts and all(rule.name in c for c in counts for rule in rules):
+        return q.counted_report(load.spark, name, rules, counts)
+    return q.rule_report(name, df.where("sk <> -1"), rules)
+
+
 def build_master_geography(spark: SparkSession, provinces_csv: str, localities_csv: str, target_csv: str) -> DataFrame:
     """Build the master list from two delimited files, write it as CSV and return it."""
     from surestar.sources.feeds import read_csv_any_encoding, write_csv

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,9 @@ from surestar.operators.rules import Rule
 from surestar.plans import facts
 from surestar.queries.base import Query
 from surestar.queries.star import Star, sql_on_star
-from surestar.schemas import CLAIM_KEYS, DIMENSIONS, FOREIGN_KEYS, POLICY_KEYS, constraints
+from surestar.schemas import CLAIM_KEYS, DIMENSIONS, FACTS, FOREIGN_KEYS, POLICY_KEYS, constraints
 from surestar.session import materialise
+from surestar.sources.audit import observe_rows
 
 _NATURAL_KEYS = {
     "dim_agent": "agent_id", "dim_adjuster": "adjuster_id", "dim_item": "item_id", "dim_date": "date_id",
@@ -19,48 +22,52 @@ _NATURAL_KEYS = {
 }
 
 
-def star_tables(star: Star) -> dict[str, DataFrame]:
-    """All tables of the star; the facts, which every rule reads again, are written once, with their amounts uncast."""
+def star_tables(star: Star, rules: Mapping[str, Sequence[Rule]] | None = None) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """All tables of the star, and the reports of the ``rules`` on facts.
+
+    The facts are written once, with their amounts uncast, and their rules are counted meanwhile.
+    """
     star.prepare(*DIMENSIONS)
-    policies = materialise(star.checked_policies())
+    reports = []
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        checked = (rules or {}).get(name)
+        if not checked:
+            return materialise(df)
+        df, seen = observe_rows(df, *q.rule_counters(checked))
+        table = materialise(df)
+        reports.append(q.counted_report(star.spark, name, checked, [q.violations(checked, seen.get)]))
+        return table
+
+    policies = written("fact_policy", star.checked_policies())
     ids = star.curated["claims"].select(F.col("id_parte").alias("claim_id"))
-    claims = materialise(facts.number_new(star.new_claims(facts.as_stored(policies, "fact_policy")), "claim_id", ids=ids))
-    return {**{name: star.dim(name) for name in DIMENSIONS}, "fact_policy": policies, "fact_claim": claims}
+    claims = written("fact_claim", facts.number_new(star.new_claims(facts.as_stored(policies, "fact_policy")), "claim_id", ids=ids))
+    return {**{name: star.dim(name) for name in DIMENSIONS}, "fact_policy": policies, "fact_claim": claims}, reports
 
 
 def dq_rules(spark: SparkSession, d: str) -> DataFrame:
     """NOT NULL, range, domain, length and overflow rules; members with key -1 are exempt."""
-    tables = star_tables(Star(spark, d))
-    reports = []
-    for name, df in tables.items():
-        rules = constraints(name, amount_order=True)
-        if name == "fact_claim":
-            rules = [*rules, Rule("open_date <= close_date", F.col("_dates_ok"))]
-        reports.append(q.rule_report(name, df.where("sk <> -1"), rules))
-    return q.combine(reports)
+    rules = {name: constraints(name, amount_order=True) for name in (*DIMENSIONS, *FACTS)}
+    rules["fact_claim"] = [*rules["fact_claim"], Rule("open_date <= close_date", F.col("_dates_ok"))]
+    tables, reports = star_tables(Star(spark, d), {name: rules[name] for name in FACTS})
+    return q.combine([*[q.rule_report(name, tables[name].where("sk <> -1"), rules[name]) for name in DIMENSIONS], *reports])
 
 
 def dq_foreign_keys(spark: SparkSession, d: str) -> DataFrame:
     """Against parents that lack every tenth member."""
-    tables = star_tables(Star(spark, d))
+    tables, _ = star_tables(Star(spark, d))
     parents = {name: df.where("sk % 10 <> 3") for name, df in tables.items()}
     return q.combine([q.foreign_key_report(tables[fk.table], fk, parents[fk.parent]) for fk in FOREIGN_KEYS])
 
 
 def dq_report(spark: SparkSession, d: str) -> DataFrame:
     """Uniqueness of keys in tables that hold some rows twice, missed lookups, null keys and overpaid claims."""
-    tables = star_tables(Star(spark, d))
-    policies, claims = tables["fact_policy"], tables["fact_claim"]
+    tables, reports = star_tables(Star(spark, d), {
+        "fact_policy": [*q.lookups_found(POLICY_KEYS), q.no_null_in([*POLICY_KEYS, "premium", "insured_sum"])],
+        "fact_claim": [*q.lookups_found(CLAIM_KEYS), q.not_null("close_date_sk"), Rule("paid <= insured sum", ~facts.is_overpaid())],
+    })
     twice = {name: df.unionByName(df.where("sk % 5 = 2")) for name, df in tables.items()}
-    reports = [q.unique_report(name, df, "sk") for name, df in twice.items()]
-    reports += [q.unique_report(name, twice[name], key) for name, key in _NATURAL_KEYS.items()]
-    reports += [
-        q.lookup_miss_report("fact_policy", policies, POLICY_KEYS),
-        q.lookup_miss_report("fact_claim", claims, CLAIM_KEYS),
-        q.any_null_report("fact_policy", policies, [*POLICY_KEYS, "premium", "insured_sum"]),
-        q.rule_report("fact_claim", claims, [q.not_null("close_date_sk")]),
-        q.rule_report("fact_claim", facts.overpaid(claims), [Rule("paid <= insured sum", ~F.col("is_overpaid"))]),
-    ]
+    reports += [q.unique_report(name, df, "sk", *[k for k in [_NATURAL_KEYS.get(name)] if k]) for name, df in twice.items()]
     return q.combine(reports)
 
 

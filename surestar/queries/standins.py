@@ -175,7 +175,7 @@ SELECT 'C' || CAST(c_custkey AS STRING) AS id_cliente, CASE WHEN c_custkey % 13
        CASE WHEN c_custkey % 29 <> 1 THEN r_name END AS provincia, n_name || '.' AS localidad,
        CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Empleado' WHEN 'MACHINERY' THEN 'Jubilado' ELSE 'Other' END
        AS situacion_laboral,
-       CASE c_custkey % 3 WHEN 0 THEN 'Joven' WHEN 1 THEN 'Adulto' ELSE 'Mayor' END AS segmento_persona,
+       CASE WHEN c_custkey % 67 = 4 THEN 'Senior' WHEN c_custkey % 3 = 0 THEN 'Joven' WHEN c_custkey % 3 = 1 THEN 'Adulto' ELSE 'Mayor' END AS segmento_persona,
        CASE c_custkey % 2 WHEN 0 THEN 'M' ELSE 'F' END AS sexo
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
 """,
@@ -211,7 +211,8 @@ SELECT 'E' || CAST(event_id AS STRING) AS id_parte,
        CASE WHEN event_id % 60 = 1 THEN 'X' || CAST(user_id AS STRING)
             WHEN event_id % 25 <> 0 THEN 'C' || CAST(user_id AS STRING) END AS id_receptor_pago,
        CASE WHEN event_id % 53 = 5 THEN DATE '1990-01-01' ELSE CAST(ts AS DATE) END AS fecha_apertura,
-       CASE WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 30 AS INT) END AS fecha_cierre,
+       CASE WHEN event_id % 83 = 7 THEN CAST(ts AS DATE) - 2
+            WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) + CAST(event_id % 30 AS INT) END AS fecha_cierre,
        CAST(value AS DECIMAL(20,2)) AS monto_reclamado,
        CASE WHEN event_id % 71 <> 3 THEN upper(event_type) END AS tipo_siniestro
 FROM {events}

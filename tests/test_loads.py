@@ -148,12 +148,13 @@ def test_parts_without_rows(spark, tmp_path):
     store.release()
 
 
-def test_loads_do_not_scan_for_keys(spark, tmp_path, monkeypatch):
+def test_loads_do_not_scan_for_keys_or_rules(spark, tmp_path, monkeypatch):
     def refuse(*args):
         raise AssertionError("keys are scanned")
 
     monkeypatch.setattr(job, "max_key", refuse)
     monkeypatch.setattr(job.scd, "max_key", refuse)
+    monkeypatch.setattr(job.q, "rule_report", refuse)  # rules are counted while tables are written
     feeds, warehouse = write_feeds(tmp_path / "feeds"), str(tmp_path / "wh")
     for run, day in (("r1", DAY), ("r2", DAY + dt.timedelta(1)), ("r1", DAY + dt.timedelta(2))):
         audit = {r["step"]: r for r in job.full_load(spark, feeds, warehouse, day, run).collect()}
@@ -167,6 +168,13 @@ def test_loads_do_not_scan_for_keys(spark, tmp_path, monkeypatch):
         assert {n["rows"] for n in noted.values()} == {rows.count(), 0} and all(n["buckets"] == [key, 16] for n in noted.values())
     report = {r["rule"]: r["violations"] for r in store.read_appended("dq_report").collect() if ": keys " in r["rule"]}
     assert len(report) == 6 and not any(report.values())
+    for name in (*schemas.DIMENSIONS, *schemas.FACTS):
+        rules = job.report_rules(name)
+        rows = store.read_part(name, "r2", schemas.FACTS[name]) if name in schemas.FACTS else store.read(name).where("sk <> -1")
+        noted = store.part_notes(name)["r2"] if name in schemas.FACTS else store.notes(name)
+        assert noted["violations"] == q.violations(rules, rows.agg(*q.rule_counters(rules)).first().asDict()), name
+    missed = {n: v for n, v in store.part_notes("fact_policy")["r1"]["violations"].items() if v}
+    assert missed.get("plan_sk found") and missed.get("item_sk found")
     assert not [n for n in spark.catalog.listTables() if n.name.startswith("surestar_") and n.tableType != "EXTERNAL"]
 
 
