@@ -30,8 +30,6 @@ KINDS = len(TABLE_BITS)
 OFFSETS = tuple(int(x) for x in np.cumsum([0, *[1 << b for b in TABLE_BITS]]))
 SLOTS, SEGMENT = OFFSETS[-1], 1 << 16
 GATES, STEPS = 16, 32
-PRIOR = np.array([0.60, 0.25, 0.15])  # of the experts: all words, this text, spelling
-PATIENCE = 10.0  # words of evidence that the prior is worth
 BLOCKS = np.cumsum([32, 32, 64, 128, 256])  # ends of the blocks of a text between which its mix is learned, then every 512 bytes
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _A_INVERSE = np.uint64(pow(int(_A), -1, 1 << 64))
@@ -280,22 +278,6 @@ def fit_mixer(texts: DataFrame, counts: np.ndarray, rate: float = 0.3) -> Mixer:
     return Mixer.of(vector)
 
 
-def expert_weights(known: np.ndarray, local: np.ndarray, spelling: np.ndarray, looked_up: np.ndarray) -> np.ndarray:
-    """Weights of the three experts before each word of a text, from the words before it; ``score_texts`` doesn't mix words any more.
-
-    ``known``, ``local`` and ``spelling`` are the probabilities the experts gave. Where ``looked_up`` is false only ``local`` is known: a
-    word that the text has not had yet counts for the other two alike, one that it has had for the text.
-    """
-    shares = PRIOR[:, None] * np.stack([known, local, spelling])
-    guess = np.where(local > 0, np.array([[0.0], [1.0], [0.0]]), np.array([[0.5], [0.0], [0.5]]))
-    with np.errstate(invalid="ignore", divide="ignore"):
-        shares = np.where(looked_up & (shares.sum(0) > 0), shares / shares.sum(0), guess)
-    past = np.cumsum(shares, axis=1) - shares
-    weights = (PRIOR[:, None] * PATIENCE + past) / (PATIENCE + np.arange(len(known)))
-    weights[1, :1] = 0.0  # at the first word the text says nothing
-    return weights / weights.sum(0)
-
-
 def frequent_words(vocabulary: DataFrame, most: int) -> Column:
     """Condition that holds for at most ``most`` words, the most frequent ones, found from a histogram of the counts.
 
@@ -318,7 +300,7 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
 
     ``training`` chooses the rows that the model learns from. Tokens are lower-case words and one end per text; null is the
     empty text, which has its end only. Without training rows all contexts are empty. Scores are log10 probabilities; ``score`` is that
-    of all bytes of the text by the mixer and doesn't depend on ``frequent``. Repeated rows are scored alike.
+    of all bytes of the text by the mixer and doesn't depend on ``frequent``; ``bits_per_byte`` is over the bytes that were coded, the end among them. Repeated rows are scored alike.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", lower_ascii(F.col("text")).alias("text"), training.alias("training"))
@@ -347,11 +329,11 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
             slots, bits, owner = spelled([b" ".join(tokens) for tokens in split])
             scores = mixer.score(mixed, slots, bits, owner, len(pdf))
             out = []
-            for text, tokens in zip(pdf.word, split, strict=True):
+            for tokens in split:
                 c = np.array([known.get(w, 0) for w in tokens], np.float64)
                 base = np.log10((c[c > 0] + 1) / floor).sum() + np.log10((ends + 1) / floor)
                 out.append((
-                    len(tokens) + 1, len(text.encode("utf-8", "surrogatepass")), int((c > 0).sum()) + (ends > 0), float(base),
+                    len(tokens) + 1, sum(map(len, tokens)) + max(1, len(tokens)), int((c > 0).sum()) + (ends > 0), float(base),
                     [w for w, x in zip(tokens, c, strict=True) if not x],
                 ))
             made = pd.DataFrame(out, columns=["n_tokens", "n_bytes", "n_known", "base", "rare"]).assign(score=scores)
@@ -369,5 +351,5 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
     return both.select(
         F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_tokens", (F.col("n_known") + F.coalesce("known2", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), "score",
-        (-F.col("score") * F.lit(float(np.log2(10))) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+        (-F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes")).alias("bits_per_byte"),
     )

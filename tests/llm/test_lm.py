@@ -67,16 +67,6 @@ def test_spelling_is_a_probability_and_learns():
     assert np.allclose(lm.Mixer.of(mixer.vector()).table(counts), table)
 
 
-def test_expert_weights_use_the_past_only():
-    rng = np.random.default_rng(1)
-    a, b, c = rng.random((3, 30))
-    known = rng.random(30) < 0.7
-    whole = lm.expert_weights(a, b, c, known)
-    assert np.allclose(whole.sum(0), 1) and whole[1, 0] == 0
-    for n in (1, 7, 20):
-        assert np.allclose(lm.expert_weights(a[:n], b[:n], c[:n], known[:n]), whole[:, :n])
-
-
 def test_query(spark, folder):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     out = QUERIES["op2_lm_score"](spark, folder).collect()
