@@ -1,281 +1,334 @@
 """Language-model scoring by online logistic context mixing over the bytes of whole texts.
 
-A text is its lower-case words, joined by single spaces, and an end mark. It is coded bit by bit: hashed contexts with the bits of
-the byte so far each have counts of zeros and ones. The contexts are the last one to five bytes, whatever words they are in, the
-word so far, the word so far with the word before it, and the byte that followed the last five bytes where this text had them
-last, with how often in a row such a guess was right. The log odds of the counts are mixed with weights chosen by a gate (how often the
-context was seen), and an adaptive map refines the mixed probability. Within each text the share of every context in the mix
-is learned online, block by block, so each byte is predicted from the past only.
-
-The corpus is gathered by Spark: the counts of all bytes of all training texts and the mixing weights of every partition are summed by
-shuffles. Tables of a fixed size are broadcast: the hashed counts, and the counts of the ``frequent`` most common words, which only
-``n_known`` and ``base_score`` use; other words are looked up for them by a join.
+A text is its lower-case words, joined by single spaces, and an end mark. It is coded bit by bit. Four hashed contexts predict each
+bit together with the bits of the byte so far: the last two, four and six bytes, whatever words they are in, and the byte that followed the last
+five bytes where they stood last, with how often in a row such a guess was right. A context's counts of zeros and ones give log odds, weighted by a gate (how often the context was seen). A second set of weights, gated by the place of
+the bit in its byte, mixes the contexts and is refined online within each text, block by block, from the bits already coded.
+
+Texts of any length are coded in windows of ``WINDOW`` bytes: contexts start afresh in each, the mix goes on, so memory doesn't grow
+with a text. A byte falls into one cell for its upper and one for its lower half in each context; the counts of all its bits are
+sums of cells. The corpus is gathered by Spark in one pass: cells and word counts of all training texts are summed by shuffles. The gate weights
+are fitted on the summed cells, so on every training bit. Tables of a fixed size are broadcast: the weighted log odds, and the counts
+of the ``frequent`` most common words, which only ``n_known`` and ``base_score`` use; other words are looked up for them by a join.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surestar.llm.common import lower_ascii, store
-
-ORDERS = (1, 2, 3, 5)
-TABLE_BITS = (16, 18, 19, 20, 20, 20, 16)  # of the orders, the word, the word with the one before, the guess from the text
-KINDS = len(TABLE_BITS)
-OFFSETS = tuple(int(x) for x in np.cumsum([0, *[1 << b for b in TABLE_BITS]]))
-SLOTS, SEGMENT = OFFSETS[-1], 1 << 16
-GATES, STEPS = 16, 32
-BLOCKS = np.cumsum([32, 32, 64, 128, 256])  # ends of the blocks of a text between which its mix is learned, then every 512 bytes
-_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_A_INVERSE = np.uint64(pow(int(_A), -1, 1 << 64))
-
-
-def _word_contexts(wide: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the word so far, and of it and the word before, for each byte."""
-    n = len(wide)
-    at = np.arange(n)
-    opens = np.ones(n, bool)
-    opens[1:] = (wide[:-1] == 32) | (place[1:] == 0)
-    begin = np.maximum.accumulate(np.where(opens, at, 0))
-    powers = np.cumprod(np.full(n, _A))
-    sums = np.cumsum((wide + np.uint64(1)) * powers) - (wide + np.uint64(1)) * powers  # of the bytes before
-    back = np.cumprod(np.full(n, _A_INVERSE))
-    word = (sums - sums[begin]) * back[begin]
-    before = np.where(place[begin] > 0, word[begin - 1] + np.uint64(1), np.uint64(0))
-    return word, word * _B ^ (before * _C + (before >> np.uint64(31)))
-
-
-def _guesses(flat: np.ndarray, owner: np.ndarray, place: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """For each byte the one that followed the same last bytes of this text before, with the number of right guesses up to here."""
-    n = len(flat)
-    at, hashed = np.arange(n), (context * _A ^ context >> np.uint64(29)) * _B >> np.uint64(32)
-    bits = n.bit_length()
-    if int(owner[-1]).bit_length() + bits <= 32:
-        packed = np.sort(owner.astype(np.uint64) << np.uint64(32 + bits) | hashed << np.uint64(bits) | at.astype(np.uint64))
-        order = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
-    else:
-        order = np.lexsort((at, hashed, owner))
-    before, after = order[:-1], order[1:]
-    same = (context[before] == context[after]) & (owner[before] == owner[after]) & (place[before] >= ORDERS[-1])
-    last = np.full(n, -1)
-    last[after[same]] = before[same]
-    guess = flat[last]
-    wrong = np.maximum.accumulate(np.where((last >= 0) & (guess == flat), -1, at))
-    run = np.zeros(n, np.int64)
-    run[1:] = at[:-1] - wrong[:-1]
-    return np.where(last >= 0, 1 + guess + 256 * np.minimum(run, 15), 0).astype(np.uint64)
-
-
-def spelled(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All bits of the texts, each followed by an end mark: the slot of each context and bit, the bits, and the text of each byte."""
-    flat = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    wide, context, contexts, done = flat.astype(np.uint64), np.zeros(len(flat), np.uint64), [], 0
-    for order in ORDERS:
-        while done < order:  # one byte further back, where the text reaches so far
-            done += 1
-            earlier = np.zeros(len(flat), np.uint64)
-            earlier[done:] = wide[:-done] + np.uint64(1)
-            earlier[place < done] = 0
-            context = context | (earlier << np.uint64(9 * (done - 1)))
-        contexts.append(context)
-    contexts += [*_word_contexts(wide, place), _guesses(flat, owner, place, context)]
-    step = np.arange(4, dtype=np.uint8)
-    halves = np.stack([flat >> 4, flat & 15])
-    nodes = (np.uint8(1) << step) | (halves[:, :, None] >> (np.uint8(4) - step))
-    bits = ((halves[:, :, None] >> (np.uint8(3) - step)) & np.uint8(1)).transpose(1, 0, 2).reshape(-1, 8).astype(np.int32)
-    slots = np.empty((KINDS, len(flat), 8), np.int32)
-    upper = (wide >> np.uint64(4)) + np.uint64(1)
-    for k, context in enumerate(contexts):  # the bits of half a byte lie side by side
-        hashed = (context * _A) ^ (context >> np.uint64(29)) * _B
-        for half, mixed in enumerate((hashed, hashed + upper * _C)):
-            mixed = (mixed ^ mixed >> np.uint64(32)) * _A
-            group = (mixed >> np.uint64(68 - TABLE_BITS[k])).astype(np.int32) * 16 + OFFSETS[k]
-            np.add(group[:, None], nodes[half], out=slots[k, :, 4 * half : 4 * half + 4])
-    return slots, bits, owner
+from surestar.llm.common import store
 
+GROUP_BITS = (15, 16, 16, 13)  # of the last two, four and six bytes, and of the guess
+KINDS = len(GROUP_BITS)
+OFFSETS = tuple(int(x) for x in np.cumsum([0, *[16 << b for b in GROUP_BITS]]))
+CELLS, SEGMENT = OFFSETS[-1], 1 << 16
+WINDOW, BATCH = 1 << 16, 1 << 17  # bytes of a text coded with the same contexts, least bytes of a batch
+GATES, STEPS, START = 16, 12, 0.3  # gates, steps of the log odds to one, weight of each context when a text begins
+BLOCKS = np.array([32 << i for i in range(11)])  # ends of the blocks of a text after which its mix is refined, then each window
+PRIOR, CURVE, BOUND = 60.0, 10.0, 10.0  # the mix moves by push / (PRIOR + CURVE * spread); log odds stay within the bound
+LONG_WORD = 64  # words of more bytes are never among the frequent ones
 
-def log_odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds of a one from counts, and the gate of each slot."""
-    odds = np.log((ones + np.float32(0.3)) / (zeros + np.float32(0.3)))
-    return odds, np.minimum(GATES - 1, 2 * np.log2(1 + zeros + ones)).astype(np.uint8)
-
+PLACE_BITS = (2 * BATCH).bit_length() - 1
+_ODD, _PLACES = np.uint64(0x9E3779B97F4A7C15), np.uint64((1 << PLACE_BITS) - 1)
+_A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
+_AT = np.arange(2 * BATCH, dtype=np.int32)
+_NODES = (1 << np.arange(4)) | (np.arange(16)[:, None] >> (4 - np.arange(4)))  # of the four bits of half a byte
+_SIGNS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.float32) * 2 - 1
 
-def without_one(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``log_odds`` of every slot as if a zero, and as if a one, had not been counted; at twice the slot plus the bit."""
-    fewer = np.maximum(counts - 1, 0)
-    made = [log_odds(fewer[0], counts[1]), log_odds(counts[0], fewer[1])]
-    return np.stack([m[0] for m in made], 1).ravel(), np.stack([m[1] for m in made], 1).ravel()
 
+def normalised(text: bytes) -> tuple[list[bytes], bytes]:
+    """The lower-case words of a text, and what is coded of it."""
+    words = text.lower().split()
+    return words, b" ".join(words) + b"\n"
 
-@dataclass
-class Mixer:
-    """Weights by context and gate, a bias by bit of the byte, and the counts of the adaptive map by bit and step."""
 
-    weights: np.ndarray
-    bias: np.ndarray
-    refined: np.ndarray
+def cut(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Windows of the texts with the place of each one's text in the list, as batches of bounded size.
 
-    @classmethod
-    def fresh(cls) -> Mixer:
-        weights = np.tile(np.linspace(0.03, 0.4, GATES), (KINDS, 1))
-        centre = 1 / (1 + np.exp(-(np.arange(STEPS) - (STEPS - 1) / 2) / 2))
-        return cls(weights, np.zeros(8), np.stack([np.tile(1 - centre, (8, 1)), np.tile(centre, (8, 1))]) * 4)
-
-    def table(self, counts: np.ndarray) -> np.ndarray:
-        """What each slot adds to the mixed log odds."""
-        odds, gates = log_odds(counts[0], counts[1])
-        for k in range(KINDS):
-            own = slice(OFFSETS[k], OFFSETS[k + 1])
-            odds[own] *= self.weights[k].astype(np.float32)[gates[own]]
-        return odds
-
-    def refine(self, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of a one after the adaptive map, and the cells of the map."""
-        steps = np.clip(np.rint(mixed * 2 + (STEPS - 1) / 2), 0, STEPS - 1).astype(np.int32)
-        cells = np.arange(8, dtype=np.int32)[None, :] * STEPS + steps
-        share = (self.refined[1] / self.refined.sum(0)).astype(np.float32).ravel()
-        return 0.5 / (1 + np.exp(-mixed)) + 0.5 * share[cells], cells
-
-    def learn(self, odds: np.ndarray, gates: np.ndarray, slots: np.ndarray, bits: np.ndarray, rate: float) -> None:
-        """One step on the bits of a batch of texts; ``odds`` and ``gates`` are those of ``without_one``."""
-        mixed, inputs, chosen = np.tile(self.bias.astype(np.float32), (len(bits), 1)), [], []
-        for k in range(KINDS):
-            at = slots[k] * 2 + bits
-            inputs.append(odds.take(at))
-            chosen.append(gates.take(at))
-            mixed += self.weights[k].astype(np.float32).take(chosen[k]) * inputs[k]
-        np.clip(mixed, -15, 15, out=mixed)
-        p = 1 / (1 + np.exp(-mixed))
-        error, spread = bits - p, p * (1 - p)
+    Windows of one text come in order, and only one of them lies in a batch.
+    """
+    places, windows, size = [], [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, len(text), WINDOW):
+            if at or size + min(len(text), WINDOW) > BATCH:
+                yield places, windows
+                places, windows, size = [], [], 0
+            places.append(i)
+            windows.append(text[at : at + WINDOW])
+            size += len(windows[-1])
+    if windows:
+        yield places, windows
+
+
+def _guesses(flat: np.ndarray, owner: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each byte the one that followed the same five bytes of this window before, with the number of right guesses up to here."""
+    n, at = len(flat), _AT[: len(flat)]
+    key = (owner.astype(np.uint64) << np.uint64(32) | last) * _ODD  # no two windows and hashes of five bytes have one product
+    key &= ~_PLACES
+    key |= at.astype(np.uint64)
+    key.sort()
+    order = (key & _PLACES).astype(np.int32)
+    key >>= np.uint64(PLACE_BITS)
+    earlier = np.full(n, -1, np.int32)
+    earlier[order[1:]] = np.where(key[1:] == key[:-1], order[:-1], np.int32(-1))
+    guess, made = flat.take(earlier), earlier >= 0
+    wrong = np.maximum.accumulate(np.where((guess == flat) & made, np.int32(-1), at))
+    run = np.zeros(n, np.int32)
+    np.subtract(at[:-1], wrong[:-1], out=run[1:])
+    np.minimum(run, 15, out=run)
+    run <<= 8
+    run += guess
+    run += 1
+    run *= made
+    return run.view(np.uint32)
+
+
+def contexts(windows: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The hashed contexts of every byte of the windows, the bytes, the window of each byte and its place there."""
+    flat = np.frombuffer(b"".join(windows), np.uint8)
+    n, lengths = len(flat), np.fromiter(map(len, windows), np.int64, len(windows))
+    starts = np.cumsum(lengths) - lengths
+    owner = np.repeat(_AT[: len(windows)], lengths)
+    place = _AT[:n] - np.repeat(starts.astype(np.int32), lengths)
+    wide = flat.astype(np.uint32)
+    four = np.zeros(n, np.uint32)
+    for back in range(1, 5):
+        four[back:] |= wide[:-back] << np.uint32(8 * (back - 1))
+    for done in range(4):  # a window begins with zeros before it
+        four[starts[lengths > done] + done] &= np.uint32((1 << (8 * done)) - 1)
+    longer = [four * _A]
+    for back in (5, 6):
+        earlier = np.zeros(n, np.uint32)
+        earlier[back:] = wide[:-back] * _B
+        for done in range(back):
+            earlier[starts[lengths > done] + done] = 0
+        longer.append(longer[-1] * _C + earlier)
+    return [four & np.uint32(0xFFFF), four, longer[2], _guesses(flat, owner, longer[1])], flat, owner, place
+
+
+def halves(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Upper and lower half of each byte, and what the upper half adds to a hash."""
+    upper = (flat >> 4).astype(np.uint32)
+    return upper, (flat & np.uint8(15)).astype(np.uint32), (upper + np.uint32(1)) * _C
+
+
+def cells(kind: int, context: np.ndarray, half: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of the upper and the lower half of each byte in the table of one kind of context."""
+    shift, four = np.uint32(32 - GROUP_BITS[kind]), np.uint32(4)
+    hashed = context * _A
+    hashed ^= hashed >> np.uint32(15)
+    hashed *= _B
+    lower = hashed ^ half[2]
+    lower ^= lower >> np.uint32(13)
+    lower *= _A
+    for x, leaf in ((hashed, half[0]), (lower, half[1])):
+        x >>= shift
+        x <<= four
+        x |= leaf
+    return hashed, lower
+
+
+def count_cells(texts: list[bytes], totals: np.ndarray) -> None:
+    """Add the cells of all bytes of the texts to ``totals``."""
+    waiting: list[list[np.ndarray]] = [[] for _ in range(KINDS)]
+
+    def add() -> None:
+        for k, parts in enumerate(waiting):
+            if parts:
+                totals[OFFSETS[k] : OFFSETS[k + 1]] += np.bincount(np.concatenate(parts), minlength=16 << GROUP_BITS[k])
+                parts.clear()
+
+    size = 0
+    for _, windows in cut(texts):
+        found, flat, _, _ = contexts(windows)
+        half = halves(flat)
         for k in range(KINDS):
-            at, x = chosen[k].ravel(), inputs[k]
-            push = np.bincount(at, weights=(error * x).ravel(), minlength=GATES)
-            size = np.bincount(at, weights=(spread * x * x).ravel(), minlength=GATES)
-            self.weights[k] += rate * push / (size + 50)
-        self.bias += rate * error.sum(0) / (spread.sum(0) + 50)
-        _, cells = self.refine(mixed)
-        seen = np.bincount((cells * 2 + bits).ravel(), minlength=16 * STEPS).reshape(8, STEPS, 2)
-        self.refined += np.moveaxis(seen, 2, 0)
-
-    def vector(self) -> np.ndarray:
-        return np.concatenate([self.weights.ravel(), self.bias, self.refined.ravel()])
-
-    @classmethod
-    def of(cls, vector: np.ndarray) -> Mixer:
-        a, b = KINDS * GATES, KINDS * GATES + 8
-        return cls(vector[:a].reshape(KINDS, GATES), vector[a:b], vector[b:].reshape(2, 8, STEPS))
-
-    def score(self, table: np.ndarray, slots: np.ndarray, bits: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        """Log10 of the probability of each text, with a table made from the same weights.
-
-        Each text has a factor per context, 1 at first, that takes a step after each block of the text.
-        """
-        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        block = np.searchsorted(BLOCKS, place, "right") + np.maximum(0, place - BLOCKS[-1]) // 512
-        order = np.argsort(block, kind="stable")
-        inputs = np.stack([table.take(own) for own in slots[:, order]])
-        bits, owner = bits[order], owner[order]
-        factors, sizes, total = np.ones((n, KINDS), np.float32), np.zeros((n, KINDS), np.float32), np.zeros(n)
-        ends = np.cumsum(np.bincount(block))
-        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-            x, own, ones = inputs[:, begin:end], owner[begin:end], bits[begin:end]
-            mixed = np.tile(self.bias.astype(np.float32), (end - begin, 1))
-            for k in range(KINDS):
-                mixed += factors[own, k][:, None] * x[k]
-            np.clip(mixed, -15, 15, out=mixed)
-            p, _ = self.refine(mixed)
-            gained = np.log10(np.where(ones == 1, p, 1 - p)).sum(1, dtype=np.float64)
-            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            texts = own[first]
-            total[texts] += np.add.reduceat(gained, first)
-            if end == len(owner):
-                break
-            p = 1 / (1 + np.exp(-mixed))
-            error, spread = ones.astype(np.float32) - p, p * (1 - p)
-            for k in range(KINDS):
-                push = np.add.reduceat(np.einsum("ij,ij->i", error, x[k]), first)
-                sizes[texts, k] += np.add.reduceat(np.einsum("ij,ij,ij->i", spread, x[k], x[k]), first)
-                factors[texts, k] += push / (sizes[texts, k] + 50)
-        return total
+            waiting[k] += cells(k, found[k], half)
+        size += len(flat)
+        if size >= 4 * BATCH:
+            add()
+            size = 0
+    add()
 
 
-def _batches(frames: Iterator[pd.DataFrame], size: int = 1000, most: int = 200_000) -> Iterator[pd.DataFrame]:
-    """Cut frames into pieces of few texts and bytes, so that memory stays bounded for long texts too."""
-    for pdf in frames:
-        total = pdf.word.map(len).cumsum() // most
-        for _, group in pdf.groupby(total, sort=False):
-            for at in range(0, len(group), size):
-                yield group.iloc[at : at + size]
+def node_counts(leaves: np.ndarray) -> np.ndarray:
+    """Zeros and ones seen at the nodes 1 to 15 of every group, from the counts of its 16 cells; 2 x groups x 16."""
+    out, level = np.zeros((2, *leaves.shape), np.float32), leaves.astype(np.float32)
+    for depth in (3, 2, 1, 0):
+        pairs = level.reshape(len(leaves), -1, 2)
+        out[:, :, 1 << depth : 2 << depth] = np.moveaxis(pairs, 2, 0)
+        level = pairs.sum(2)
+    return out
 
 
-def spelling_counts(texts: DataFrame) -> np.ndarray:
-    """Zeros and ones seen in each slot over all bytes of ``texts`` (binary ``word``, a text each); 2 x ``SLOTS``.
+def log_odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of a one from counts, and the gate of each node."""
+    odds = np.log((ones + np.float32(0.3)) / (zeros + np.float32(0.3)))
+    return odds, np.minimum(GATES - 1, 2 * np.log2(1 + zeros + ones)).astype(np.uint8)
 
-    Every task sums its texts in tables of that fixed size and hands them on in segments, which are summed by a shuffle.
-    """
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((2, SLOTS), np.uint32)
-        for pdf in _batches(frames):
-            slots, bits, _ = spelled(pdf.word.tolist())
+def gate_weights(zeros: np.ndarray, ones: np.ndarray, rounds: int = 8) -> np.ndarray:
+    """Weight per gate that predicts every counted bit best from the odds of its node without that bit."""
+    (up, high), (down, low) = log_odds(zeros, np.maximum(ones - 1, 0)), log_odds(np.maximum(zeros - 1, 0), ones)
+    x, gate, n = np.concatenate([up, -down]), np.concatenate([high, low]), np.concatenate([ones, zeros])
+    used = (n > 0) & (x != 0)
+    x, gate, n, weights = x[used], gate[used], n[used], np.full(GATES, 0.5)
+    for _ in range(rounds):
+        wrong = 1 / (1 + np.exp(np.clip(weights[gate] * x, -30, 30)))
+        push = np.bincount(gate, weights=n * wrong * x, minlength=GATES)
+        size = np.bincount(gate, weights=n * wrong * (1 - wrong) * x * x, minlength=GATES)
+        weights = np.clip(weights + push / (size + 50), 0, 2)
+    return weights
+
+
+def odds_tables(counts: np.ndarray) -> list[np.ndarray]:
+    """Weighted log odds of every node in ``STEPS`` to one, a table per kind of context; groups x 16."""
+    tables = []
+    for k in range(KINDS):
+        zeros, ones = node_counts(counts[OFFSETS[k] : OFFSETS[k + 1]].reshape(-1, 16))
+        weights = gate_weights(zeros.ravel(), ones.ravel()).astype(np.float32)
+        odds, gates = log_odds(zeros, ones)
+        tables.append(np.clip(np.rint(odds * weights[gates] * STEPS), -127, 127).astype(np.int8))
+    return tables
+
+
+def paths(tables: list[np.ndarray]) -> list[np.ndarray]:
+    """For each cell the log odds at the four nodes on the way to it, in ``STEPS`` to one, as one value of four bytes."""
+    return [np.ascontiguousarray(t[:, _NODES].reshape(-1, 4)).view(np.uint32).ravel() for t in tables]
+
+
+def _inputs(way: np.ndarray, kind: int, context: np.ndarray, half: tuple) -> np.ndarray:
+    """Log odds of the eight bits of each byte, in steps."""
+    both = np.empty((len(context), 2), np.uint32)
+    both[:, 0], both[:, 1] = map(way.take, cells(kind, context, half))
+    return both.view(np.int8).astype(np.float32).reshape(-1, 8)
+
+
+class Mix:
+    """What is carried on within ``n`` texts: the weights, how far they are fixed, the bytes coded, the natural log of the probability."""
+
+    def __init__(self, n: int):
+        self.weights = np.full((KINDS, n, 8), START / STEPS, np.float32)
+        self.bias = np.zeros((n, 8), np.float32)
+        self.spread = np.zeros((n, 8), np.float32)
+        self.coded = np.zeros(n, np.int64)
+        self.score = np.zeros(n)
+
+    def add(self, ways: list[np.ndarray], texts: np.ndarray, windows: list[bytes]) -> None:
+        """Code one window of each of some texts, block by block; ``ways`` are ``paths``."""
+        found, flat, owner, place = contexts(windows)
+        start = self.coded[texts]
+        block = np.searchsorted(BLOCKS, place if not start.any() else place + start.take(owner), "right").astype(np.uint8)
+        order = np.argsort(block, kind="stable").astype(np.int32)
+        flat, owner, found = flat.take(order), owner.take(order), [c.take(order) for c in found]
+        ends = np.cumsum(np.bincount(block))
+        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            # a block of one text is never split: its bytes are all predicted before the weights move
+            news = np.flatnonzero(np.diff(owner[begin:end], prepend=-1))
+            if len(news):
+                self._blocks(ways, texts, flat[begin:end], owner[begin:end], [c[begin:end] for c in found], news)
+        self.coded[texts] += np.fromiter(map(len, windows), np.int64, len(windows))
+
+    def _blocks(self, ways: list, texts: np.ndarray, flat: np.ndarray, owner: np.ndarray, found: list, news: np.ndarray) -> None:
+        own = texts[owner.take(news)]
+        push = np.zeros((KINDS + 2, len(own), 8), np.float32)
+        bounds = np.append(news, len(flat))
+        step = 1 << 12  # rows at a time, so that they stay in the processor's cache
+        for a in range(0, len(flat), step):
+            b = min(a + step, len(flat))
+            i, j = np.searchsorted(news, a, "right") - 1, np.searchsorted(news, b, "left")
+            some, marks = own[i:j], np.maximum(news[i:j] - a, 0)
+            long = np.minimum(bounds[i + 1 : j + 1], b) - np.maximum(bounds[i:j], a)
+            half = halves(flat[a:b])
+            inputs = [_inputs(ways[k], k, found[k][a:b], half) for k in range(KINDS)]
+            mixed = np.repeat(self.bias[some], long, axis=0)
+            for k in range(KINDS):
+                mixed += np.repeat(self.weights[k, some], long, axis=0) * inputs[k]
+            np.clip(mixed, -BOUND, BOUND, out=mixed)
+            signs = _SIGNS.take(flat[a:b], axis=0)
+            mixed *= signs
+            np.negative(mixed, out=mixed)
+            odds = np.exp(mixed, out=mixed)
+            whole = odds + np.float32(1)
+            wrong = odds / whole
+            self.score[some] -= np.add.reduceat(np.log(whole), marks).sum(1, dtype=np.float64)
+            error = wrong * signs
             for k in range(KINDS):
-                own = slice(OFFSETS[k], OFFSETS[k + 1])
-                both = np.bincount(((slots[k] - OFFSETS[k]) * 2 + bits).ravel(), minlength=2 << TABLE_BITS[k])
-                totals[:, own] += both.reshape(-1, 2).T.astype(np.uint32)
-        for at in range(0, SLOTS, SEGMENT):
-            piece = np.ascontiguousarray(totals[:, at : at + SEGMENT])
+                push[k, i:j] += np.add.reduceat(error * inputs[k], marks)
+            push[KINDS, i:j] += np.add.reduceat(error, marks)
+            push[KINDS + 1, i:j] += np.add.reduceat(wrong / whole, marks)
+        self.spread[own] += push[KINDS + 1]
+        rate = np.float32(1) / (np.float32(PRIOR) + np.float32(CURVE) * self.spread[own])
+        for k in range(KINDS):
+            self.weights[k, own] += rate * push[k] / np.float32(STEPS**2)
+        self.bias[own] += rate * push[KINDS]
+
+
+def log10_scores(ways: list[np.ndarray], texts: list[bytes]) -> np.ndarray:
+    """Log10 of the probability of each normalised text."""
+    mix = Mix(len(texts))
+    for places, windows in cut(texts):
+        mix.add(ways, np.array(places), windows)
+    return mix.score / np.log(10)
+
+
+_GATHERED = pa.schema([("segment", pa.int32()), ("counts", pa.binary()), ("word", pa.binary()), ("c", pa.int64())])
+
+
+def gathered(texts: DataFrame, most: int = 200_000) -> DataFrame:
+    """One pass over ``texts`` (binary ``text``): each task's counts of cells, in segments, and of words, at most ``most`` of them held at once."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, words = np.zeros(CELLS, np.int64), Counter()
+
+        def counted() -> pa.RecordBatch:
+            none = [None] * len(words)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip((none, none, list(words), list(words.values())), _GATHERED.types, strict=True)], schema=_GATHERED
+            )
+
+        for batch in batches:
+            coded = []
+            for text in batch.column(0).to_pylist():
+                tokens, line = normalised(text)
+                words.update(tokens)
+                coded.append(line)
+                if len(words) > most:
+                    yield counted()
+                    words.clear()
+            count_cells(coded, totals)
+        if words:
+            yield counted()
+        for at in range(0, CELLS, SEGMENT):
+            piece = totals[at : at + SEGMENT]
             if piece.any():
-                yield pd.DataFrame({"segment": [at], "counts": [piece.tobytes()]})
+                yield pa.RecordBatch.from_pydict({"segment": [at], "counts": [piece.astype(np.uint32).tobytes()], "word": [None], "c": [None]}, _GATHERED)
 
-    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for pdf in frames:
-            for segment, part in zip(pdf.segment, pdf.counts, strict=True):
-                piece = np.frombuffer(part, np.uint32)
-                sums[segment] = sums.get(segment, 0) + piece.astype(np.uint64)
-        if sums:
-            yield pd.DataFrame({"segment": list(sums), "counts": [x.astype(np.float32).tobytes() for x in sums.values()]})
-
-    schema = "segment int, counts binary"
-    merged = texts.select("word").mapInPandas(count, schema).repartition("segment").mapInPandas(add, schema)
-    counts = np.zeros((2, SLOTS), np.float32)
-    for row in merged.collect():  # at most SLOTS / SEGMENT rows
-        piece = np.frombuffer(bytes(row.counts), np.float32).reshape(2, -1)
-        counts[:, row.segment : row.segment + piece.shape[1]] = piece
-    return counts
+    return texts.select("text").mapInArrow(gather, "segment int, counts binary, word binary, c long")
 
 
-def fit_mixer(texts: DataFrame, counts: np.ndarray, rate: float = 0.3) -> Mixer:
-    """Weights learned online over the texts of each partition and averaged by the number of bytes.
+def cell_counts(parts: DataFrame) -> np.ndarray:
+    """The segments that tasks have handed on, summed by a shuffle."""
 
-    ``texts`` are those of ``counts``; each bit is predicted without its own count.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(without_one(counts))
-
-    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mixer, seen = Mixer.fresh(), 0
-        for pdf in _batches(frames, most=50_000):
-            slots, bits, _ = spelled(pdf.word.tolist())
-            mixer.learn(*shared.value, slots, bits, rate / KINDS)
-            seen += len(bits)
-        if seen:
-            vector = mixer.vector()
-            yield pd.DataFrame({"place": np.arange(len(vector)), "value": vector, "bytes": float(seen)})
-
-    found = texts.select("word").mapInPandas(learn, "place int, value double, bytes double")
-    mean = found.groupBy("place").agg((F.sum(F.col("value") * F.col("bytes")) / F.sum("bytes")).alias("value"))
-    vector = Mixer.fresh().vector()
-    for row in mean.collect():  # one row per weight
-        vector[row.place] = row.value
-    return Mixer.of(vector)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for segment, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[segment] = sums.get(segment, 0) + np.frombuffer(part, np.uint32).astype(np.uint64)
+        for segment, total in sums.items():
+            yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "counts": [total.astype(np.float32).tobytes()]})
+
+    counts = np.zeros(CELLS, np.float32)
+    segments = parts.where("segment IS NOT NULL").select("segment", "counts")
+    for row in segments.repartition("segment").mapInArrow(add, "segment int, counts binary").collect():  # CELLS / SEGMENT rows at most
+        counts[row.segment : row.segment + SEGMENT] = np.frombuffer(row.counts, np.float32)
+    return counts
 
 
 def frequent_words(vocabulary: DataFrame, most: int) -> Column:
@@ -303,46 +356,50 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
     of all bytes of the text by the mixer and doesn't depend on ``frequent``; ``bits_per_byte`` is over the bytes that were coded, the end among them. Repeated rows are scored alike.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", lower_ascii(F.col("text")).alias("text"), training.alias("training"))
-    words = rows.where("training").select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word")).where("word != ''")
-    vocabulary = words.groupBy("word").agg(F.count("*").alias("c"))
-    vocabulary = store(vocabulary.select(F.col("word").cast("binary").alias("word"), "c"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), training.alias("training"))
+    learned = rows.where("training")
+    parts = store(gathered(learned))
+    vocabulary = store(parts.where("word IS NOT NULL").groupBy("word").agg(F.sum("c").alias("c")))
     total, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    ends = rows.where("training").count()
+    ends = learned.count()
     n, v = total + ends, kinds + (ends > 0)
 
-    learned = rows.where("training").select(F.regexp_replace(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")), " +", " ").cast("binary").alias("word"))
-    counts = spelling_counts(learned)
-    mixer = fit_mixer(learned, counts)
-    tables = spark.sparkContext.broadcast((mixer, mixer.table(counts)))
-    common = vocabulary.where(frequent_words(vocabulary, frequent)).toPandas()
+    tables = spark.sparkContext.broadcast(odds_tables(cell_counts(parts)))
+    common = vocabulary.where(F.octet_length("word") <= LONG_WORD)
+    common = common.where(frequent_words(common, frequent)).toPandas()  # so many words of so many bytes at most
     table = spark.sparkContext.broadcast(dict(zip(map(bytes, common.word), common.c.tolist(), strict=True)))
     floor = n + v + 1
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, (mixer, mixed) = table.value, tables.value
+        known, ways = table.value, paths(tables.value)
         key = TaskContext.get().partitionId() << 40
-        for pdf in _batches(f.rename(columns={"text": "word"}) for f in frames):
-            split = [text.encode("utf-8", "surrogatepass").split() for text in pdf.word]
-            slots, bits, owner = spelled([b" ".join(tokens) for tokens in split])
-            scores = mixer.score(mixed, slots, bits, owner, len(pdf))
-            out = []
-            for tokens in split:
+        for batch in batches:
+            texts, coded, out = batch.column(2).to_pylist(), [], []
+            for text in texts:
+                tokens, line = normalised(text)
                 c = np.array([known.get(w, 0) for w in tokens], np.float64)
-                base = np.log10((c[c > 0] + 1) / floor).sum() + np.log10((ends + 1) / floor)
-                out.append((
-                    len(tokens) + 1, sum(map(len, tokens)) + max(1, len(tokens)), int((c > 0).sum()) + (ends > 0), float(base),
-                    [w for w, x in zip(tokens, c, strict=True) if not x],
-                ))
-            made = pd.DataFrame(out, columns=["n_tokens", "n_bytes", "n_known", "base", "rare"]).assign(score=scores)
-            yield pd.concat([pdf[["id", "none"]].reset_index(drop=True), made], axis=1).assign(key=key + np.arange(len(pdf)))
-            key += len(pdf)
-
-    schema = "id long, none boolean, n_tokens long, n_bytes long, n_known long, base double, rare array<binary>, score double, key long"
-    keyed = rows.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
-    scored = store(keyed.mapInPandas(score, schema))
+                hits = c[c > 0]
+                base = np.log10((hits + 1) / floor).sum() + np.log10((ends + 1) / floor)
+                out.append((len(tokens) + 1, len(line), len(hits) + (ends > 0), base, [w for w in tokens if w not in known]))
+                coded.append(line)
+            made = dict(zip(("n_tokens", "n_bytes", "n_known", "base", "rare"), map(list, zip(*out, strict=True)), strict=True)) if out else {}
+            if made:
+                made |= {"score": log10_scores(ways, coded), "key": key + np.arange(len(out))}
+                arrays = [batch.column(0), batch.column(1), *(pa.array(made[f.name], f.type) for f in list(schema)[2:])]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+                key += len(out)
+
+    whole = [(name, pa.int64()) for name in ("n_tokens", "n_bytes", "n_known")]
+    schema = pa.schema([
+        ("id", pa.int64()), ("none", pa.bool_()), *whole, ("base", pa.float64()), ("rare", pa.list_(pa.binary())), ("score", pa.float64()),
+        ("key", pa.int64()),
+    ])
+    keyed = rows.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("none"), "text")
+    scored = store(keyed.mapInArrow(
+        score, "id long, none boolean, n_tokens long, n_bytes long, n_known long, base double, rare array<binary>, score double, key long"
+    ))
     rare = scored.select("key", F.explode("rare").alias("word")).join(vocabulary, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     added = rare.groupBy("key").agg(
         F.sum(F.log10((F.col("c") + 1) / F.lit(float(floor)))).alias("base2"), F.sum((F.col("c") > 0).cast("long")).alias("known2")

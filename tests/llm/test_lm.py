@@ -1,9 +1,9 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from surestar.llm import lm
@@ -45,26 +45,128 @@ def test_looking_words_up_changes_little(spark, folder):
         assert abs(r.score / all_known[r.doc_id].score - 1) < 0.2
 
 
-def test_spelling_is_a_probability_and_learns():
+def trained(texts):
+    counts = np.zeros(lm.CELLS, np.int64)
+    lm.count_cells(texts, counts)
+    return counts, lm.odds_tables(counts)
+
+
+def lines(*texts):
+    return [lm.normalised(t)[1] for t in texts]
+
+
+def test_it_is_a_probability_and_learns():
     rng = np.random.default_rng(0)
     parts = [b"ka", b"lu", b"mo", b"zi", b"xe"]
     words = sorted({b"".join(parts[k] for k in rng.integers(0, 5, rng.integers(2, 6))) for _ in range(900)})
-    train, held = words[::2], words[1::2]
-    slots, bits, _ = lm.spelled(train)
-    counts = np.bincount((slots * 2 + bits).ravel(), minlength=2 * lm.SLOTS).reshape(lm.SLOTS, 2).T.astype(np.float32)
-    mixer = lm.Mixer.fresh()
-    for _ in range(5):
-        mixer.learn(*lm.without_one(counts), slots, bits, 0.1)
-    table = mixer.table(counts)
-
-    def score(some):
-        slots, bits, owner = lm.spelled(some)
-        return mixer.score(table, slots, bits, owner, len(some))
-
-    assert -score(held).mean() < -score([w[::-1] for w in held]).mean() - 1
-    one_byte = score([bytes([b]) for b in range(256) if b not in (9, 10, 11, 12, 13, 32)])
-    assert (10.0**one_byte).sum() <= 1 + 1e-5
-    assert np.allclose(lm.Mixer.of(mixer.vector()).table(counts), table)
+    train, held = lines(*words[::2]), lines(*words[1::2])
+    _, tables = trained(train)
+    ways = lm.paths(tables)
+    assert -lm.log10_scores(ways, held).mean() < -lm.log10_scores(ways, [w[-2::-1] + b"\n" for w in held]).mean() - 1
+    one_byte = lm.log10_scores(ways, [bytes([b]) for b in range(256)])
+    assert abs((10.0**one_byte).sum() - 1) < 1e-4
+
+
+def by_bit(tables, text):
+    """The mixer, bit by bit: contexts from slices of the window, cells from whole numbers, a weight per context and place of the bit."""
+    mask = (1 << 32) - 1
+    ends = {32 << i for i in range(11)}
+    weights, bias = [[lm.START] * 8 for _ in range(lm.KINDS)], [0.0] * 8
+    push, errors, spread, total = [[0.0] * 8 for _ in range(lm.KINDS)], [0.0] * 8, [0.0] * 8, 0.0
+    a, b, c = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35
+    seen, run = {}, 0
+    for at, byte in enumerate(text):
+        place = at % lm.WINDOW
+        if place == 0:
+            seen, run = {}, 0
+            if at:
+                weights, bias, push, errors = moved(weights, bias, push, errors, spread)
+        back = [text[at - j] if place >= j else 0 for j in range(1, 7)]
+        four = sum(x << 8 * j for j, x in enumerate(back[:4]))
+        five = (four * a * c + back[4] * b) & mask
+        known = seen.get(five)
+        guess = 0 if known is None else 1 + known + 256 * min(run, 15)
+        run = run + 1 if known == byte else 0
+        seen[five] = byte
+        rows = []
+        for k, context in enumerate((four & 0xFFFF, four, (five * c + back[5] * b) & mask, guess)):
+            h = context * a & mask
+            h = (h ^ h >> 15) * b & mask
+            low = h ^ ((byte >> 4) + 1) * c & mask
+            low = (low ^ low >> 13) * a & mask
+            shift = 32 - lm.GROUP_BITS[k]
+            rows.append([tables[k][h >> shift], tables[k][low >> shift]])
+        for j in range(8):
+            half = byte >> 4 if j < 4 else byte & 15
+            node = (1 << j % 4) | (half >> (4 - j % 4))
+            bit = byte >> (7 - j) & 1
+            x = [float(r[j // 4][node]) / lm.STEPS for r in rows]
+            odds = bias[j] + sum(w[j] * v for w, v in zip(weights, x, strict=True))
+            odds = max(-lm.BOUND, min(lm.BOUND, odds))
+            p = 1 / (1 + math.exp(-odds))
+            total += math.log10(p if bit else 1 - p)
+            for k in range(lm.KINDS):
+                push[k][j] += (bit - p) * x[k]
+            errors[j] += bit - p
+            spread[j] += p * (1 - p)
+        if at + 1 in ends:
+            weights, bias, push, errors = moved(weights, bias, push, errors, spread)
+    return total
+
+
+def moved(weights, bias, push, errors, spread):
+    rate = [1 / (lm.PRIOR + lm.CURVE * s) for s in spread]
+    new = [[w[j] + rate[j] * g[j] for j in range(8)] for w, g in zip(weights, push, strict=True)]
+    return new, [bias[j] + rate[j] * errors[j] for j in range(8)], [[0.0] * 8 for _ in weights], [0.0] * 8
+
+
+def test_scores_are_those_of_the_bits_one_by_one(spark):
+    texts = [r.text.encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL").limit(60).collect()]
+    coded = lines(*texts)
+    _, tables = trained(coded[:40])
+    some = [*coded[35:50], b"\n", coded[3][:700] * 110 + b"\n", b"a\n", "é 😀\n".encode()]
+    assert len(some[16]) > lm.WINDOW
+    got = lm.log10_scores(lm.paths(tables), some)
+    assert np.allclose(got, [by_bit(tables, t) for t in some], rtol=2e-4, atol=1e-3)
+
+
+def test_cells_hold_the_bits_of_each_context():
+    texts = lines(b"abab abba", b"ba ab", b"")
+    counts, _ = trained(texts)
+    assert counts.sum() == 2 * lm.KINDS * sum(map(len, texts))
+    after = Counter()
+    for t in texts:
+        for at, byte in enumerate(t):
+            after[t[max(0, at - 2) : at], byte] += 1
+    leaves = counts[: lm.OFFSETS[1]]
+    lower = [n for n in leaves.tolist() if n]
+    assert max(lower) <= sum(map(len, texts)) and lm.node_counts(leaves.reshape(-1, 16))[:, :, 1].sum() == leaves.sum()
+    for (before, byte), n in after.items():
+        context = np.array([sum(x << 8 * j for j, x in enumerate(before[::-1]))], np.uint32)
+        _, low = lm.cells(0, context, lm.halves(np.array([byte], np.uint8)))
+        assert leaves[low[0]] >= n
+
+
+def test_gate_weights_balance_the_counted_bits():
+    rng = np.random.default_rng(5)
+    share = rng.beta(0.3, 0.3, 5000)
+    n = rng.integers(1, 40, 5000)
+    ones = rng.binomial(n, share).astype(np.float32)
+    zeros = (n - ones).astype(np.float32)
+    best = lm.gate_weights(zeros, ones, 30)
+
+    def loss(weights):
+        total = 0.0
+        for count, fewer, sign in ((ones, (zeros, np.maximum(ones - 1, 0)), 1), (zeros, (np.maximum(zeros - 1, 0), ones), -1)):
+            odds, gate = lm.log_odds(*fewer)
+            total += (count * np.log1p(np.exp(-sign * weights[gate] * odds))).sum()
+        return total
+
+    for g in range(lm.GATES):
+        for step in (-0.1, 0.1):
+            other = best.copy()
+            other[g] += step
+            assert loss(other) >= loss(best) - 1e-3 * abs(loss(best))
 
 
 def test_query(spark, folder):
@@ -76,10 +178,29 @@ def test_query(spark, folder):
 
 
 def test_batches_stay_small():
-    pdf = pd.DataFrame({"word": [b"x" * 150_000, b"y", b"z" * 150_000, *[b"w"] * 10]})
-    pieces = list(lm._batches(iter([pdf]), 4))
-    assert sum(map(len, pieces)) == len(pdf) and max(map(len, pieces)) <= 4
-    assert max(p.word.map(len).sum() for p in pieces) < 400_000
+    texts = [b"x" * 150_000, b"y\n", b"z" * 300_000, *[b"w\n"] * 10]
+    pieces = list(lm.cut(texts))
+    assert all(sum(map(len, windows)) <= lm.BATCH and len(set(places)) == len(places) for places, windows in pieces)
+    whole = {}
+    for places, windows in pieces:
+        for i, window in zip(places, windows, strict=True):
+            whole[i] = whole.get(i, b"") + window
+    assert [whole[i] for i in range(len(texts))] == texts
+
+
+def test_memory_does_not_grow_with_a_text():
+    """A text of ten megabytes needs little more than the text itself."""
+    rng = np.random.default_rng(1)
+    words = [bytes(rng.integers(97, 123, 6, dtype=np.uint8)) for _ in range(500)]
+    text = b" ".join(words[i] for i in rng.integers(0, 500, 1_450_000)) + b"\n"
+    assert len(text) > 10_000_000
+    _, tables = trained([text[:200_000]])
+    ways = lm.paths(tables)
+    tracemalloc.start()
+    lm.log10_scores(ways, [text])
+    lm.count_cells([text], np.zeros(lm.CELLS, np.int64))
+    assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    tracemalloc.stop()
 
 
 def test_word_order_reaches_the_bit_predictors(spark):
@@ -123,11 +244,8 @@ def test_scores_do_not_depend_on_the_broadcast(spark, folder):
 
 
 def test_a_text_scores_alike_in_any_batch():
-    texts = [b"", b"one two three", b"ab " * 700 + b"c", b"one two three", "é 😀".encode()]
-    slots, bits, owner = lm.spelled(texts)
-    counts = np.bincount((slots * 2 + bits).ravel(), minlength=2 * lm.SLOTS).reshape(lm.SLOTS, 2).T.astype(np.float32)
-    mixer = lm.Mixer.fresh()
-    table = mixer.table(counts)
-    together = mixer.score(table, slots, bits, owner, len(texts))
-    alone = [mixer.score(table, *lm.spelled([t]), 1)[0] for t in texts]
-    assert np.allclose(together, alone, rtol=1e-5) and together[1] == together[3]
+    texts = lines(b"", b"one two three", b"ab " * 700 + b"c", b"one two three", "é 😀".encode(), b"one two three " * 9000)
+    ways = lm.paths(trained(texts)[1])
+    together = lm.log10_scores(ways, texts)
+    alone = [lm.log10_scores(ways, [t])[0] for t in texts]
+    assert np.allclose(together, alone, rtol=1e-5) and np.isclose(together[1], together[3], rtol=1e-6)
