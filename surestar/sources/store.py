@@ -7,6 +7,9 @@ then holds ``_SUCCESS``). A version is never overwritten while it may be read. A
 What was counted while a version was written is kept beside it in ``_notes.json``, so that later runs need not scan it.
 A version without notes (Spark finished it, the run ended before the notes) is as good as any other; its numbers are then unknown.
 
+A snapshot whose rows have dense keys may be kept in ranges of keys. Its next version holds the ranges that differ and names the
+folders of earlier versions for the others, so one changed member rewrites one range and new members the last one. Earlier versions have to stay.
+
 Parts may be bucketed by a key. They are then read as one bucketed table, and a join or an anti-join by that key moves the other
 side only, whatever the number of parts.
 """
@@ -65,7 +68,10 @@ class Store:
         """Current snapshot. With a schema, a table that does not exist yet reads as empty."""
         versions = self._versions(table)
         if versions:
-            return self.spark.read.parquet(join_path(self.root, table, f"v={versions[-1]}"))
+            current = join_path(self.root, table, f"v={versions[-1]}")
+            ranges = (self._noted(current) or {}).get("ranges")
+            paths = [join_path(self.root, table, folder) for _, folder in ranges.values()] if ranges else [current]
+            return self.spark.read.parquet(*paths)
         return self._empty(table, schema)
 
     def replace(self, table: str, df: DataFrame, notes: Callable[[], Mapping] | None = None) -> DataFrame:
@@ -78,6 +84,33 @@ class Store:
         self._note(target, notes)
         return self.spark.read.parquet(target)
 
+    def replace_ranges(
+        self, table: str, df: DataFrame, observed: DataFrame, key: str, size: int, notes: Callable[[], Mapping] | None = None
+    ) -> list[int]:
+        """Write the ranges of ``size`` keys in which ``df`` differs from the current version, and return their numbers.
+
+        ``key`` is a whole number and never null. ``observed`` holds the same rows; it is read once, for a count and two sums of hashes per range, which
+        are compared with those noted before, so nothing of the current version is read here. A version counts once its notes are complete.
+        If no range differs, there is no new version.
+        """
+        place = F.floor(F.col(key) / F.lit(size)).cast("long")
+        fields = [F.struct(F.col(c).isNull(), F.col(c)) for c in sorted(df.columns)]
+        sums = [F.sum(F.xxhash64(F.lit(seed), *fields).cast("decimal(38,0)")) for seed in (1, 2)]
+        marks = observed.groupBy(place.alias("place")).agg(F.concat_ws(" ", F.count("*"), *sums).alias("mark")).collect()
+        before = (self.notes(table) or {}).get("ranges") or {}
+        now = {str(row.place): row.mark for row in marks}
+        changed = sorted(int(r) for r, mark in now.items() if before.get(r, [None])[0] != mark)
+        if not changed and before.keys() == now.keys():
+            return []
+        target = self._next(table)
+        version = target.rsplit("/", 1)[1]
+        rows = df.withColumn("_range", place).where(F.col("_range").isin(changed)).repartition("_range")
+        rows.write.mode("errorifexists").partitionBy("_range").parquet(join_path(target, "data"))
+        folders = {str(r): f"{version}/data/_range={r}" for r in changed}
+        self._note(target, notes, ranges={r: [mark, folders.get(r) or before[r][1]] for r, mark in now.items()})
+        write_text(self.spark, join_path(target, _DONE), "")
+        return changed
+
     def _next(self, *folders: str) -> str:
         folder = join_path(self.root, *folders)
         taken = [int(n.removeprefix("v=")) for n in child_folders(self.spark, folder) if n.startswith("v=")]

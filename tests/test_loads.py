@@ -247,3 +247,47 @@ def test_a_step_leaves_nothing_behind(spark):
         assert kept.count() == 5
     with pytest.raises(Exception, match="(?i)path_not_found|not exist"):
         spark.read.parquet(path).count()
+
+
+def members(spark, n, **changed):
+    values = {i: f"m{i}" for i in range(1, n + 1)} | {int(k[1:]): v for k, v in changed.items()}
+    rows = [(-1, "unknown"), *sorted(values.items())]
+    return spark.createDataFrame(rows, "sk long, name string")
+
+
+def test_only_ranges_that_differ_are_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "wh"))
+
+    def load(df):
+        return store.replace_ranges("d", df, df, "sk", 10, lambda: {"highest": 7})
+
+    def files(version):
+        return {p.parent.name for p in (tmp_path / "wh" / "d" / version).rglob("*.parquet")}
+
+    assert load(members(spark, 35)) == [-1, 0, 1, 2, 3] and store.notes("d")["highest"] == 7
+    assert load(members(spark, 35)) == [] and store._versions("d") == [1]
+    assert load(members(spark, 35, k12="x")) == [1] and files("v=2") == {"_range=1"}
+    grown = members(spark, 41, k12="x", k5=None)
+    assert load(grown) == [0, 3, 4] and files("v=3") == {"_range=0", "_range=3", "_range=4"}
+    assert sorted(store.read("d").collect()) == sorted(grown.collect()) and store.read("d").columns == ["sk", "name"]
+    fewer = members(spark, 19, k12="x", k5=None)
+    assert load(fewer) == [] and sorted(store.read("d").collect()) == sorted(fewer.collect())
+    store.replace("d", members(spark, 3))
+    assert store.read("d").count() == 4
+
+
+def test_a_version_of_ranges_counts_once_it_is_complete(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "wh"))
+    old, new = members(spark, 25), members(spark, 25, k3="x")
+    store.replace_ranges("d", old, old, "sk", 10)
+
+    def fails(*args, **more):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_note", fails)
+        with pytest.raises(OSError):
+            store.replace_ranges("d", new, new, "sk", 10)
+    assert sorted(store.read("d").collect()) == sorted(old.collect())
+    assert store.replace_ranges("d", new, new, "sk", 10) == [0]
+    assert sorted(store.read("d").collect()) == sorted(new.collect())
