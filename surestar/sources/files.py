@@ -32,13 +32,23 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file, over an earlier one."""
-    fs, hadoop_path = _file_system(spark, path)
-    stream = fs.create(hadoop_path, True)
+    """Write a small file, over an earlier one.
+
+    Without the checksum file that local disks get, so that a file changed by hand can still be read. That is a setting of the whole file
+    system, so the file gets an instance of its own.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    fs = spark._jvm.org.apache.hadoop.fs.FileSystem.newInstance(hadoop_path.getFileSystem(conf).getUri(), conf)
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        fs.setWriteChecksum(False)
+        stream = fs.create(hadoop_path, True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
     finally:
-        stream.close()
+        fs.close()
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -12,6 +12,7 @@ from surestar.operators import quality as q
 from surestar.plans import full_load as job
 from surestar.session import materialise, scratch, shared_folder
 from surestar.sources.feeds import MALFORMED, ORDINAL, decoded, encoding_counts, file_offsets, found_encoding, read_csv, read_csv_any_encoding
+from surestar.sources.files import read_text, write_text
 from surestar.sources.store import Buckets, Store
 from tests.feeds import write_feeds
 
@@ -190,6 +191,15 @@ def test_a_store_without_notes_is_scanned(spark, tmp_path):
     assert states == [sorted(map(str, Store(spark, warehouse).read_appended(n).collect())) for n in schemas.FACTS]
 
 
+def test_a_small_file_changed_by_hand_can_be_read(spark, tmp_path):
+    path = tmp_path / "_notes.json"
+    for text in ("first", "second"):
+        write_text(spark, str(path), text)
+        assert read_text(spark, str(path)) == text
+    path.write_text("{}")
+    assert read_text(spark, str(path)) == "{}"
+
+
 def test_two_runs_with_one_key_are_seen_without_their_rows(spark):
     def part(least, most, rows=None, odd=False):
         return {"rows": most - least + 1 if rows is None else rows, "intervals": [[least, most]], "odd": odd, "highest": most}
