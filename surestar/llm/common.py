@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from surestar.session import materialise as store
 from surestar.session import shared_folder
 
-__all__ = ["connected_components", "lower_ascii", "lowest_by_hash", "read", "shared_folder", "store", "whole_groups", "word_count"]
+__all__ = ["connected_components", "lower_ascii", "lowest_by_hash", "merged_components", "read", "shared_folder", "store", "whole_groups", "word_count"]
 
 #: A word is a run of bytes that are neither a space nor one of the five ASCII control characters for white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -67,30 +67,33 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node of the component of every node that has an edge.
 
     ``edges`` has two columns of one type, ``u`` and ``v``. Large and small stars alternate until the edges are stars
-    around the smallest nodes; each step is two aggregates and two joins, and what is gathered per node is one minimum, so a
-    node with a third of all edges is one row of an aggregate and a splittable join key. The result is ``node``, ``root`` and
-    leaves out the roots themselves. Loops are ignored; null ends are not allowed; no edges give no rows.
+    around the smallest nodes, which an aggregate at the beginning of each round tells, so edges that are stars cost that one. A round is
+    three more aggregates and two joins, and what is gathered per node is one minimum or two counts, so a node with a third of all edges is one row of an
+    aggregate and a splittable join key. The result is ``node``, ``root`` and leaves out the roots themselves. Loops are ignored; null ends
+    are not allowed; no edges give no rows.
     """
 
     def linked(e: DataFrame) -> DataFrame:
         """Pairs with the larger node first."""
         return e.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
     current = store(linked(edges))
-    before = mark(current)
-    while before[0]:
+    while not current.isEmpty():
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        counts = F.count_if(F.col("v") < F.col("u")).alias("below"), F.count_if(F.col("v") > F.col("u")).alias("above")
+        if not both.groupBy("u").agg(*counts).agg(F.count_if(F.expr("below > 1 OR (below = 1 AND above > 0)"))).first()[0]:
+            break
         least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
-        large = linked(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = store(large)
+        # An edge gives one row, in which the larger node is first, so what repeats may stay until the round ends.
+        large = store(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = store(linked(small.union(least.select("u", F.col("m").alias("v")))))
-        after = mark(current)
-        if after == before:
-            break
-        before = after
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def merged_components(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """What ``connected_components`` gives once ``edges`` between roots, or nodes without an edge so far, are added to those that gave ``roots``."""
+    over = connected_components(edges)
+    tops = over.select(F.col("node").alias("root"), F.col("root").alias("__top"))
+    return roots.join(tops, "root", "left").select("node", F.coalesce("__top", "root").alias("root")).union(over)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surestar.llm.common import connected_components, store, whole_groups
+from surestar.llm.common import connected_components, merged_components, store, whole_groups
 
 SHINGLE = 5
 SIMILAR = 85  # percent
@@ -200,7 +200,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = SIMILAR) -> bool:
 
 
 def _linked_tasks(dealt: DataFrame, label: str, percent: int | None) -> DataFrame:
-    """Links ``u``, ``v`` between rows of different labels that meet in a task; with ``percent``, full sets confirm them."""
+    """Links ``u``, ``v`` between rows of different labels ``a``, ``b`` that meet in a task; with ``percent``, full sets confirm them."""
 
     def links(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in whole_groups(batches, "task"):
@@ -208,14 +208,20 @@ def _linked_tasks(dealt: DataFrame, label: str, percent: int | None) -> DataFram
             rows, sig = group["row"].to_numpy(), np.ascontiguousarray(group[_SIGNATURE].to_numpy()).view(np.uint16)
             sets = None if percent is None else [np.frombuffer(x, np.uint64) for x in group["codes"]]
             core = (group["side"] == True).to_numpy(bool)  # noqa: E712  null is no core
-            found = links_across(group[label].to_numpy(), sig, core, sets, percent or SIMILAR)
+            labels = group[label].to_numpy()
+            found = links_across(labels, sig, core, sets, percent or SIMILAR)
             if found:
                 u, v = np.array(found).T
-                yield pd.DataFrame({"u": rows[u], "v": rows[v]})
+                yield pd.DataFrame({"u": rows[u], "v": rows[v], "a": labels[u], "b": labels[v]})
 
     columns = ["task", "row", label, "side", *_SIGNATURE, *(["codes"] if percent is not None else [])]
     placed = dealt.select(columns).repartition("task").sortWithinPartitions("task", "row")
-    return placed.mapInPandas(links, "u long, v long")
+    return placed.mapInPandas(links, "u long, v long, a long, b long")
+
+
+def _between(links: DataFrame) -> DataFrame:
+    """The links of ``_linked_tasks`` as edges between the labels of their ends."""
+    return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _codes(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -278,23 +284,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMI
     apart = labelled.groupBy("key").agg(F.min("label").alias("__a"), F.max("label").alias("__b"), F.max(F.when(F.col("row") == F.col("centre"), F.col("label"))).alias("__first"))
     labelled = labelled.join(apart.where("__a < __b").select("key", "__first"), "key")
     dealt = _deal(labelled, "key", F.col("label") == F.col("__first"), F.lit(1), SLICE_ROWS)
-    links = stars.union(_linked_tasks(dealt.join(signed, "row"), "label", None)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = store(links.distinct())
+    more = store(_linked_tasks(dealt.join(signed, "row"), "label", None))
+    links = stars.union(more.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
 
-    clusters = store(connected_components(links))
+    clusters = store(merged_components(groups, _between(more)))
     ends = clusters.select(F.col("node").alias("row")).union(clusters.select(F.col("root").alias("row"))).distinct()
     members = store(_codes(docs, reps.join(ends, "row").select("row", "least", "t", "n", *_SIGNATURE), shingle))
 
     sure = store(_confirmed(links, members, percent))
-    parts = store(connected_components(sure))
+    parts = connected_components(sure)
     placed = _with_labels(_with_labels(members.select("row", "n").distinct(), clusters, "cluster"), parts, "part")
     counts = placed.groupBy("cluster", "part").agg(F.count("*").alias("rows"))
     largest = counts.groupBy("cluster").agg(F.max(F.struct("rows", "part"))["part"].alias("__first"), F.count("*").alias("__parts"))
     placed = placed.join(largest.where("__parts > 1").select("cluster", "__first"), "cluster")
     dealt = _deal(placed, "cluster", F.col("part") == F.col("__first"), F.col("n") + 64, SLICE_SHINGLES)
-    sure = sure.union(_linked_tasks(dealt.join(members.drop("n"), "row"), "part", percent))
+    more = _linked_tasks(dealt.join(members.drop("n"), "row"), "part", percent)
 
-    final = _with_labels(reps.select("row", "h1", "h2", "least"), connected_components(sure), "root")
+    final = _with_labels(reps.select("row", "h1", "h2", "least"), merged_components(parts, _between(more)), "root")
     final = store(final)
     least = final.groupBy("root").agg(F.min("least").alias("__least"))
     by_set = final.join(least, "root").select("h1", "h2", F.col("__least"))

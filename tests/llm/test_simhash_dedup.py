@@ -5,7 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from surestar.llm import simhash_dedup as sd
-from surestar.llm.common import connected_components
+from surestar.llm.common import connected_components, merged_components
 from surestar.llm.queries import QUERIES
 
 
@@ -94,6 +94,33 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def _jobs(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = sorted(map(tuple, run().collect()))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_edges_that_are_stars_cost_one_aggregate(spark):
+    edges = spark.createDataFrame([(9, 1), (1, 5), (7, 1), (8, 3), (4, 4)], "u long, v long")
+    found, jobs = _jobs(spark, "stars", lambda: connected_components(edges))
+    assert found == [(5, 1), (7, 1), (8, 3), (9, 1)]
+    chain, more = _jobs(spark, "chain", lambda: connected_components(spark.createDataFrame([(i, i + 1) for i in range(20)], "u long, v long")))
+    assert chain == [(i, 0) for i in range(1, 21)]
+    assert jobs <= 7 < more
+
+
+def test_merged_components(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    edges, between = [(1, 2), (2, 3), (10, 11), (20, 21), (30, 31)], [(10, 1), (20, 10), (30, 40), (50, 60)]
+    merged = merged_components(connected_components(frame(edges)), frame(between)).collect()
+    assert sorted(merged) == sorted(connected_components(frame(edges + between)).collect())
+    assert sorted(merged_components(connected_components(frame([])), frame(between)).collect()) == sorted(connected_components(frame(between)).collect())
+    assert sorted(merged_components(connected_components(frame(edges)), frame([])).collect()) == sorted(connected_components(frame(edges)).collect())
+
+
 def test_documents(docs, documents, no_docs):
     out = sd.near_duplicates(docs).collect()
     values = [slow_fingerprint(r[1], 3) for r in documents]
