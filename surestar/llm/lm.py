@@ -14,11 +14,11 @@ of the ``frequent`` most common words, which only ``n_known`` and ``base_score``
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +48,17 @@ def normalised(text: bytes) -> tuple[list[bytes], bytes]:
     return words, b" ".join(words) + b"\n"
 
 
+def words_of(lines: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of what ``normalised`` codes, one after the other, and the number of words of each line."""
+    whole = pa.array(lines, pa.large_binary())
+    texts = pa.Array.from_buffers(pa.large_string(), len(whole), whole.buffers())  # bytes that are no UTF-8 are split alike
+    parts = pc.ascii_split_whitespace(texts)
+    flat, ends = parts.flatten(), np.diff(parts.offsets.to_numpy())
+    real = pc.greater(pc.binary_length(flat), 0)  # the end mark leaves an empty part
+    long = np.add.reduceat(real.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(ends) - ends) if len(lines) else ends
+    return flat.filter(real).cast(pa.large_binary()), long
+
+
 def cut(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
     """Windows of the texts with the place of each one's text in the list, as batches of bounded size.
 
@@ -281,30 +292,31 @@ def log10_scores(ways: list[np.ndarray], texts: list[bytes]) -> np.ndarray:
 _GATHERED = pa.schema([("segment", pa.int32()), ("counts", pa.binary()), ("word", pa.binary()), ("c", pa.int64())])
 
 
-def gathered(texts: DataFrame, most: int = 200_000) -> DataFrame:
-    """One pass over ``texts`` (binary ``text``): each task's counts of cells, in segments, and of words, at most ``most`` of them held at once."""
+def gathered(texts: DataFrame, most: int = 4_000_000) -> DataFrame:
+    """One pass over ``texts`` (binary ``text``): each task's counts of cells, in segments, and of words, a row for each word of texts that
+    have ``most`` words or a little more."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, words = np.zeros(CELLS, np.int64), Counter()
+        totals = np.zeros(CELLS, np.int64)
 
-        def counted() -> pa.RecordBatch:
-            none = [None] * len(words)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip((none, none, list(words), list(words.values())), _GATHERED.types, strict=True)], schema=_GATHERED
-            )
+        def counted(lines: list[bytes]) -> pa.RecordBatch:
+            found = words_of(lines)[0].value_counts()
+            none = [pa.nulls(len(found), t) for t in _GATHERED.types[:2]]
+            arrays = [*none, found.field(0).cast(pa.binary()), found.field(1)]
+            return pa.RecordBatch.from_arrays(arrays, schema=_GATHERED)
 
         for batch in batches:
-            coded = []
+            coded, begin, size = [], 0, 0
             for text in batch.column(0).to_pylist():
                 tokens, line = normalised(text)
-                words.update(tokens)
                 coded.append(line)
-                if len(words) > most:
-                    yield counted()
-                    words.clear()
+                size += len(tokens)
+                if size >= most:
+                    yield counted(coded[begin:])
+                    begin, size = len(coded), 0
+            if size:
+                yield counted(coded[begin:])
             count_cells(coded, totals)
-        if words:
-            yield counted()
         for at in range(0, CELLS, SEGMENT):
             piece = totals[at : at + SEGMENT]
             if piece.any():
@@ -367,29 +379,34 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
     tables = spark.sparkContext.broadcast(odds_tables(cell_counts(parts)))
     common = vocabulary.where(F.octet_length("word") <= LONG_WORD)
     common = common.where(frequent_words(common, frequent)).toPandas()  # so many words of so many bytes at most
-    table = spark.sparkContext.broadcast(dict(zip(map(bytes, common.word), common.c.tolist(), strict=True)))
+    table = spark.sparkContext.broadcast((pa.array(map(bytes, common.word), pa.large_binary()), common.c.to_numpy(np.float64)))
     floor = n + v + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, ways = table.value, paths(tables.value)
+        (known, often), ways = table.value, paths(tables.value)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts, coded, out = batch.column(2).to_pylist(), [], []
-            for text in texts:
-                tokens, line = normalised(text)
-                c = np.array([known.get(w, 0) for w in tokens], np.float64)
-                hits = c[c > 0]
-                base = np.log10((hits + 1) / floor).sum() + np.log10((ends + 1) / floor)
-                out.append((len(tokens) + 1, len(line), len(hits) + (ends > 0), base, [w for w in tokens if w not in known]))
-                coded.append(line)
-            made = dict(zip(("n_tokens", "n_bytes", "n_known", "base", "rare"), map(list, zip(*out, strict=True)), strict=True)) if out else {}
-            if made:
-                made |= {"score": log10_scores(ways, coded), "key": key + np.arange(len(out))}
+            coded = [normalised(text)[1] for text in batch.column(2).to_pylist()]
+            if coded:
+                words, long = words_of(coded)
+                at = pc.index_in(words, known)
+                missed = pc.is_null(at).to_numpy(zero_copy_only=False)
+                hits = often.take(at.drop_null().to_numpy())
+                ends_of = np.cumsum(long)
+                rare = np.concatenate(([0], np.cumsum(missed)))[np.concatenate(([0], ends_of))]  # rare words up to the end of each text
+                own = np.concatenate(([0], ends_of)) - rare  # and the others
+                logs = np.log10((hits + 1) / floor)
+                base = [logs[i:j].sum() for i, j in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+                made = {
+                    "n_tokens": long + 1, "n_bytes": np.fromiter(map(len, coded), np.int64, len(coded)), "n_known": np.diff(own) + (ends > 0),
+                    "base": np.array(base) + np.log10((ends + 1) / floor), "score": log10_scores(ways, coded), "key": key + np.arange(len(coded)),
+                    "rare": pa.ListArray.from_arrays(pa.array(rare, pa.int32()), words.filter(pa.array(missed)).cast(pa.binary())),
+                }
                 arrays = [batch.column(0), batch.column(1), *(pa.array(made[f.name], f.type) for f in list(schema)[2:])]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-                key += len(out)
+                key += len(coded)
 
     whole = [(name, pa.int64()) for name in ("n_tokens", "n_bytes", "n_known")]
     schema = pa.schema([
