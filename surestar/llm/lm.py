@@ -32,6 +32,7 @@ WINDOW, BATCH = 1 << 16, 1 << 17  # bytes of a text coded with the same contexts
 GATES, STEPS, START = 16, 12, 0.3  # gates, steps of the log odds to one, weight of each context when a text begins
 BLOCKS = np.array([32 << i for i in range(11)])  # ends of the blocks of a text after which its mix is refined, then each window
 PRIOR, CURVE, BOUND = 60.0, 10.0, 10.0  # the mix moves by push / (PRIOR + CURVE * spread); log odds stay within the bound
+PIECE = 1 << 21  # bytes of text whose words are counted or looked up at once
 LONG_WORD = 64  # words of more bytes are never among the frequent ones
 
 PLACE_BITS = (2 * BATCH).bit_length() - 1
@@ -59,6 +60,16 @@ def words_of(lines: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(real).cast(pa.large_binary()), long
 
 
+def pieces(lines: list[bytes]) -> Iterator[list[bytes]]:
+    """The lines in runs of ``PIECE`` bytes or a line more, so that the arrays of their words stay small."""
+    begin, size = 0, 0
+    for i, line in enumerate(lines, 1):
+        size += len(line)
+        if size >= PIECE or i == len(lines):
+            yield lines[begin:i]
+            begin, size = i, 0
+
+
 def cut(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
     """Windows of the texts with the place of each one's text in the list, as batches of bounded size.
 
@@ -292,9 +303,9 @@ def log10_scores(ways: list[np.ndarray], texts: list[bytes]) -> np.ndarray:
 _GATHERED = pa.schema([("segment", pa.int32()), ("counts", pa.binary()), ("word", pa.binary()), ("c", pa.int64())])
 
 
-def gathered(texts: DataFrame, most: int = 4_000_000) -> DataFrame:
-    """One pass over ``texts`` (binary ``text``): each task's counts of cells, in segments, and of words, a row for each word of texts that
-    have ``most`` words or a little more."""
+def gathered(texts: DataFrame) -> DataFrame:
+    """One pass over ``texts`` (binary ``text``): each task's counts of cells, in segments, and of words, a row for each word of a
+    piece of the texts."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(CELLS, np.int64)
@@ -306,16 +317,8 @@ def gathered(texts: DataFrame, most: int = 4_000_000) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, schema=_GATHERED)
 
         for batch in batches:
-            coded, begin, size = [], 0, 0
-            for text in batch.column(0).to_pylist():
-                tokens, line = normalised(text)
-                coded.append(line)
-                size += len(tokens)
-                if size >= most:
-                    yield counted(coded[begin:])
-                    begin, size = len(coded), 0
-            if size:
-                yield counted(coded[begin:])
+            coded = [normalised(text)[1] for text in batch.column(0).to_pylist()]
+            yield from map(counted, pieces(coded))
             count_cells(coded, totals)
         for at in range(0, CELLS, SEGMENT):
             piece = totals[at : at + SEGMENT]
@@ -359,6 +362,20 @@ def frequent_words(vocabulary: DataFrame, most: int) -> Column:
     return F.lit(False) if least is None else (F.col("c") > 0) & (step >= least)
 
 
+def looked_up(known: pa.Array, often: np.ndarray, floor: int, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """For each line the number of its words, how many are known, the sum of their log10 probabilities, and the other words."""
+    words, long = words_of(lines)
+    at = pc.index_in(words, known)
+    missed = pc.is_null(at).to_numpy(zero_copy_only=False)
+    logs = np.log10((often.take(at.drop_null().to_numpy()) + 1) / floor)
+    ends = np.concatenate(([0], np.cumsum(long)))
+    rare = np.concatenate(([0], np.cumsum(missed)))[ends]  # up to the end of each line
+    own = (ends - rare).tolist()
+    base = np.array([logs[i:j].sum() for i, j in zip(own[:-1], own[1:], strict=True)])
+    others = pa.ListArray.from_arrays(pa.array(rare, pa.int32()), words.filter(pa.array(missed)).cast(pa.binary()))
+    return long, np.diff(own), base, others
+
+
 def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> DataFrame:
     """Scores of every row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score``, ``bits_per_byte``.
@@ -390,19 +407,12 @@ def score_texts(docs: DataFrame, training: Column, frequent: int = 200_000) -> D
         for batch in batches:
             coded = [normalised(text)[1] for text in batch.column(2).to_pylist()]
             if coded:
-                words, long = words_of(coded)
-                at = pc.index_in(words, known)
-                missed = pc.is_null(at).to_numpy(zero_copy_only=False)
-                hits = often.take(at.drop_null().to_numpy())
-                ends_of = np.cumsum(long)
-                rare = np.concatenate(([0], np.cumsum(missed)))[np.concatenate(([0], ends_of))]  # rare words up to the end of each text
-                own = np.concatenate(([0], ends_of)) - rare  # and the others
-                logs = np.log10((hits + 1) / floor)
-                base = [logs[i:j].sum() for i, j in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+                found = [looked_up(known, often, floor, lines) for lines in pieces(coded)]
+                long, hits, base = (np.concatenate(x) for x in list(zip(*found, strict=True))[:3])
                 made = {
-                    "n_tokens": long + 1, "n_bytes": np.fromiter(map(len, coded), np.int64, len(coded)), "n_known": np.diff(own) + (ends > 0),
-                    "base": np.array(base) + np.log10((ends + 1) / floor), "score": log10_scores(ways, coded), "key": key + np.arange(len(coded)),
-                    "rare": pa.ListArray.from_arrays(pa.array(rare, pa.int32()), words.filter(pa.array(missed)).cast(pa.binary())),
+                    "n_tokens": long + 1, "n_bytes": np.fromiter(map(len, coded), np.int64, len(coded)), "n_known": hits + (ends > 0),
+                    "base": base + np.log10((ends + 1) / floor), "score": log10_scores(ways, coded), "key": key + np.arange(len(coded)),
+                    "rare": pa.concat_arrays([x[3] for x in found]),
                 }
                 arrays = [batch.column(0), batch.column(1), *(pa.array(made[f.name], f.type) for f in list(schema)[2:])]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -249,3 +249,13 @@ def test_a_text_scores_alike_in_any_batch():
     together = lm.log10_scores(ways, texts)
     alone = [lm.log10_scores(ways, [t])[0] for t in texts]
     assert np.allclose(together, alone, rtol=1e-5) and np.isclose(together[1], together[3], rtol=1e-6)
+
+
+def test_words_in_arrow_are_those_of_python(monkeypatch):
+    texts = [b"", b" \t\x0b\x0c\r\n", b"b A  a\x1cb\xc2\xa0c", b"\xff\xfe x \xc3", "Ñu ñu".encode(), b"x " * 50]
+    tokens, lines = zip(*map(lm.normalised, texts), strict=True)
+    words, long = lm.words_of(list(lines))
+    assert words.to_pylist() == [w for t in tokens for w in t] and long.tolist() == list(map(len, tokens))
+    monkeypatch.setattr(lm, "PIECE", 8)
+    cut = list(lm.pieces(list(lines)))
+    assert len(cut) > 2 and [x for part in cut for x in part] == list(lines) and not list(lm.pieces([]))
