@@ -114,10 +114,13 @@ def foreign_key_report(df: DataFrame, key: ForeignKey, parent: DataFrame) -> Dat
 
 
 def unique_report(table: str, df: DataFrame, *columns: str) -> DataFrame:
-    """Number of values of each key that occur more than once; all keys of a table in one pass and one shuffle."""
-    values = F.inline(F.array(*[F.struct(F.lit(i).alias("_key"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(columns)]))
-    repeated = df.select(values).groupBy("_key", "_value").count().where("count > 1")
-    counts = repeated.agg(*[F.count_if(F.col("_key") == i).alias(f"v{i}") for i in range(len(columns))])
+    """Number of values of each key that occur more than once; all keys of a table in one pass and one shuffle, as they are typed."""
+    groups = df.groupingSets([[c] for c in columns], *columns)
+    repeated = groups.agg(F.grouping_id().alias("_set"), F.count("*").alias("count")).where("count > 1")
+    # A grouping id has a bit for each column that a set leaves out, the first column's the highest.
+    n = len(columns)
+    sets = [2**n - 1 - 2 ** (n - 1 - i) for i in range(n)]
+    counts = repeated.agg(*[F.count_if(F.col("_set") == key).alias(f"v{i}") for i, key in enumerate(sets)])
     rows = [F.struct(F.lit(f"{table}: {c} unique").alias("rule"), F.col(f"v{i}").alias("violations")) for i, c in enumerate(columns)]
     return counts.select(F.inline(F.array(*rows)))
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from surestar.operators import details, keys
+from surestar.operators import details, keys, quality
 from surestar.plans import dims
 from surestar.queries.base import run_sql
 from surestar.queries.standins import CLEAN, PLANNED, clean
@@ -95,3 +95,13 @@ def test_keys_by_hash_do_not_move_the_digest(spark, shuffled):
     window = planned(numbered).partition("Window [row_number")[2]
     below = window[window.index("Exchange hashpartitioning"):]
     assert "_digest" in window[: window.index("Exchange hashpartitioning")] and "_digest" not in below.partition("BroadcastExchange")[0]
+
+
+def test_repeated_keys_are_counted_as_they_are_typed(spark):
+    rows = [(1, "1"), (1, "x"), (2, "x"), (3, None), (4, None), (None, "y"), (7, "x")]
+    df = spark.createDataFrame(rows, "sk bigint, name string")
+    report = quality.unique_report("t", df, "sk", "name")
+    assert {tuple(r) for r in report.collect()} == {("t: sk unique", 1), ("t: name unique", 2)}, "null is a value like any other"
+    assert {tuple(r) for r in quality.unique_report("t", df, "name").collect()} == {("t: name unique", 2)}
+    report = quality.unique_report("t", df, "sk", "name")
+    assert "as string" not in optimised(report) and planned(report).count("Exchange hashpartitioning") == 1
